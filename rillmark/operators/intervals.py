@@ -42,16 +42,13 @@ def sweep(df: DataFrame, key: str, item: str, start: str, end: str, kinds: tuple
     counts = active_counts(df, key, item, start, end)
     w = W.partitionBy(key).orderBy("day")
     level = F.least(F.col("active"), F.lit(2))
-    last = F.lag(level).over(w)
-    # a row opens or closes up to one run of each kind
-    marked = counts.select(
-        key, "day", level.alias("lv"),
-        F.coalesce(last, F.lit(0)).alias("pl"),
-    )
-    spec = {"period": ("lv >= 1", "pl >= 1"), "overlap": ("lv >= 2", "pl >= 2"), "gap": ("lv = 0", "pl = 0 and false")}
-    opens = [F.when(F.expr(f"({spec[k][0]}) <> ({spec[k][1]})"), F.struct(F.lit(k).alias("case_kind"), F.expr(spec[k][0]).alias("inside"))) for k in kinds if k != "gap"]
-    if "gap" in kinds:
-        opens.append(F.when(F.expr("(lv = 0) <> (pl = 0)"), F.struct(F.lit("gap").alias("case_kind"), F.expr("lv = 0").alias("inside"))))
+    # a row opens or closes up to one run of each kind; nothing is covered before the first
+    marked = counts.select(key, "day", level.alias("lv"), F.coalesce(F.lag(level).over(w), F.lit(0)).alias("pl"))
+    test = {"period": "{} >= 1", "overlap": "{} >= 2", "gap": "{} = 0"}
+    opens = []
+    for k in kinds:
+        now, was = test[k].format("lv"), test[k].format("pl")
+        opens.append(F.when(F.expr(f"({now}) <> ({was})"), F.struct(F.lit(k).alias("case_kind"), F.expr(now).alias("inside"))))
     turns = marked.select(key, "day", F.explode(F.array_compact(F.array(*opens))).alias("t")).select(key, "day", "t.*")
     runs = turns.withColumn("day_to", F.lead("day").over(W.partitionBy(key, "case_kind").orderBy("day")))
     return runs.where("inside and day_to is not null").select("case_kind", key, F.col("day").alias("day_from"), "day_to")

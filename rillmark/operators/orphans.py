@@ -51,14 +51,13 @@ def landings(p: Presence) -> DataFrame:
 
 
 def state_column(p: Presence, at: str | None) -> Column:
-    """null for a sound reference, else missing, late or deleted."""
+    """null for a sound reference, else missing, late or deleted; reads ``_seen`` and, with deletes, ``_all``."""
     gone = F.when(F.col("_seen").isNull(), "missing")
     if at is None:
         return gone
     gone = gone.when(F.element_at("_seen", 1) > F.col(at), "late")
     if p.deletes:
-        every = p.df.where("seen is not null").select(F.sort_array(F.collect_set("seen")).alias("all")).scalar()
-        current = F.array_max(F.filter(every, lambda t: t <= F.col(at)))
+        current = F.array_max(F.filter("_all", lambda t: t <= F.col(at)))
         gone = gone.when(~F.array_contains("_seen", current), "deleted")
     return gone
 
@@ -71,8 +70,10 @@ def direct_orphans(df: DataFrame, ref: Reference, p: Presence) -> DataFrame:
     dim = landings(p).withColumnRenamed("key", ref.column)
     facts = df.where(F.col(ref.column).isNotNull())
     joined = salted_join(facts, dim, ref.column)
-    state = state_column(p, ref.at)
-    return joined.withColumn("orphan_state", state).where("orphan_state is not null").drop("_seen").withColumn("ref_field", F.lit(ref.column))
+    if p.deletes and ref.at:  # all landing times: one entry per load of the parent
+        joined = joined.withColumn("_all", p.df.where("seen is not null").select(F.sort_array(F.collect_set("seen"))).scalar())
+    joined = joined.withColumn("orphan_state", state_column(p, ref.at)).where("orphan_state is not null")
+    return joined.drop("_seen", "_all").withColumn("ref_field", F.lit(ref.column))
 
 
 def cascade(g: Graph, only: set[str] | None = None) -> dict[str, DataFrame]:
