@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillmark.functions.keys import lower_key
-from rillmark.llm import linkage
+from rillmark.llm import langid, linkage, sampling
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -25,5 +25,71 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return p1_matches(spark, d).select("recording_msid", "recording_mbid")
 
 
-QUERIES = {"p1_found": p1_found, "p1_matches": p1_matches}
-SQL: dict[str, str] = {}
+# ---- 4: samples that stay
+PER_MILLION = 20_000
+LISTEN_SALT, EXT_SALT = "rillmark-listens-1", "rillmark-recordings-1"
+
+
+def p4_listen_sample(spark: SparkSession, d: str) -> DataFrame:
+    """Sampled listen hashes; a dump is a batch, and dumps are told apart and ordered by load time and id."""
+    t = table(spark, d, "bronze_listens")
+    batch = F.concat_ws("|", F.date_format("ingested_at", "yyyy-MM-dd HH:mm:ss"), "dump_id")
+    s = sampling.frozen_sample(t, lower_key("listen_hash"), batch, PER_MILLION, LISTEN_SALT)
+    return s.select(F.col("sample_key").alias("listen_hash"), "batch")
+
+
+def p4_listen_rows(spark: SparkSession, d: str) -> DataFrame:
+    """All rows of the sampled listens, repeated rows included."""
+    t = table(spark, d, "bronze_listens")
+    batch = F.concat_ws("|", F.date_format("ingested_at", "yyyy-MM-dd HH:mm:ss"), "dump_id")
+    s = sampling.frozen_sample(t, lower_key("listen_hash"), batch, PER_MILLION, LISTEN_SALT)
+    r = sampling.sampled_rows(t, lower_key("listen_hash"), s, LISTEN_SALT)
+    return r.select("listen_hash", "recording_msid", "artist_name", "recording_name", "dump_id")
+
+
+def p4_recording_sample(spark: SparkSession, d: str) -> DataFrame:
+    """Sampled recording ids of the raw slice; the day a row was created is its batch, complete once the day is over."""
+    t = table(spark, d, "ext_listens_2026_06")
+    s = sampling.frozen_sample(t, lower_key("recording_mbid"), F.date_format("created", "yyyy-MM-dd"), PER_MILLION, EXT_SALT)
+    return s.select(F.col("sample_key").alias("recording_mbid"), "batch")
+
+
+_LOW = r"nullif(lower(regexp_replace({}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')), '')"
+
+
+def _p4_sql(source: str, column: str, batch: str, salt: str) -> str:
+    return f"""
+with r as (select {_LOW.format(column)} as sample_key, {batch} as batch from {source}),
+k as (select sample_key, min(batch) as batch from r where sample_key is not null and batch is not null group by 1),
+h as (select *, cast('0x' || substr(sha256('{salt}|' || sample_key), 1, 15) as bigint) as h, count(*) over (partition by batch) as n from k),
+o as (select *, row_number() over (partition by batch order by h, sample_key) as rn from h),
+s as (select sample_key, batch from o where rn <= (n * {PER_MILLION} + 999999) // 1000000)
+"""
+
+
+_LISTENS = _p4_sql("bronze_listens", "listen_hash", "strftime(ingested_at, '%Y-%m-%d %H:%M:%S') || '|' || dump_id", LISTEN_SALT)
+P4_SQL = {
+    "p4_listen_sample": _LISTENS + "select sample_key as listen_hash, batch from s",
+    "p4_listen_rows": _LISTENS + f"select listen_hash, recording_msid, artist_name, recording_name, dump_id from bronze_listens where {_LOW.format('listen_hash')} in (select sample_key from s)",
+    "p4_recording_sample": _p4_sql("ext_listens_2026_06", "recording_mbid", "strftime(created, '%Y-%m-%d')", EXT_SALT) + "select sample_key as recording_mbid, batch from s",
+}
+
+
+# ---- 10: languages
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return langid.identify(docs, langid.fit(docs), cases_only=True).select("doc_id", "seg_no", "lang")
+
+
+def p10_languages(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's segments with language and confidence."""
+    docs = table(spark, d, "documents")
+    return langid.identify(docs, langid.fit(docs)).select("doc_id", "seg_no", "lang", "confidence", "seg_from", "seg_to", "label_lang")
+
+
+QUERIES = {
+    "p1_found": p1_found, "p1_matches": p1_matches,
+    "p4_listen_sample": p4_listen_sample, "p4_listen_rows": p4_listen_rows, "p4_recording_sample": p4_recording_sample,
+    "p10_found": p10_found, "p10_languages": p10_languages,
+}
+SQL: dict[str, str] = {**P4_SQL}
