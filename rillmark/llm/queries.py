@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillmark.functions.keys import lower_key
-from rillmark.llm import langid, linkage, sampling
+from rillmark.llm import langid, linkage, mixing, packing, sampling
+from rillmark.llm.tokens import VOCABULARY, count_tokens
+from rillmark.session import checkpointed
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -75,6 +77,38 @@ P4_SQL = {
 }
 
 
+# ---- 8: containers
+def p8_assignment(spark: SparkSession, d: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    """Every document's pieces with their containers and the room left, for each capacity."""
+    docs = count_tokens(table(spark, d, "documents").select("doc_id", "text"), vocabulary)
+    return packing.fill_containers(docs, table(spark, d, "container_sizes"))
+
+
+def p8_room(spark: SparkSession, d: str) -> DataFrame:
+    """Per kind of container: how many, tokens held, and the share of the room left unused."""
+    a = p8_assignment(spark, d)
+    c = a.groupBy("container_kind", "container_id").agg(F.sum(F.col("token_to") - F.col("token_from")).alias("tokens"), F.max("room_left").alias("room_left"))
+    g = c.groupBy("container_kind").agg(F.count(F.lit(1)).alias("containers"), F.sum("tokens").alias("tokens"), F.sum("room_left").alias("room_left"))
+    return g.withColumn("unused_share", F.try_divide(F.col("room_left"), F.col("tokens") + F.col("room_left")))
+
+
+# ---- 9: mixture
+def _mixture(spark: SparkSession, d: str, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame]:
+    docs = count_tokens(table(spark, d, "documents").select("doc_id", "source", "text"), vocabulary)
+    return mixing.mixture(docs, table(spark, d, "source_targets"))
+
+
+def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
+    """The documents of the mixture and how many times each is used."""
+    return _mixture(spark, d)[0]
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The shares really reached, beside the targets."""
+    mix, targets = _mixture(spark, d)
+    return mixing.shares(checkpointed(mix), targets)
+
+
 # ---- 10: languages
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
@@ -90,6 +124,7 @@ def p10_languages(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found, "p1_matches": p1_matches,
     "p4_listen_sample": p4_listen_sample, "p4_listen_rows": p4_listen_rows, "p4_recording_sample": p4_recording_sample,
+    "p8_assignment": p8_assignment, "p8_room": p8_room, "p9_mixture": p9_mixture, "p9_shares": p9_shares,
     "p10_found": p10_found, "p10_languages": p10_languages,
 }
 SQL: dict[str, str] = {**P4_SQL}
