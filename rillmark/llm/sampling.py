@@ -37,7 +37,10 @@ def bottom_k(rows: DataFrame, group: list[str], h: str, key: str, k: DataFrame,
 
     w = W.partitionBy(*group).orderBy(h, key)
     small = sizes.where(F.col("_n") <= whole)
-    out = rows.join(small, group).withColumn("_r", F.row_number().over(w)).where("_r <= k").drop("_r", "_n", "k")
+    rest = rows
+    for r in big:  # else their rows would be shuffled by group, only to be dropped
+        rest = rest.where(~all_of(same(r)))
+    out = rest.join(small, group).withColumn("_r", F.row_number().over(w)).where("_r <= k").drop("_r", "_n", "k")
     for r in big:
         if r["k"] >= r["_n"]:
             out = out.unionByName(rows.where(all_of(same(r))))
