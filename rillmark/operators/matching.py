@@ -119,7 +119,7 @@ def texts_of(listens: DataFrame, pairs: DataFrame) -> DataFrame:
     """Distinct (pair, release) texts with their hash."""
     a, r = F.coalesce("artist_name", F.lit("")), F.coalesce("recording_name", F.lit(""))
     t = listens.select(T.pair_hash(a, r).alias("pair_hash"), "release_name").distinct()
-    t = t.withColumn("text_hash", F.sha2(F.concat("pair_hash", F.lit("\u001f"), F.coalesce("release_name", F.lit("\u0000"))), 256))
+    t = t.withColumn("text_hash", F.sha2(F.concat("pair_hash", F.lit("\u001f"), F.coalesce("release_name", F.lit("~null~"))), 256))
     return t.join(pairs.select("pair_hash", "artist_text", "recording_text", "content", "status_exact"), "pair_hash")
 
 
