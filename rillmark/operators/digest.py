@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def row_hash(columns: list[str]):
-    """SHA-256 of a row: values as strings with U+001F between, null as U+0000."""
-    return F.sha2(F.concat_ws("\u001f", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in columns]), 256)
+    """SHA-256 of a row: values as strings with U+001F between, a null as empty text."""
+    return F.sha2(F.concat_ws("\u001f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), 256)
 
 
 def content_digest(df: DataFrame, columns: list[str], buckets: int = 512) -> DataFrame:
