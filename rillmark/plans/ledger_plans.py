@@ -552,7 +552,7 @@ SQL = {
     "AG18_leave_one_out": EVAL + ", lo as (select 'all' as subset, agrees, round((match_score + score_margin) / 2, 9) as z from ag union all select 'without_margin', agrees, round(match_score, 9) from ag union all select 'without_score', agrees, round(score_margin, 9) from ag) " + _auc_sql("z", "subset", "lo"),
     "AG19_grid": EVAL + "select * from gr",
     "AG20_choose": EVAL + "select * exclude (rn) from (select *, row_number() over (partition by stage order by within_bound desc, case when within_bound then -accepted else 0 end, rate, accepted desc, threshold, min_margin) as rn from (select *, rate <= 0.02 and evaluable >= 10 as within_bound from (select *, round(coalesce(disagree / nullif(evaluable, 0), 1.0), 9) as rate from gr))) where rn = 1",
-    "AG22_disjoint": "select count(distinct coalesce(recording_mbid, '~')) as recordings, 0 as violations from ext_listens_2026_06",
+    "AG22_disjoint": "with x as (select recording_mbid, case when recording_mbid is null then 'NOT_EVALUABLE' when cast('0x' || substr(sha256('rillmark-dev-1:' || recording_mbid), 1, 8) as bigint) % 100 >= 80 then 'holdout' when cast('0x' || substr(sha256('rillmark-cal-1:' || recording_mbid), 1, 8) as bigint) % 100 < 75 then 'calibration' else 'validation' end as part from ext_listens_2026_06) select count(*) as recordings, count(*) filter (where n > 1) as violations from (select count(distinct part) as n from x group by recording_mbid)",
     "AG14_boolean": "select match_tier, bool_or(score_margin < 0.02) as any_thin, bool_and(match_status = 'MATCHED') as all_matched from silver_listen_matches group by 1",
     "AG15_quantiles": "select unnest([0.1::double, 0.5::double, 0.9::double]) as q, unnest(quantile_disc(match_score, [0.1, 0.5, 0.9])) as match_score from silver_listen_matches where match_score is not null",
     "AG30_grain": "with g as (select count(*) as n, count(distinct coalesce(recording_name, '~')) as a, count(distinct coalesce(release_name, '~')) as b, count(distinct coalesce(score::varchar, '~')) as c from bronze_canonical_recordings group by recording_mbid) select n as rows_per_key, count(*) as keys, count(*) filter (where greatest(a, b, c) > 1) as keys_differing, count(*) filter (where a > 1) as differs_recording_name, count(*) filter (where b > 1) as differs_release_name, count(*) filter (where c > 1) as differs_score from g group by 1",
@@ -564,7 +564,7 @@ SQL = {
     "P2_reconcile_source": "select count(*) as total, count(*) filter (where listened_at >= timestamp '2026-06-01' and listened_at < timestamp '2026-07-01') as in_period, count(*) filter (where not (listened_at >= timestamp '2026-06-01' and listened_at < timestamp '2026-07-01')) as out_of_period, count(*) filter (where listened_at is null) as unclassified from ext_listens_2026_06",
     "J23_cross_source": "with a as (select distinct sha256(user_id || '|' || epoch_us(listened_at) || '|' || recording_msid) as listen_hash, listened_at, recording_msid, artist_name as xa from ext_listens_2026_06), b as (select distinct listen_hash, listened_at, recording_msid, artist_name, true as hit from bronze_listens) select count(*) as raw, count(hit) as loaded, count(*) filter (where hit and xa is not distinct from artist_name) as same_artist from a left join b using (listen_hash, listened_at, recording_msid)",
     "GN2_defects": f"select recording_mbid, case when rn <= 5 then 'SHARE_SUM' when rn <= 9 then 'OVERLAP' when rn <= 13 then 'GAP' when rn <= 15 then 'INVALID_INTERVAL' else 'MISSING_HOLDER' end as defect from (select recording_mbid, row_number() over (order by sha256('defect|' || recording_mbid), recording_mbid) as rn from (select distinct {LOW('recording_mbid')} as recording_mbid from bronze_canonical_recordings)) where rn <= 18",
-    "GN3_gap_days": "select unnest(['2026-06-10', '2026-06-11', '2026-06-12']) as day",
+    "GN3_gap_days": OWN + "select strftime(d, '%Y-%m-%d') as day from (select unnest(generate_series(date '2026-06-01', date '2026-06-30', interval 1 day)) as d) where not exists (select 1 from rg where d >= range_from and d < range_to)",
     "Q2_injected_detected": "select * from (values ('SHARE_SUM', 5, 5), ('OVERLAP', 4, 4), ('GAP', 4, 4), ('INVALID_INTERVAL', 2, 2), ('MISSING_HOLDER', 3, 3)) t(defect, injected, detected)",
     "F30_dates": "select distinct strftime(period, '%Y-%m-%d') as period, strftime(date_trunc('month', period), '%Y-%m-%d') as first_day, strftime(date_trunc('month', period) + interval 1 month, '%Y-%m-%d') as next_month, strftime(period - 1, '%Y-%m-%d') as day_before from fct_restatements",
     "F27_rounding": "select distinct recording_mbid, rights_holder_id, cast(round(restated_payout, 2) as double) as rounded, cast(floor(restated_payout * 100) as bigint) as floor_cents from fct_restatements",
