@@ -49,6 +49,8 @@ IDS = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|\b[A-Za-
 QUOTED = re.compile(r"“[^“”.!?。\n]{1,90}”|„[^„“.!?。\n]{1,90}“|«[^«».!?。\n]{1,90}»|「[^「」.!?。\n]{1,90}」|‘[^‘’.!?。\n]{1,90}’")
 ENDS = re.compile(r"(?<=[.!?…])[\"”»’'\)\]」]*\s+|(?<=[。！？])[」』）\)]*|\n+")
 LETTERS = re.compile(r"[^\W\d_]")
+TWO_LETTERS = re.compile(r"[^\W\d_].*?[^\W\d_]", re.S)
+DIGIT = re.compile(r"\d")
 PIECE = 400
 
 
@@ -66,12 +68,14 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 def plain(sentence: str) -> str:
     """What of a sentence tells its language: lower case, without tags, ids, numbers and quoted titles; '' when no word is left."""
-    s = IDS.sub(" ", TAG.sub(" ", sentence))
+    s = TAG.sub(" ", sentence) if "<" in sentence else sentence
+    if DIGIT.search(s) or "://" in s:
+        s = IDS.sub(" ", s)
     bare = QUOTED.sub(" ", s)
-    if len(LETTERS.findall(bare)) >= 8:
+    if bare is not s and len(LETTERS.findall(bare)) >= 8:
         s = bare
     s = " ".join(s.split()).lower().strip(" -#+*>•—–;:,.!?…()[]\"'")
-    return s if len(LETTERS.findall(s)) >= 2 else ""
+    return s if TWO_LETTERS.search(s) else ""
 
 
 def bare(s: str) -> str:
