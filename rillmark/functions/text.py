@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as K
 
 from rillmark.functions.translit import inventory, transliterate
 
@@ -119,19 +120,19 @@ def normalize_pairs(pairs: DataFrame, key: str, artist: str, recording: str, scr
     return out.withColumn("normalization_version", F.lit(VERSION))
 
 
-@F.pandas_udf("struct<text:string,covered:boolean>")
+@F.pandas_udf(K.StructType([K.StructField("text", K.StringType()), K.StructField("covered", K.BooleanType())]))
 def romanised(s: pd.Series) -> pd.DataFrame:
     """Hangul and kana in Latin letters, and whether nothing else than Latin is left."""
     return pd.DataFrame([transliterate(x) for x in s], columns=["text", "covered"])
 
 
-@F.pandas_udf("struct<hangul:int,kana:int,han:int,latin:int,other:int>")
+@F.pandas_udf(K.StructType([K.StructField(n, K.IntegerType()) for n in ("hangul", "kana", "han", "latin", "other")]))
 def scripts_of(s: pd.Series) -> pd.DataFrame:
     """Letters per script group."""
     return pd.DataFrame([inventory(x) for x in s], columns=["hangul", "kana", "han", "latin", "other"])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(K.StringType())
 def dominant_script(s: pd.Series) -> pd.Series:
     """Script group of most letters, by Unicode character name; ties by name, NONE without letters."""
 
