@@ -110,8 +110,8 @@ class LangParams:
     steps: int = 400
     more_steps: int = 350
     hidden: int = 24
-    scale: float = 8.0
-    switch: float = 4.0
+    scale: float = 6.0
+    switch: float = 3.0
     seed: int = 7
 
 
