@@ -132,7 +132,6 @@ def read_title(s: str) -> tuple[list[str], str, str, bool]:
         marks.append(k)
         return " "
 
-    cut = s.rstrip(" \"'.!)]").endswith("…")
     s = BRACKET.sub(take, s)
     while " - " in s:
         head, tail = s.rsplit(" - ", 1)
@@ -141,6 +140,7 @@ def read_title(s: str) -> tuple[list[str], str, str, bool]:
         marks.append(k)
         s = head
     s = CUT_GUEST.sub("", s)
+    cut = s.rstrip(" \"'.!").endswith("…")
     if m := PART_TAIL.search(s):
         marks.append(("part", str(_number(m[1]))))
         s = s[: m.start()]
@@ -155,14 +155,15 @@ def read_artist(s: str) -> tuple[list[str], bool]:
     s = CUT_COMPANY.sub("", s.strip(" \"'"))
     cut = s.endswith("…")
     s = BRACKET.sub(lambda m: " " if _mark(m[1]) else " " + m[1] + " ", s)
+    # 'last, first'; swapped twice it is 'first, last,'
     if len(bits := [x for x in s.split(",") if x.strip()]) == 2:
-        s = f"{bits[1]} {bits[0]}"
+        s = f"{bits[1]} {bits[0]}" if s.count(",") % 2 else f"{bits[0]} {bits[1]}"
     w = words(s.replace("&", " and ").replace("+", " and "))
     return (w[1:] if len(w) > 1 and ARTICLE.fullmatch(w[0]) else w), cut
 
 
 def placeholder(s: str) -> bool:
-    w = words(s)
+    w = words(CUT_COMPANY.sub("", s))
     if len(w) == 2 and near(w[0], "various") and near(w[1], "artists"):
         return True
     return " ".join(w) in PLACEHOLDERS or (len(w) > 1 and near(w[-1], "uploads"))
