@@ -103,15 +103,17 @@ def pieces(s: str) -> list[bytes]:
 class LangParams:
     """``docs_per_label``: documents per named language that the network is trained on, the bound of the sample; ``steps`` of training,
     then ``more_steps`` without the sentences that contradict their label. ``scale``: positions that count as one
-    independent look. ``switch``: log-cost of a change of language between sentences."""
+    independent look. ``switch``: log-cost of a change of language between sentences. ``short``: a fragment of fewer bytes,
+    as a name or title is, speaks by the square of its length."""
 
     docs_per_label: int = 160
     sentences_per_label: int = 1200
     steps: int = 400
     more_steps: int = 350
     hidden: int = 24
-    scale: float = 6.0
-    switch: float = 3.0
+    scale: float = 8.0
+    switch: float = 4.0
+    short: int = 36
     seed: int = 7
 
 
@@ -124,21 +126,16 @@ class Identifier:
 
 def training_docs(docs: DataFrame, p: LangParams) -> list[tuple[str, str]]:
     """At most ``docs_per_label`` (language, text) per named language: the documents with the smallest salted id hash, alike on every run and layout."""
-    langs = docs.select("lang").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where("lang is not null")
-    counts: dict[str, int] = {}
-    spell: dict[str, str] = {}
-    for lab, n in langs.collect():  # one row per spelling of a label
-        code = label_language(lab)
-        if code in NAMES:
-            counts[code] = counts.get(code, 0) + n
-            spell[lab] = code
-    if not spell:
+    known = F.create_map(*[F.lit(x) for kv in sorted(CODE.items()) for x in kv])
+    label = F.lower(F.trim("lang"))
+    code = F.coalesce(F.try_element_at(known, label), F.try_element_at(known, F.element_at(F.split(label, r"[\s_\-(,;/.]"), 1)))
+    d = docs.where("lang is not null and text is not null").select("doc_id", "text", code.alias("code")).where("code is not null")
+    counts = {r["code"]: r["n"] for r in d.groupBy("code").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per language of the table above
+    if not counts:
         return []
-    code = F.create_map(*[F.lit(x) for kv in spell.items() for x in kv])[F.col("lang")]
     h = hash32(F.concat_ws("|", F.lit(f"langid-{p.seed}"), F.col("doc_id").cast("string")))
     limit = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int(min(1.0, (2.0 * p.docs_per_label + 20) / n) * (1 << 32)))])
-    d = docs.where(F.col("lang").isin(list(spell))).select(code.alias("code"), h.alias("h"), "doc_id", "text").where((F.col("h") < limit[F.col("code")]) & F.col("text").isNotNull())
-    rows = d.collect()  # about twice the bound per label
+    rows = d.withColumn("h", h).where(F.col("h") < limit[F.col("code")]).collect()  # about twice the bound per language
     out = []
     for c in sorted(counts):
         own = sorted((r for r in rows if r.code == c), key=lambda r: (r.h, r.doc_id))[: p.docs_per_label]
@@ -220,7 +217,7 @@ def segments(model: Identifier, texts: list[str]) -> list[list[tuple[str, float,
             out.append([("und", 0.0, 0, len(t))])
             continue
         idx = [i for _, _, i in own]
-        path = _viterbi(total[idx] / p.scale, p.switch)
+        path = _viterbi(total[idx] * (np.minimum(1.0, (size[idx] / p.short) ** 2) / p.scale)[:, None], p.switch)
         segs: list[list] = []
         for (_, b, i), k in zip(own, path):
             if segs and segs[-1][0] == k:
