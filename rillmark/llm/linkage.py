@@ -83,7 +83,7 @@ def common_words(classes: DataFrame, p: LinkParams) -> tuple[list[str], list[str
 def block_keys(common: tuple[list[str], list[str]]) -> Column:
     """Array of 64-bit block keys of a reading (aw, tw, ra, rt).
 
-    (artist, title word), (title, first or last letter of the artist), (artist word, title word) unless both are common,
+    (artist, title word), (title, first or last two letters of the artist), (artist word, title word) unless both are common,
     and (artist word, two title words) where all are common. Any two names that share one artist word and one title word,
     or all of one of them, meet, as long as one shared word is not common or two common title words are shared.
     """
@@ -92,7 +92,7 @@ def block_keys(common: tuple[list[str], list[str]]) -> Column:
     ca, ct = (F.array(*[F.lit(x) for x in c]).cast("array<string>") for c in common)
     h = lambda tag, *c: F.xxhash64(F.lit(tag), *c)
     k1 = F.transform(tw, lambda t: h("at", F.col("ra"), t))
-    k2 = F.array(h("tf", F.col("rt"), F.substring("ra", 1, 1)), h("tl", F.col("rt"), F.substring("ra", -1, 1)))
+    k2 = F.array(h("tf", F.col("rt"), F.substring("ra", 1, 2)), h("tl", F.col("rt"), F.substring("ra", -2, 2)))
     rare_a, some_a = F.array_except(aw, ca), F.array_intersect(aw, ca)
     rare_t, some_t = F.array_except(tw, ct), F.array_intersect(tw, ct)
     pair = lambda xs, ys: F.flatten(F.transform(xs, lambda a: F.transform(ys, lambda t: h("ww", a, t))))
