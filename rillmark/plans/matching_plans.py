@@ -12,6 +12,7 @@ from rillmark.operators import evaluation as E
 from rillmark.operators import matching as M
 from rillmark.operators import profile as P
 from rillmark.operators.skew import salted_join
+from rillmark.session import checkpointed
 
 RULES = M.ScoringRules()
 
@@ -109,7 +110,14 @@ def ag2_sole(s: SparkSession, d: str) -> DataFrame:
 
 
 def _match(s: SparkSession, d: str) -> DataFrame:
-    return M.match_texts(_texts(s, d), _cands(s, d), _feats(s, d), RULES)
+    """Pairs and candidates feed several branches, so each is made once and cut from its lineage."""
+    pairs = checkpointed(_pairs(s, d))
+    cands = checkpointed(M.candidates(pairs, M.blocking_index(_catalogue(s, d))))
+    texts = M.texts_of(_listens(s, d), pairs)
+    universe = M.scored_universe(cands)
+    # candidates' texts only: the scored universe is a small part of the catalogue
+    canon = M.canonical_texts(_catalogue(s, d).join(universe.select("recording_mbid").distinct(), "recording_mbid", "left_semi"))
+    return M.match_texts(texts, cands, M.features(universe, texts, canon), RULES)
 
 
 def m1_match(s: SparkSession, d: str) -> DataFrame:
