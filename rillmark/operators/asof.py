@@ -17,8 +17,12 @@ def in_force(events: DataFrame, versions: DataFrame, entity: str, day: str, star
     that it covers, so the join makes no row that is not a result.
 
     Null entity or dates, and end <= start, match nothing. Repeated events or versions give repeated rows; several
-    versions in force give several rows.
+    versions in force give several rows. A column of ``versions`` that ``events`` has too, the entity aside, comes out with
+    ``_version`` behind its name.
     """
+    clash = [c for c in versions.columns if c != entity and c in events.columns]
+    versions = versions.withColumnsRenamed({c: f"{c}_version" for c in clash})
+    start, end = (f"{c}_version" if c in clash else c for c in (start, end))
     ev = events.where(F.col(entity).isNotNull() & F.col(day).isNotNull())
     vs = versions.where(F.col(entity).isNotNull() & (F.col(start) < F.col(end)))
     marks = vs.select(F.col(entity).alias("_e"), F.explode(F.array(start, end)).alias("_d"), F.lit(1).alias("_chg"), F.lit(0).alias("_evt"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def _same(field: str, dtype: str, tol: float) -> str:
-    a, b = f"a.`{field}`", f"b.`{field}`"
+    a, b = f"__prior.`{field}`", f"__restated.`{field}`"
     if dtype in ("double", "float"):
         # <=> first: it settles nulls, NaN and infinities
         return f"({a} <=> {b} or coalesce(abs({a} - {b}) <= {tol!r}D, false))"
@@ -28,11 +28,11 @@ def differences(prior: DataFrame, restated: DataFrame, keys: list[str], fields:
     side = lambda df, n: df.select(*keys, F.lit(n).alias("_side"), F.struct(*fields).alias("_v"))
     both = side(prior, 0).unionByName(side(restated, 1))
     pick = lambda n: F.min(F.when(F.col("_side") == n, F.col("_v")))
-    g = both.groupBy(*keys).agg(pick(0).alias("a"), pick(1).alias("b"))
+    g = both.groupBy(*keys).agg(pick(0).alias("__prior"), pick(1).alias("__restated"))
     types = dict(prior.dtypes)
     checks = ", ".join(f"named_struct('f', '{f}', 'ok', {_same(f, types[f], tol)})" for f in fields)
     kinds = f"""
-        case when b is null then array(named_struct('diff_kind', 'only_prior', 'field_name', ''))
-             when a is null then array(named_struct('diff_kind', 'only_restated', 'field_name', ''))
+        case when __restated is null then array(named_struct('diff_kind', 'only_prior', 'field_name', ''))
+             when __prior is null then array(named_struct('diff_kind', 'only_restated', 'field_name', ''))
              else transform(filter(array({checks}), x -> not x.ok), x -> named_struct('diff_kind', 'differs', 'field_name', x.f)) end"""
     return g.select(*keys, F.explode(F.expr(kinds)).alias("d")).select(*keys, "d.diff_kind", "d.field_name")

@@ -31,6 +31,13 @@ def test_in_force_boundaries_and_empty(spark):
     assert asof.in_force(e, v.limit(0), "ent", "day", "a", "b").count() == 0
 
 
+def test_in_force_with_clashing_columns(spark):
+    v = spark.createDataFrame([("e", "v", D0, D0 + dt.timedelta(days=2), "w")], "ent string, ver string, a date, b date, day string")
+    e = spark.createDataFrame([("e", D0, "x", 7)], "ent string, day date, ver string, a int")
+    r = asof.in_force(e, v, "ent", "day", "a", "b").first()
+    assert (r.ver, r.ver_version, r.a, r.a_version, r.day, r.day_version) == ("x", "v", 7, D0, D0, "w")
+
+
 def landings_frame(spark, seen):
     """seen: {landing: {holder: (x, y)}}"""
     rows = []

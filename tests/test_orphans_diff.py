@@ -61,3 +61,9 @@ def test_differences(spark):
     assert got == {("2", "differs", "n"), ("2", "differs", "y"), ("3", "differs", "x"), ("5", "only_prior", ""), ("6", "only_restated", ""), (None, "differs", "y"), ("7", "differs", "y")}
     assert diff.differences(a.limit(0), b.limit(0), ["k"], ["n"]).count() == 0
     assert {r.diff_kind for r in diff.differences(a.limit(0), b, ["k"], ["n"]).collect()} == {"only_restated"}
+
+
+def test_differences_with_clashing_names(spark):
+    s = "a string, b int, diff_kind string"
+    x, y = spark.createDataFrame([("k", 1, "p")], s), spark.createDataFrame([("k", 2, "q")], s)
+    assert [tuple(r) for r in diff.differences(x, y, ["a"], ["b"]).collect()] == [("k", "differs", "b")]
