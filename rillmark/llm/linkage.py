@@ -210,14 +210,15 @@ def link(texts: DataFrame, catalogue: DataFrame, p: LinkParams = LinkParams()) -
     """(text_key, record_key, posterior): the one catalogued record that each text stands for, where there is one.
 
     ``texts``: (text_key, artist, title, release), ``catalogue``: (record_key, artist, title, release); repeated rows are
-    united first. Null, blank or placeholder names give no match; a null release decides nothing. Equal names of several
+    united first and other columns ignored. Null, blank or placeholder names give no match; a null release decides nothing. Equal names of several
     records are settled by the release alone, and stay unmatched if it cannot.
     """
-    cat = read_names(catalogue.distinct(), "record_key", "artist", "title", "release", whole=True)
+    names = ["artist", "title", "release"]
+    cat = read_names(catalogue.select("record_key", *names).distinct(), "record_key", "artist", "title", "release", whole=True)
     cat = checkpointed(cat.withColumn("cid", F.xxhash64("ra", "rt", "kinds")))
     classes = cat.groupBy("cid").agg(*[F.min(c).alias(c) for c in ("ra", "rt", "kinds", "aw", "tw")])
     common = common_words(classes, p)
-    raw = texts.distinct()
+    raw = texts.select("text_key", *names).distinct()
     t = checkpointed(read_names(raw.withColumn("tid", F.xxhash64("text_key", "artist", "title", "release")), "tid", "artist", "title", "release"))
     pairs = candidates(t, classes, common)
     pairs = checkpointed(pairs.repartition("tid"))

@@ -28,7 +28,7 @@ def encoder(path: str):
 
 def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """``docs`` without ``text`` and with ``n_tokens``; a null or empty text has none. Whole texts are encoded; no shuffle."""
-    keep = [c for c in docs.columns if c != "text"]
+    keep = [c for c in docs.columns if c not in ("text", "n_tokens")]
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep) + ", n_tokens long"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -69,3 +69,12 @@ def test_empty_tables(spark):
     c, t = spark.createDataFrame([("r", "A B", "C D", None)], C), spark.createDataFrame([("t", "A B", "C D", None)], T)
     assert linkage.link(t.limit(0), c).count() == 0 and linkage.link(t, c.limit(0)).count() == 0
     assert [r.record_key for r in linkage.link(t, c).collect()] in (["r"], [])
+
+
+def test_clashing_extra_columns(spark):
+    cat, texts, _ = world(7, 60)
+    c = spark.createDataFrame([(*x, 1, "z") for x in cat], C + ", cid int, rid string")
+    t = spark.createDataFrame([(*x, 2.0, "y") for x in texts], T + ", tid double, posterior string")
+    a = {tuple(r)[:2] for r in linkage.link(t, c).collect()}
+    b = {tuple(r)[:2] for r in linkage.link(t.drop("tid", "posterior"), c.drop("cid", "rid")).collect()}
+    assert a == b and a
