@@ -194,6 +194,15 @@ fm as (select holder_id, lower(form) as display_name, max_by(form, (n, form)) as
 select substr(sha256(holder_id || '|' || epoch_us(version_from)), 1, 16) as holder_version_id, holder_id, fm.form as display_name, holder_type, payee_status, model_scope,
 version_from as version_valid_from, version_to as version_valid_to, version_to is null as is_current from v left join fm using (holder_id, display_name)"""
 
+_DIM_FIELDS = [*ATTRS, "until", "is_current"]
+P6_DIM_SQL = _P6 + f"""
+, mine as (select holder_id, cast(version_from as date) as day, {', '.join(ATTRS)}, cast(version_to as date) as until, version_to is null as is_current from v),
+d0 as (select {UP('holder_id')} as holder_id, cast(version_valid_from as date) as day, lower({STRIP.format('display_name')}) as display_name, {', '.join(f"upper({STRIP.format(a)}) as {a}" for a in ATTRS[1:])}, cast(version_valid_to as date) as until, is_current from dim_rights_holders),
+dim as (select * exclude (rn) from (select *, row_number() over (partition by holder_id, day order by {', '.join(f'{c} nulls first' for c in _DIM_FIELDS)}) as rn from d0) where rn = 1),
+j as (select coalesce(d.holder_id, m.holder_id) as holder_id, coalesce(d.day, m.day) as day, d.day is not null as ind, m.day is not null as inm, {', '.join(f'd.{c} is distinct from m.{c} as x_{c}' for c in _DIM_FIELDS)} from dim d full outer join mine m on d.holder_id = m.holder_id and d.day = m.day),
+e as (select holder_id, day, 'only_prior' as diff_kind, '' as field_name from j where not inm union all select holder_id, day, 'only_restated', '' from j where not ind {' '.join(f"union all select holder_id, day, 'differs', '{c}' from j where ind and inm and x_{c}" for c in _DIM_FIELDS)})
+select holder_id, strftime(day, '%Y-%m-%d') as version_from, diff_kind, field_name from e"""
+
 
 # ---- 7: differences of two copies
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -233,5 +242,5 @@ QUERIES = {
 }
 SQL = {
     "p2_found": P2_SQL, "p2_periods": P2_PERIODS_SQL, "p3_found": P3_SQL, "p3_report": P3_REPORT_SQL, "p5_found": P5_SQL, "p5_shares": P5_SHARES_SQL,
-    "p6_found": P6_SQL, "p6_history": P6_HISTORY_SQL, "p7_found": P7_SQL, "p7_summary": P7_SUMMARY_SQL,
+    "p6_found": P6_SQL, "p6_history": P6_HISTORY_SQL, "p6_dim_errors": P6_DIM_SQL, "p7_found": P7_SQL, "p7_summary": P7_SUMMARY_SQL,
 }
