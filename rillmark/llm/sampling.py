@@ -16,50 +16,45 @@ def salted_hash(key: Column, salt: str) -> Column:
     return F.conv(F.substring(F.sha2(F.concat(F.lit(salt + "|"), key.cast("string")), 256), 1, BITS // 4), 16, 10).cast("bigint")
 
 
-def bottom_k(rows: DataFrame, group: list[str], h: str, key: str, k: DataFrame, whole: int = 200_000) -> DataFrame:
+def bottom_k(rows: DataFrame, group: list[str], h: str, key: str, k: DataFrame, whole: int = 200_000, most_large: int = 500_000) -> DataFrame:
     """The rows with the ``k`` smallest (h, key) of each group, exactly; ``k`` has (group..., k), groups without a row there give none.
 
-    Groups of up to ``whole`` rows are ranked in a window. For a larger one the k-th smallest hash is narrowed down by
-    histograms of 15 bits at a time, as long as the bin that holds it is larger than ``whole``; bins are counted with map-side
-    combine, so no task sees a large group. Equal hashes are told apart by ``key``. Only groups that are large are held
-    by the driver, at most rows/whole of them. ``rows`` is read several times: checkpoint it first if it is costly.
+    Groups of up to ``whole`` rows are ranked in a window. For the larger ones, all at once, the k-th smallest hash is
+    narrowed down by histograms of 15 bits at a time until the bin that holds it has at most ``whole`` rows; bins are
+    counted with map-side combine, so no task sees a large group. What is broadcast is one short row per large group, at
+    most rows/whole of them; ``whole`` is raised so that there are at most ``most_large``. Equal hashes are told apart by
+    ``key``, in one task when a single hash value has very many rows. ``rows`` is read several times: checkpoint it first
+    if it is costly. Null group values match no row of ``k``.
     """
-    sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).join(k, group).where("k > 0")
-    sizes = checkpointed(sizes)
-    big = sizes.where(F.col("_n") > whole).collect()
-    same = lambda r: [F.col(g).eqNullSafe(F.lit(r[g])) for g in group]
-
-    def all_of(cs: list[Column]) -> Column:
-        out = F.lit(True)
-        for c in cs:
-            out = out & c
-        return out
-
+    sizes = checkpointed(rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).join(k, group).where("k > 0"))
+    total = sizes.agg(F.sum("_n")).first()[0] or 0
+    whole = max(whole, -(-total // most_large))
+    large = sizes.where(F.col("_n") > whole)
     w = W.partitionBy(*group).orderBy(h, key)
-    small = sizes.where(F.col("_n") <= whole)
     rest = rows
-    for r in big:  # else their rows would be shuffled by group, only to be dropped
-        rest = rest.where(~all_of(same(r)))
-    out = rest.join(small, group).withColumn("_r", F.row_number().over(w)).where("_r <= k").drop("_r", "_n", "k")
-    for r in big:
-        if r["k"] >= r["_n"]:
-            out = out.unionByName(rows.where(all_of(same(r))))
-            continue
-        lo, shift, left, n = 0, BITS, int(r["k"]), int(r["_n"])
-        mine = rows.where(all_of(same(r)))
-        while n > whole and shift > 0:
-            shift -= STEP
-            inside = mine.where((F.col(h) >= lo) & (F.col(h) < lo + (1 << (shift + STEP))))
-            bins = inside.groupBy(F.shiftright(F.col(h), shift).alias("b")).agg(F.count(F.lit(1)).alias("n"))
-            # at most 2^15 bins
-            upto = F.sum("n").over(W.orderBy("b"))
-            hit = bins.withColumn("c", upto).where(F.col("c") >= left).orderBy("b").first()
-            left -= int(hit["c"] - hit["n"])
-            lo, n = int(hit["b"]) << shift, int(hit["n"])
-        rim = mine.where((F.col(h) >= lo) & (F.col(h) < lo + (1 << shift)))
-        ranked = rim.withColumn("_r", F.row_number().over(W.orderBy(h, key))).where(F.col("_r") <= left).drop("_r")
-        out = out.unionByName(mine.where(F.col(h) < lo)).unionByName(ranked)
-    return out
+    if not large.isEmpty():  # else their rows would be shuffled by group, only to be dropped
+        rest = rows.join(F.broadcast(large.select(*group)), group, "left_anti")
+    small = sizes.where(F.col("_n") <= whole)
+    out = rest.join(small, group).withColumn("_r", F.row_number().over(w)).where("_r <= k").select(*rows.columns)
+    if large.isEmpty():
+        return out
+    state, shift = large.select(*group, F.lit(0).cast("bigint").alias("_lo"), F.least("k", "_n").cast("bigint").alias("_left")), BITS
+    in_bin = lambda sh: (F.col(h) >= F.col("_lo")) & (F.col(h) < F.col("_lo") + (1 << sh))
+    while shift > 0:
+        inside = rows.join(F.broadcast(state), group).where(in_bin(shift))
+        shift -= STEP
+        bins = inside.groupBy(*group, "_lo", "_left", F.shiftright(F.col(h), shift).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+        # at most 2^15 bins a group
+        bins = bins.withColumn("_c", F.sum("_n").over(W.partitionBy(*group).orderBy("_b")))
+        hit = bins.where((F.col("_c") >= F.col("_left")) & (F.col("_c") - F.col("_n") < F.col("_left")))
+        state = checkpointed(hit.select(*group, F.shiftleft(F.col("_b"), shift).alias("_lo"), (F.col("_left") - F.col("_c") + F.col("_n")).alias("_left"), "_n"))
+        if (state.agg(F.max("_n")).first()[0] or 0) <= whole:
+            break
+        state = state.drop("_n")
+    j = rows.join(F.broadcast(state.drop("_n")), group)
+    below = j.where(F.col(h) < F.col("_lo")).select(*rows.columns)
+    rim = j.where(in_bin(shift)).withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.col("_left")).select(*rows.columns)
+    return out.unionByName(below).unionByName(rim)
 
 
 def frozen_sample(df: DataFrame, key: Column, batch: Column, per_million: int, salt: str) -> DataFrame:
