@@ -107,7 +107,8 @@ def mixture(docs: DataFrame, targets: DataFrame, salt: str = "rillmark-mix-1") -
     """
     t = targets.select(source_key("source").alias("source"), F.col("target_share").alias("share"), F.col("max_repeats").alias("m")).where("source is not null")
     t = checkpointed(t.groupBy("source").agg(F.sum("share").alias("share"), F.max("m").alias("m")))
-    d = docs.select("doc_id", source_key("source").alias("source"), "n_tokens").where("doc_id is not null and source is not null and n_tokens > 0")
+    wanted = [r["source"] for r in t.collect()]  # a few rows; documents of other sources go no further
+    d = docs.select("doc_id", source_key("source").alias("source"), "n_tokens").where("doc_id is not null and n_tokens > 0").where(F.col("source").isin(wanted))
     d = d.groupBy("doc_id").agg(F.min(F.struct("source", "n_tokens")).alias("x")).select("doc_id", "x.*")
     d = checkpointed(d)
     hist = checkpointed(d.groupBy("source", "n_tokens").agg(F.count(F.lit(1)).alias("c")))
