@@ -50,6 +50,9 @@ QUOTED = re.compile(r"“[^“”.!?。\n]{1,90}”|„[^„“.!?。\n]{1,90}
 ENDS = re.compile(r"(?<=[.!?…])[\"”»’'\)\]」]*\s+|(?<=[。！？])[」』）\)]*|\n+")
 LETTERS = re.compile(r"[^\W\d_]")
 TWO_LETTERS = re.compile(r"[^\W\d_].*?[^\W\d_]", re.S)
+#: letters of other scripts than Latin, and Latin words
+OTHER = re.compile("[\u0370-\u03ff\u0400-\u04ff\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]+")
+LATIN = re.compile("[A-Za-z\u00c0-\u024f]+(?:['’&.\\- ]+[A-Za-z\u00c0-\u024f]+)*")
 DIGIT = re.compile(r"\d")
 PIECE = 400
 
@@ -67,13 +70,18 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 
 def plain(sentence: str) -> str:
-    """What of a sentence tells its language: lower case, without tags, ids, numbers and quoted titles; '' when no word is left."""
+    """What of a sentence tells its language: lower case, without tags, ids, numbers, quoted titles and names in a script that is not the sentence's own (the one of most bytes); '' when no word is left."""
     s = TAG.sub(" ", sentence) if "<" in sentence else sentence
     if DIGIT.search(s) or "://" in s:
         s = IDS.sub(" ", s)
     bare = QUOTED.sub(" ", s)
     if bare is not s and len(LETTERS.findall(bare)) >= 8:
         s = bare
+    if not s.isascii() and (other := OTHER.findall(s)):
+        latin = LATIN.findall(s)
+        own = LATIN.sub(" ", s) if 3 * sum(map(len, other)) > 2 * sum(map(len, latin)) else OTHER.sub(" ", s)
+        if len(LETTERS.findall(own)) >= 8:
+            s = own
     s = " ".join(s.split()).lower().strip(" -#+*>•—–;:,.!?…()[]\"'")
     return s if TWO_LETTERS.search(s) else ""
 
@@ -108,8 +116,8 @@ class LangParams:
 
     docs_per_label: int = 160
     sentences_per_label: int = 1200
-    steps: int = 400
-    more_steps: int = 350
+    steps: int = 450
+    more_steps: int = 400
     hidden: int = 24
     scale: float = 8.0
     switch: float = 4.0
