@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from rillmark.operators import asof
+
 KEYS = ["recording_mbid", "split_version_id"]
 
 
@@ -23,13 +25,29 @@ def sets_of(splits: DataFrame, holders: DataFrame) -> DataFrame:
 def overlaps(sets: DataFrame) -> DataFrame:
     """Per set the number of other sets of its recording that share a day with it; both intervals must be valid.
 
-    An equi-join on the recording with a range residual. The sets of one recording are few; a recording with many is
-    handled by ``operators.intervals``, whose work is bounded by days.
+    Counted, not paired: of valid intervals those that meet [a, b) are the ones that start before b less the ones that end
+    by a. Both are prefix sums over a recording's days, so a recording with very many sets costs no more than its rows.
     """
     v = sets.where("valid_from < valid_to").select(*KEYS, "valid_from", "valid_to")
-    b = v.select("recording_mbid", F.col("split_version_id").alias("o"), F.col("valid_from").alias("of"), F.col("valid_to").alias("ot"))
-    j = v.join(b, "recording_mbid").where("split_version_id <> o and valid_from < ot and of < valid_to")
-    return j.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("overlapping_sets"))
+    mark = F.array(F.struct(F.col("valid_from").alias("day"), F.lit(1).alias("s"), F.lit(0).alias("e")), F.struct(F.col("valid_to").alias("day"), F.lit(0).alias("s"), F.lit(1).alias("e")))
+    days = v.select("recording_mbid", F.explode(mark).alias("m")).groupBy("recording_mbid", F.col("m.day").alias("day")).agg(F.sum("m.s").alias("s"), F.sum("m.e").alias("e"))
+    w = W.partitionBy("recording_mbid").orderBy("day")
+    days = days.select("recording_mbid", "day", F.coalesce(F.sum("s").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("begun"), F.sum("e").over(w.rowsBetween(W.unboundedPreceding, 0)).alias("over"))
+    at_end = days.select("recording_mbid", F.col("day").alias("valid_to"), "begun")
+    at_start = days.select("recording_mbid", F.col("day").alias("valid_from"), "over")
+    j = v.join(at_end, ["recording_mbid", "valid_to"]).join(at_start, ["recording_mbid", "valid_from"])
+    return j.select(*KEYS, (F.col("begun") - F.col("over") - 1).alias("overlapping_sets")).where("overlapping_sets > 0")
+
+
+def coverage(days: DataFrame, sets: DataFrame) -> DataFrame:
+    """``days`` (recording_mbid, listen_date, streams; one row a day) with the numbers of sets in force, all and valid: prefix sums of interval ends over each recording's days."""
+    v = sets.where("valid_from < valid_to").withColumn("v", F.coalesce("is_valid_set", F.lit(False)).cast("int"))
+    mark = F.array(F.struct(F.col("valid_from").alias("day"), F.lit(1).alias("a"), F.col("v")), F.struct(F.col("valid_to").alias("day"), F.lit(-1).alias("a"), (-F.col("v")).alias("v")))
+    m = v.select("recording_mbid", F.explode(mark).alias("m")).select("recording_mbid", "m.day", "m.a", "m.v", F.lit(None).cast("bigint").alias("streams"), F.lit(0).alias("ev"))
+    e = days.select("recording_mbid", F.col("listen_date").alias("day"), F.lit(0).alias("a"), F.lit(0).alias("v"), F.col("streams").cast("bigint").alias("streams"), F.lit(1).alias("ev"))
+    g = m.unionByName(e).groupBy("recording_mbid", "day").agg(F.sum("a").alias("a"), F.sum("v").alias("v"), F.max("streams").alias("streams"), F.max("ev").alias("ev"))
+    w = W.partitionBy("recording_mbid").orderBy("day").rowsBetween(W.unboundedPreceding, 0)
+    return g.select("recording_mbid", F.col("day").alias("listen_date"), "streams", "ev", F.sum("a").over(w).alias("covering"), F.sum("v").over(w).alias("n")).where("ev = 1").drop("ev")
 
 
 def gaps(sets: DataFrame) -> DataFrame:
@@ -73,13 +91,11 @@ def resolution(days: DataFrame, sets: DataFrame, ranges: DataFrame | None = None
     Statuses in order: several valid sets; one, but no or several covering ranges; one; no set at all; none valid but
     covered by an invalid set; otherwise defective or a gap. Covering rows are counted, never picked from.
     """
-    v = sets.select("recording_mbid", "split_version_id", "valid_from", "valid_to", "is_valid_set")
-    j = days.join(v, "recording_mbid", "left")
-    inside = (F.col("listen_date") >= F.col("valid_from")) & (F.col("listen_date") < F.col("valid_to"))
-    g = j.groupBy("recording_mbid", "listen_date", "streams").agg(
-        F.count("split_version_id").alias("sets"), F.count_if(F.col("is_valid_set")).alias("valid_sets"), F.count_if(inside).alias("covering"),
-        F.count_if(inside & F.col("is_valid_set")).alias("n"), F.min(F.when(inside & F.col("is_valid_set"), F.col("split_version_id"))).alias("one"),
-    )
+    per = sets.groupBy("recording_mbid").agg(F.count(F.lit(1)).alias("sets"), F.count_if(F.col("is_valid_set")).alias("valid_sets"))
+    g = coverage(days, sets).join(per, "recording_mbid", "left").withColumns({"sets": F.coalesce("sets", F.lit(0)), "valid_sets": F.coalesce("valid_sets", F.lit(0))})
+    # the one set is looked up only where there is exactly one, so the lookup gives a row a day at most
+    lone = asof.in_force(g.where("n = 1").select("recording_mbid", "listen_date"), sets.where("is_valid_set").select("recording_mbid", "valid_from", "valid_to", F.col("split_version_id").alias("one")), "recording_mbid", "listen_date", "valid_from", "valid_to")
+    g = g.join(lone.select("recording_mbid", "listen_date", "one"), ["recording_mbid", "listen_date"], "left")
     if ranges is not None:
         g = g.join(range_counts(days, "listen_date", ranges, "range_from", "range_to"), "listen_date", "left")
     else:

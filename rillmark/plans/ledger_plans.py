@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillmark.functions.keys import lower_key, upper_key
-from rillmark.operators import allocation, digest, generator, ownership, profile, restatement, scd
+from rillmark.operators import allocation, asof, digest, generator, ownership, profile, restatement, scd
 from rillmark.operators import evaluation as E
 from rillmark.plans.problems import LOW, UP
+from rillmark.session import checkpointed
 
 FIELDS = ["match_status", "match_method", "failure_reason"]
 
@@ -53,7 +54,8 @@ def _ranges(s: SparkSession) -> DataFrame:
 
 
 def _resolution(s: SparkSession, d: str) -> DataFrame:
-    return ownership.resolution(_days(s, d), _validity(s, d), _ranges(s))
+    """The sets feed several branches, so they are made once and cut from their lineage."""
+    return ownership.resolution(_days(s, d), checkpointed(_validity(s, d)), _ranges(s))
 
 
 def ag4_sets(s: SparkSession, d: str) -> DataFrame:
@@ -84,15 +86,14 @@ def o1_validity(s: SparkSession, d: str) -> DataFrame:
 def j9_in_force(s: SparkSession, d: str) -> DataFrame:
     """Half-open temporal join of days to valid sets: zero to n rows a day, never deduplicated by choice."""
     v = _validity(s, d).where("is_valid_set").select("recording_mbid", "split_version_id", "valid_from", "valid_to")
-    j = _days(s, d).join(v, "recording_mbid").where("listen_date >= valid_from and listen_date < valid_to")
+    j = asof.in_force(_days(s, d).select("recording_mbid", "listen_date"), v, "recording_mbid", "listen_date", "valid_from", "valid_to")
     return j.select("recording_mbid", F.col("listen_date").cast("string").alias("listen_date"), "split_version_id")
 
 
 def j10_covered(s: SparkSession, d: str) -> DataFrame:
-    """Days covered by any set, valid or not: a semi-join with a range condition."""
-    a, b = _days(s, d).alias("a"), _sets(s, d).alias("b")
-    on = (F.col("a.recording_mbid") == F.col("b.recording_mbid")) & (F.col("a.listen_date") >= F.col("b.valid_from")) & (F.col("a.listen_date") < F.col("b.valid_to"))
-    return a.join(b, on, "left_semi").select("recording_mbid", F.col("listen_date").cast("string").alias("listen_date"))
+    """Days covered by any set, valid or not."""
+    c = ownership.coverage(_days(s, d), _sets(s, d).withColumn("is_valid_set", F.lit(False)))
+    return c.where("covering > 0").select("recording_mbid", F.col("listen_date").cast("string").alias("listen_date"))
 
 
 def j11_ranges(s: SparkSession, d: str) -> DataFrame:
