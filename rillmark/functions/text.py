@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import operator
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -120,6 +121,18 @@ def normalize_pairs(pairs: DataFrame, key: str, artist: str, recording: str, scr
     return out.withColumn("normalization_version", F.lit(VERSION))
 
 
+@F.pandas_udf(K.StructType([K.StructField(f, K.StringType()) for f in FIELDS]))
+def normalized(a: pd.Series, r: pd.Series) -> pd.DataFrame:
+    """The fields of each pair; a pair of nulls gives nulls, so that pairs the native twins settle cost no work."""
+    return pd.DataFrame([[None] * len(FIELDS) if x is None and y is None else operator.itemgetter(*FIELDS)(normalize(x, y)) for x, y in zip(a, r)], columns=FIELDS)
+
+
+@F.pandas_udf(K.StringType())
+def unicode_texts(s: pd.Series) -> pd.Series:
+    """``unicode_text`` of each name; null stays null."""
+    return s.map(lambda x: None if x is None else unicode_text(x))
+
+
 @F.pandas_udf(K.StructType([K.StructField("text", K.StringType()), K.StructField("covered", K.BooleanType())]))
 def romanised(s: pd.Series) -> pd.DataFrame:
     """Hangul and kana in Latin letters, and whether nothing else than Latin is left."""
@@ -161,6 +174,29 @@ def ascii_text(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9]+", " "))
 
 
+#: what a name must hold for ``aggressive`` to change its key; a name without any has its exact key as fallback key
+MARKS = r"[\(\[\{]|" + _bounded("(?:feat|ft|featuring|with|remaster|remastered|live|deluxe|edition|edit|mono|stereo|track|explicit|version|remix|mix|issue|reissue)") + r"|^[\x00-\x20]*(?:the|an|a)[\x00-\x20]"
+
+
+def is_ascii(c: Column) -> Column:
+    return ~F.coalesce(c, F.lit("")).rlike(r"[^\x00-\x7F]")
+
+
+def is_plain(c: Column) -> Column:
+    """ASCII and without a mark of ``aggressive``: the native twins say all there is to say."""
+    return is_ascii(c) & ~F.lower(F.coalesce(c, F.lit(""))).rlike(MARKS)
+
+
+def is_blank(c: Column) -> Column:
+    """Nothing but ASCII white space, as ``str.strip`` sees it."""
+    return ~F.coalesce(c, F.lit("")).rlike(r"[^\x09-\x0D\x1C-\x20]")
+
+
+def text_of(c: Column) -> Column:
+    """The text a name is compared on: native where it is ASCII, the Unicode kernel elsewhere."""
+    return F.coalesce(unicode_texts(F.when(~is_ascii(c), c)), ascii_text(c))
+
+
 #: (pattern, replacement) in order; written for both Java and RE2
 FALLBACK_STEPS = [
     (r"[\(\[\{][^\)\]\}]*[\)\]\}]", " "),
@@ -178,6 +214,19 @@ def fallback_key(c: Column) -> Column:
     return F.regexp_replace(t, "[^a-z0-9]", "")
 
 
+def with_fields(df: DataFrame, artist: str, recording: str) -> DataFrame:
+    """``df`` with the FIELDS of ``normalize``: native where both names are plain ASCII, by the kernel for every other row."""
+    a, r = F.coalesce(artist, F.lit("")), F.coalesce(recording, F.lit(""))
+    plain = is_plain(a) & is_plain(r)
+    d = df.withColumn("_n", normalized(F.when(~plain, a), F.when(~plain, r)))
+    ka, kr = ascii_key(a), ascii_key(r)
+    key = F.when((ka != "") & (kr != ""), F.concat(ka, kr)).otherwise("")
+    status = F.when((ka == "") & (kr == ""), "EMPTY").when((ka == "") | (kr == ""), "PARTIAL").otherwise("AVAILABLE")
+    content = F.when(is_blank(a), "MISSING_ARTIST").when(is_blank(r), "MISSING_RECORDING").when((ka == "") | (kr == ""), "NO_ALPHANUMERIC_CONTENT").otherwise("VALID")
+    native = {"artist_text": ascii_text(a), "recording_text": ascii_text(r), "key_exact": key, "status_exact": status, "key_fallback": key, "status_fallback": status, "content": content}
+    return d.withColumns({f: F.coalesce(F.col(f"_n.{f}"), native[f]) for f in FIELDS}).drop("_n")
+
+
 def script_class(c: Column) -> Column:
     """LATIN when at least half of the letters and digits are Latin letters or digits, NON_LATIN else, NONE without any."""
     c = F.coalesce(c, F.lit(""))

@@ -31,32 +31,22 @@ class ScoringRules:
 
 
 def distinct_pairs(listens: DataFrame) -> DataFrame:
-    """Distinct (artist, recording) names with pair hash, native keys and the content status: text work is done once per pair, not per listen."""
+    """Distinct (artist, recording) names with pair hash, keys, statuses and content: text work is done once per pair, not per listen."""
     p = listens.select(F.coalesce("artist_name", F.lit("")).alias("artist_name"), F.coalesce("recording_name", F.lit("")).alias("recording_name")).distinct()
-    a, r = F.col("artist_name"), F.col("recording_name")
-    ka, kr, fa, fr = T.ascii_key(a), T.ascii_key(r), T.fallback_key(a), T.fallback_key(r)
-    status = lambda x, y: F.when((x == "") & (y == ""), "EMPTY").when((x == "") | (y == ""), "PARTIAL").otherwise("AVAILABLE")
-    both = lambda x, y: F.when((x != "") & (y != ""), F.concat(x, y)).otherwise("")
-    content = F.when(F.trim(a) == "", "MISSING_ARTIST").when(F.trim(r) == "", "MISSING_RECORDING").when((F.regexp_replace(a, r"[^\p{L}\p{N}]", "") == "") | (F.regexp_replace(r, r"[^\p{L}\p{N}]", "") == ""), "NO_ALPHANUMERIC_CONTENT").otherwise("VALID")
-    return p.select(
-        T.pair_hash(a, r).alias("pair_hash"), "artist_name", "recording_name", T.ascii_text(a).alias("artist_text"), T.ascii_text(r).alias("recording_text"),
-        both(ka, kr).alias("key_exact"), status(ka, kr).alias("status_exact"), both(fa, fr).alias("key_fallback"), status(fa, fr).alias("status_fallback"), content.alias("content"),
-    )
+    return T.with_fields(p, "artist_name", "recording_name").select(T.pair_hash(F.col("artist_name"), F.col("recording_name")).alias("pair_hash"), "artist_name", "recording_name", *T.FIELDS)
 
 
 def blocking_index(canonical: DataFrame) -> DataFrame:
     """(recording_mbid, lookup_stage, lookup_key): up to two rows per recording, empty keys left out."""
-    a, r = F.col("artist_credit_name"), F.col("recording_name")
-    both = lambda x, y: F.when((x != "") & (y != ""), F.concat(x, y)).otherwise("")
-    d = canonical.select("recording_mbid", both(T.ascii_key(a), T.ascii_key(r)).alias("e"), both(T.fallback_key(a), T.fallback_key(r)).alias("f"))
-    stages = F.array(F.struct(F.lit("EXACT").alias("lookup_stage"), F.col("e").alias("lookup_key")), F.struct(F.lit("FALLBACK").alias("lookup_stage"), F.col("f").alias("lookup_key")))
+    d = T.with_fields(canonical.select("recording_mbid", "artist_credit_name", "recording_name"), "artist_credit_name", "recording_name")
+    stages = F.array(F.struct(F.lit("EXACT").alias("lookup_stage"), F.col("key_exact").alias("lookup_key")), F.struct(F.lit("FALLBACK").alias("lookup_stage"), F.col("key_fallback").alias("lookup_key")))
     return d.select("recording_mbid", F.explode(stages).alias("s")).select("recording_mbid", "s.*").where("lookup_key <> ''").distinct()
 
 
 def canonical_texts(canonical: DataFrame) -> DataFrame:
     """One row per recording: the texts a candidate is compared on; repeated rows united by smallest value."""
     g = canonical.groupBy("recording_mbid").agg(F.min("artist_credit_name").alias("a"), F.min("recording_name").alias("r"), F.min("release_name").alias("l"))
-    return g.select("recording_mbid", T.ascii_text(F.col("a")).alias("c_artist"), T.ascii_text(F.col("r")).alias("c_recording"), F.lower(F.trim("l")).alias("c_release"))
+    return g.select("recording_mbid", T.text_of(F.col("a")).alias("c_artist"), T.text_of(F.col("r")).alias("c_recording"), F.lower(F.trim("l")).alias("c_release"))
 
 
 def exact_candidates(pairs: DataFrame, index: DataFrame) -> DataFrame:
