@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -13,13 +13,18 @@ from rillmark.functions.keys import hash_unit
 
 @dataclass(frozen=True)
 class RightsModel:
-    """Fixed values of the generator: cumulative weights of 1-4 holders, share of sets with a mid-period change, quotas of defects by hash rank."""
+    """Fixed values of the generator: cumulative weights of 1-4 holders, of holder types and of payee statuses, share of sets with a mid-period change, quotas of defects by hash rank."""
 
     holders: int = 1000
     reserved: int = 20
     holder_weights: tuple[float, ...] = (0.42, 0.76, 0.94, 1.0)
     change_share: float = 0.02
     change_day: str = "2026-06-15"
+    base_day: str = "2025-01-01"
+    open_day: str = "9999-12-31"
+    holder_types: tuple[tuple[str, float], ...] = (("PUBLISHER", 0.34), ("LABEL", 0.60), ("INDIE_ARTIST", 0.90), ("ADMINISTRATOR", 1.0))
+    payee_statuses: tuple[tuple[str, float], ...] = (("ACTIVE", 0.93), ("PENDING_VERIFICATION", 1.0))
+    model_scope: str = "MODELED_GLOBAL_SINGLE_SCOPE"
     quotas: tuple[tuple[str, int], ...] = (("SHARE_SUM", 5), ("OVERLAP", 4), ("GAP", 4), ("INVALID_INTERVAL", 2), ("MISSING_HOLDER", 3))
 
 
@@ -41,24 +46,70 @@ def defects(universe: DataFrame, m: RightsModel) -> DataFrame:
     return r.select("recording_mbid", (case if case is not None else kind).alias("defect"))
 
 
-def generate_splits(universe: DataFrame, m: RightsModel = RightsModel()) -> DataFrame:
-    """(recording_mbid, slot, rights_holder_id, share_e4): one to four holders per recording, shares in 1/10000 percent that add up to 1,000,000 exactly.
+def _members(m: RightsModel, key: Column) -> Column:
+    """One share set as an array of (rights_holder_id, share_e4): one to four distinct holders, shares in 1/10000 percent that add up to 1,000,000 exactly.
 
-    Holder rank is skewed by u cubed. The first holder takes the rounding rest.
+    Holder rank is skewed by u cubed; a rank already taken moves on to the next. The first holder takes the rounding rest.
     """
-    u = _u("n", F.col("recording_mbid"))
-    n = F.lit(4)
+    u, n, top = _u("n", key), F.lit(4), m.holders - m.reserved
     for k in (3, 2, 1):
         n = F.when(u < m.holder_weights[k - 1], k).otherwise(n)
-    d = universe.select("recording_mbid").distinct().withColumn("n", n).withColumn("slot", F.explode(F.sequence(F.lit(1), F.col("n"))))
-    v = _u("h", F.col("recording_mbid"), F.col("slot").cast("string"))
-    rank = F.floor(v * v * v * (m.holders - m.reserved)).cast("bigint")
-    d = d.withColumn("rights_holder_id", F.concat(F.lit("GEN-"), F.lpad(rank.cast("string"), 6, "0")))
-    d = d.withColumn("raw", (F.floor(_u("w", F.col("recording_mbid"), F.col("slot").cast("string")) * 9000) + 1000).cast("bigint"))
-    w = W.partitionBy("recording_mbid")
-    d = d.withColumn("share", F.expr("(raw * 1000000) div sum(raw) over (partition by recording_mbid)"))
-    rest = F.lit(1_000_000) - F.sum("share").over(w)
-    return d.select("recording_mbid", "slot", "rights_holder_id", (F.col("share") + F.when(F.col("slot") == 1, rest).otherwise(0)).cast("bigint").alias("share_e4"))
+    slots = F.transform(F.sequence(F.lit(1), n), lambda i: i.cast("string"))
+    ranks = F.transform(F.transform(slots, lambda i: _u("h", key, i)), lambda v: F.floor(v * v * v * top).cast("bigint"))
+
+    def free(taken: Column, x: Column) -> Column:
+        for _ in range(3):  # at most three are taken
+            x = F.when(F.array_contains(taken, x), (x + 1) % top).otherwise(x)
+        return F.concat(taken, F.array(x))
+
+    ids = F.transform(F.aggregate(ranks, F.array().cast("array<bigint>"), free), lambda x: F.concat(F.lit("GEN-"), F.lpad(x.cast("string"), 6, "0")))
+    total = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x)
+    raw = F.transform(slots, lambda i: (F.floor(_u("w", key, i) * 9000) + 1000).cast("bigint"))
+    shares = F.transform(raw, lambda x: F.floor(x * 1_000_000 / total(raw)).cast("bigint"))
+    shares = F.transform(shares, lambda x, i: x + F.when(i == 0, F.lit(1_000_000) - total(shares)).otherwise(0))
+    return F.zip_with(ids, shares, lambda h, x: F.struct(h.alias("rights_holder_id"), x.cast("bigint").alias("share_e4")))
+
+
+def generate_splits(universe: DataFrame, m: RightsModel = RightsModel()) -> DataFrame:
+    """(recording_mbid, slot, rights_holder_id, share_e4): the first share set of each recording, without dates."""
+    d = universe.select("recording_mbid").distinct().select("recording_mbid", F.posexplode(_members(m, F.col("recording_mbid"))).alias("i", "x"))
+    return d.select("recording_mbid", (F.col("i") + 1).alias("slot"), "x.*")
+
+
+def generate_ownership(universe: DataFrame, m: RightsModel = RightsModel()) -> DataFrame:
+    """(recording_mbid, split_version_id, valid_from, valid_to, slot, rights_holder_id, share_e4): the dated share sets of each recording.
+
+    Intervals are half-open. A ``change_share`` of the recordings has two sets that meet on ``change_day``, all others one.
+    """
+    day = lambda x: F.lit(x).cast("date")
+    part = lambda salt, a, b: F.struct(F.lit(salt).alias("salt"), day(a).alias("valid_from"), day(b).alias("valid_to"))
+    sets = F.when(_u("c", F.col("recording_mbid")) < m.change_share, F.array(part("", m.base_day, m.change_day), part("#b", m.change_day, m.open_day))).otherwise(F.array(part("", m.base_day, m.open_day)))
+    d = universe.select("recording_mbid").where("recording_mbid is not null").distinct()
+    d = d.select("recording_mbid", F.explode(sets).alias("s")).select("recording_mbid", "s.*")
+    return _rows(d, m).drop("salt")
+
+
+def _rows(sets: DataFrame, m: RightsModel) -> DataFrame:
+    """The holder rows of dated sets; a set's id comes from its recording and first day."""
+    svid = F.concat(F.lit("GSV-"), F.substring(F.sha2(F.concat_ws("|", F.lit("set"), "recording_mbid", F.col("valid_from").cast("string")), 256), 1, 16))
+    x = sets.withColumn("split_version_id", svid).select("*", F.posexplode(_members(m, F.concat("recording_mbid", "salt"))).alias("i", "x"))
+    return x.select("recording_mbid", "split_version_id", "valid_from", "valid_to", *[c for c in sets.columns if c not in ("recording_mbid", "valid_from", "valid_to")], (F.col("i") + 1).alias("slot"), "x.*")
+
+
+def generate_holders(spark: SparkSession, m: RightsModel = RightsModel()) -> DataFrame:
+    """(holder_id, display_name, holder_type, payee_status, model_scope, is_modeled): every holder, the reserved last ones included."""
+    d = spark.range(m.holders).select(F.lpad(F.col("id").cast("string"), 6, "0").alias("i"))
+
+    def choice(seed: str, options: tuple[tuple[str, float], ...]) -> Column:
+        u, out = _u(seed, F.col("i")), F.lit(options[-1][0])
+        for name, upto in reversed(options[:-1]):
+            out = F.when(u < upto, name).otherwise(out)
+        return out
+
+    return d.select(
+        F.concat(F.lit("GEN-"), "i").alias("holder_id"), F.concat(F.lit("Modeled Rights Holder "), "i").alias("display_name"), choice("t", m.holder_types).alias("holder_type"),
+        choice("p", m.payee_statuses).alias("payee_status"), F.lit(m.model_scope).alias("model_scope"), F.lit(True).alias("is_modeled"),
+    )
 
 
 def uncovered_days(ranges: DataFrame, start: str, end: str) -> DataFrame:

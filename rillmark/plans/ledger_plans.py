@@ -470,7 +470,13 @@ def j20_unaffected(s: SparkSession, d: str) -> DataFrame:
 
 
 def gn1_generated(s: SparkSession, d: str) -> DataFrame:
-    return generator.generate_splits(_catalogue(s, d).distinct())
+    """Dated share sets of every recording of the catalogue."""
+    x = generator.generate_ownership(_catalogue(s, d))
+    return x.withColumns({c: F.col(c).cast("string") for c in ("valid_from", "valid_to")})
+
+
+def gn1_holders(s: SparkSession, d: str) -> DataFrame:
+    return generator.generate_holders(s)
 
 
 def gn2_defects(s: SparkSession, d: str) -> DataFrame:
@@ -589,6 +595,6 @@ QUERIES = {
     "T13_totals": t13_totals, "T15_versions": t15_versions, "T3_grain": t3_grain, "AG12_digest": ag12_digest, "SC1_scd2": sc1_scd2, "W7_with_history": w7_with_history, "J19_label_join": j19_labels, "AG21_agreement": ag21_agreement,
     "AG17_auc": ag17_auc, "AG18_leave_one_out": ag18_leave_one_out, "AG19_grid": ag19_grid, "AG20_choose": ag20_choose, "AG22_disjoint": ag22_disjoint, "AG14_boolean": ag14_any_match, "AG15_quantiles": ag15_quantiles,
     "AG30_grain": ag30_grain, "AG32_dependency": ag32_dependency, "AG33_presence": ag33_presence, "AG33_json_inventory": ag33_json, "AG31_key_space": ag31_key_space, "P16_formats": p16_formats, "P1_period_filter": p1_period,
-    "P2_reconcile_source": p2_reconcile, "J23_cross_source": j23_cross_source, "GN1_generated_splits": gn1_generated, "GN2_defects": gn2_defects, "Q2_injected_detected": q2_injected, "GN3_gap_days": gn3_gap_days, "F30_dates": f30_dates,
+    "P2_reconcile_source": p2_reconcile, "J23_cross_source": j23_cross_source, "GN1_generated_splits": gn1_generated, "GN1_holders": gn1_holders, "GN2_defects": gn2_defects, "Q2_injected_detected": q2_injected, "GN3_gap_days": gn3_gap_days, "F30_dates": f30_dates,
     "F27_rounding": f27_rounding, "IO7_file_ranges": io7_ranges, "IO5_json_lines": io5_json,
 }

@@ -1,6 +1,11 @@
 """Each operator does the whole of its job: cases that shortcuts of it get wrong."""
 
+import datetime
+
+from pyspark.sql import functions as F
+
 from rillmark.functions import text as T
+from rillmark.operators import generator as G
 from rillmark.operators import matching as M
 
 NAMES = ["Mïlpa", "Деми", "DJ Деми", "Song with Guest", "Song (Live)", "Song - 2011 Remaster", "Song reissue 1999", "Song - Radio Edit", "The\x1cSong", "A Song_live", "Live", "\t", "", "...", "Delivered", "Mixture", "x ft. y"]
@@ -22,3 +27,23 @@ def test_matcher_folds_accents_and_refuses_partial_keys(spark):
     assert p["Mïlpa"].key_exact == "milpasong" and p["DJ Деми"].status_exact == "PARTIAL" and p["DJ Деми"].key_exact == ""
     got = {x.pair_hash: (x.recording_mbid, x.block_method) for x in M.candidates(pairs, M.blocking_index(cat)).collect()}
     assert got == {p["Mïlpa"].pair_hash: ("m1", "EXACT"), p["Band"].pair_hash: ("m3", "FALLBACK")}
+
+
+def universe(spark, n):
+    return spark.range(n).select(F.concat(F.lit("m"), "id").alias("recording_mbid"))
+
+
+def test_generated_sets_are_dated_and_change(spark):
+    m = G.RightsModel()
+    sets = {}
+    for x in G.generate_ownership(universe(spark, 2000), m).collect():
+        sets.setdefault(x.recording_mbid, {}).setdefault((x.valid_from, x.valid_to, x.split_version_id), []).append((x.rights_holder_id, x.share_e4))
+    base, change, end = (datetime.date.fromisoformat(x) for x in (m.base_day, m.change_day, m.open_day))
+    two = [k for k, v in sets.items() if len(v) == 2]
+    assert len(sets) == 2000 and 0.01 < len(two) / 2000 < 0.03
+    for k, v in sets.items():
+        assert sorted(i[:2] for i in v) == ([(base, change), (change, end)] if k in two else [(base, end)]) and len({i[2] for i in v}) == len(v)
+        assert all(sum(s for _, s in rows) == 1_000_000 and len({h for h, _ in rows}) == len(rows) for rows in v.values())
+    known = {x.holder_id for x in G.generate_holders(spark, m).collect()}
+    used = {h for v in sets.values() for rows in v.values() for h, _ in rows}
+    assert len(known) == m.holders and used <= known and max(used) < f"GEN-{m.holders - m.reserved:06d}"
