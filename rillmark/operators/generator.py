@@ -13,7 +13,7 @@ from rillmark.functions.keys import hash_unit
 
 @dataclass(frozen=True)
 class RightsModel:
-    """Fixed values of the generator: cumulative weights of 1-4 holders, of holder types and of payee statuses, share of sets with a mid-period change, quotas of defects by hash rank."""
+    """Fixed values of the generator: cumulative weights of 1-4 holders, of holder types and of payee statuses, share of recordings with a mid-period change, days of the defects, quotas of defects by hash rank."""
 
     holders: int = 1000
     reserved: int = 20
@@ -25,6 +25,11 @@ class RightsModel:
     holder_types: tuple[tuple[str, float], ...] = (("PUBLISHER", 0.34), ("LABEL", 0.60), ("INDIE_ARTIST", 0.90), ("ADMINISTRATOR", 1.0))
     payee_statuses: tuple[tuple[str, float], ...] = (("ACTIVE", 0.93), ("PENDING_VERIFICATION", 1.0))
     model_scope: str = "MODELED_GLOBAL_SINGLE_SCOPE"
+    overlap: tuple[str, str] = ("2026-06-10", "2026-06-20")
+    gap: tuple[str, str] = ("2026-06-05", "2026-06-20")
+    invalid: tuple[str, str] = ("2026-06-15", "2026-06-01")
+    broken_share_e4: int = 75_000
+    orphans: int = 3
     quotas: tuple[tuple[str, int], ...] = (("SHARE_SUM", 5), ("OVERLAP", 4), ("GAP", 4), ("INVALID_INTERVAL", 2), ("MISSING_HOLDER", 3))
 
 
@@ -76,17 +81,38 @@ def generate_splits(universe: DataFrame, m: RightsModel = RightsModel()) -> Data
     return d.select("recording_mbid", (F.col("i") + 1).alias("slot"), "x.*")
 
 
-def generate_ownership(universe: DataFrame, m: RightsModel = RightsModel()) -> DataFrame:
+def orphans(spark: SparkSession, m: RightsModel = RightsModel()) -> DataFrame:
+    """(recording_mbid, defect): ids outside any catalogue, of UUID version 8."""
+    h = F.sha2(F.concat(F.lit("orphan|"), F.col("id").cast("string")), 256)
+    part = lambda a, n: F.substring(h, a, n)
+    uuid = F.concat_ws("-", part(1, 8), part(9, 4), F.concat(F.lit("8"), part(14, 3)), part(17, 4), part(21, 12))
+    return spark.range(m.orphans).select(uuid.alias("recording_mbid"), F.lit("ORPHAN_RECORDING").alias("defect"))
+
+
+def generate_ownership(universe: DataFrame, m: RightsModel = RightsModel(), labels: DataFrame | None = None) -> DataFrame:
     """(recording_mbid, split_version_id, valid_from, valid_to, slot, rights_holder_id, share_e4): the dated share sets of each recording.
 
     Intervals are half-open. A ``change_share`` of the recordings has two sets that meet on ``change_day``, all others one.
+    ``labels`` (recording_mbid, defect; few rows) says which recordings come out broken and how; orphans are added to the universe.
     """
     day = lambda x: F.lit(x).cast("date")
     part = lambda salt, a, b: F.struct(F.lit(salt).alias("salt"), day(a).alias("valid_from"), day(b).alias("valid_to"))
-    sets = F.when(_u("c", F.col("recording_mbid")) < m.change_share, F.array(part("", m.base_day, m.change_day), part("#b", m.change_day, m.open_day))).otherwise(F.array(part("", m.base_day, m.open_day)))
     d = universe.select("recording_mbid").where("recording_mbid is not null").distinct()
-    d = d.select("recording_mbid", F.explode(sets).alias("s")).select("recording_mbid", "s.*")
-    return _rows(d, m).drop("salt")
+    if labels is None:
+        d = d.withColumn("defect", F.lit(None).cast("string"))
+    else:
+        d = d.unionByName(labels.where("defect = 'ORPHAN_RECORDING'").select("recording_mbid")).join(F.broadcast(labels), "recording_mbid", "left")  # as many rows as the quotas name
+    one, kind = F.array(part("", m.base_day, m.open_day)), F.col("defect")
+    healthy = F.when(_u("c", F.col("recording_mbid")) < m.change_share, F.array(part("", m.base_day, m.change_day), part("#b", m.change_day, m.open_day))).otherwise(one)
+    sets = (
+        F.when(kind == "OVERLAP", F.array(part("", m.base_day, m.overlap[1]), part("#b", m.overlap[0], m.open_day))).when(kind == "GAP", F.array(part("", m.base_day, m.gap[0]), part("#b", m.gap[1], m.open_day)))
+        .when(kind == "INVALID_INTERVAL", F.array(part("", *m.invalid))).when(kind.isin("SHARE_SUM", "MISSING_HOLDER"), one).otherwise(healthy)
+    )
+    x = _rows(d.select("recording_mbid", "defect", F.explode(sets).alias("s")).select("recording_mbid", "defect", "s.*"), m)
+    first = F.col("slot") == 1
+    share = F.when(first & (kind == "SHARE_SUM"), F.greatest(F.col("share_e4") - m.broken_share_e4, F.lit(5_000).cast("bigint"))).otherwise(F.col("share_e4"))
+    holder = F.when(first & (kind == "MISSING_HOLDER"), "GEN-999999").otherwise(F.col("rights_holder_id"))
+    return x.withColumns({"share_e4": share, "rights_holder_id": holder}).drop("salt", "defect")
 
 
 def _rows(sets: DataFrame, m: RightsModel) -> DataFrame:

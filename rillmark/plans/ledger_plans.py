@@ -480,15 +480,38 @@ def gn1_holders(s: SparkSession, d: str) -> DataFrame:
 
 
 def gn2_defects(s: SparkSession, d: str) -> DataFrame:
-    return generator.defects(_catalogue(s, d), generator.RightsModel())
+    """Recordings that come out broken: the quotas' and the orphans."""
+    m = generator.RightsModel()
+    return generator.defects(_catalogue(s, d), m).unionByName(generator.orphans(s, m))
+
+
+def injected_detected(universe: DataFrame, m: generator.RightsModel = generator.RightsModel(), labels: DataFrame | None = None) -> DataFrame:
+    """(defect, injected, detected, same_digest): the quotas against what the quality rules find in the generated rows, one row per kind.
+
+    The rows are generated twice, the second time from another layout of the universe, and ``same_digest`` compares the contents.
+    Reserved holders must have no split; others may have none by chance and do not count.
+    """
+    s = universe.sparkSession
+    if labels is None:
+        labels = generator.defects(universe, m).unionByName(generator.orphans(s, m))
+    labels = checkpointed(labels)
+    x = checkpointed(generator.generate_ownership(universe, m, labels))
+    holders = generator.generate_holders(s, m)
+    v = ownership.validity(x.withColumn("share_pct", (F.col("share_e4").cast("decimal(18,4)") / 10000).cast("decimal(9,4)")), holders, universe)
+    found = {"SHARE_SUM": F.count_if("share_sum_off"), "INVALID_INTERVAL": F.count_if("invalid_interval"), "MISSING_HOLDER": F.count_if("missing_holder")}
+    found |= {k: F.count_distinct(F.when(F.col(c), F.col("recording_mbid"))) for k, c in {"OVERLAP": "temporal_overlap", "GAP": "temporal_gap", "ORPHAN_RECORDING": "orphan_recording"}.items()}
+    got = v.agg(*[c.alias(k) for k, c in found.items()]).select(F.explode(F.array(*[F.struct(F.lit(k).alias("defect"), F.col(k).alias("detected")) for k in found])).alias("r")).select("r.*")
+    idle = holders.where(F.col("holder_id") >= f"GEN-{m.holders - m.reserved:06d}").join(x.select(F.col("rights_holder_id").alias("holder_id")), "holder_id", "left_anti")
+    got = got.unionByName(idle.agg(F.lit("HOLDER_WITHOUT_SPLIT").alias("defect"), F.count(F.lit(1)).alias("detected")))
+    want = s.createDataFrame([*m.quotas, ("ORPHAN_RECORDING", m.orphans), ("HOLDER_WITHOUT_SPLIT", m.reserved)], "defect string, injected long")
+    again = generator.generate_ownership(universe.repartition(7, F.reverse("recording_mbid")), m, labels)
+    one, two = (digest.content_digest(y, x.columns).withColumnsRenamed({"rows": f"r{i}", "digest": f"d{i}"}) for i, y in ((1, x), (2, again)))
+    same = one.crossJoin(two).select(((F.col("r1") == F.col("r2")) & (F.col("d1") == F.col("d2"))).alias("same_digest"))  # one row each
+    return want.join(got, "defect", "left").withColumn("detected", F.coalesce("detected", F.lit(0))).crossJoin(same)
 
 
 def q2_injected(s: SparkSession, d: str) -> DataFrame:
-    """Defects injected against defects counted: one row per kind."""
-    m = generator.RightsModel()
-    want = s.createDataFrame([(k, n) for k, n in m.quotas], "defect string, injected long")
-    got = gn2_defects(s, d).groupBy("defect").agg(F.count(F.lit(1)).alias("detected"))
-    return want.join(got, "defect", "left").withColumn("detected", F.coalesce("detected", F.lit(0)))
+    return injected_detected(_catalogue(s, d).where("recording_mbid is not null").distinct())
 
 
 def gn3_gap_days(s: SparkSession, d: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rillmark.functions import text as T
 from rillmark.operators import generator as G
 from rillmark.operators import matching as M
+from rillmark.plans import ledger_plans as L
 
 NAMES = ["Mïlpa", "Деми", "DJ Деми", "Song with Guest", "Song (Live)", "Song - 2011 Remaster", "Song reissue 1999", "Song - Radio Edit", "The\x1cSong", "A Song_live", "Live", "\t", "", "...", "Delivered", "Mixture", "x ft. y"]
 
@@ -47,3 +48,13 @@ def test_generated_sets_are_dated_and_change(spark):
     known = {x.holder_id for x in G.generate_holders(spark, m).collect()}
     used = {h for v in sets.values() for rows in v.values() for h, _ in rows}
     assert len(known) == m.holders and used <= known and max(used) < f"GEN-{m.holders - m.reserved:06d}"
+
+
+def test_injected_defects_are_found_in_the_rows(spark):
+    """Every kind is detected by the rules; labels that break nothing are not."""
+    u, m = universe(spark, 300), G.RightsModel()
+    want = {**dict(m.quotas), "ORPHAN_RECORDING": m.orphans, "HOLDER_WITHOUT_SPLIT": m.reserved}
+    rows = L.injected_detected(u).collect()
+    assert {x.defect: (x.injected, x.detected) for x in rows} == {k: (n, n) for k, n in want.items()} and all(x.same_digest for x in rows)
+    inert = G.defects(u, m).withColumn("defect", F.lit("NO_SUCH_KIND"))
+    assert {x.defect: x.detected for x in L.injected_detected(u, m, inert).collect()} == {k: 20 if k == "HOLDER_WITHOUT_SPLIT" else 0 for k in want}
