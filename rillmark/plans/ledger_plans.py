@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillmark.functions import text as T
 from rillmark.functions.keys import lower_key, upper_key
 from rillmark.operators import allocation, asof, digest, generator, ownership, profile, restatement, scd
 from rillmark.operators import evaluation as E
+from rillmark.plans import matching_plans as MP
 from rillmark.plans.problems import LOW, UP
 from rillmark.session import checkpointed
 
@@ -335,14 +337,23 @@ h as (select holder_id, ad as display_name, ap as payee_status, '2026-01-01' as
 
 # ---- evaluation
 def _labelled(s: SparkSession, d: str) -> DataFrame:
-    """Decisions with the raw slice's label, whether it stands in the catalogue and whether it was the decision's own."""
+    """Decisions with the raw slice's label and whether it stands in the catalogue."""
     x = table(s, d, "ext_listens_2026_06")
     h = F.sha2(F.concat_ws("|", F.col("user_id").cast("string"), F.unix_micros(F.col("listened_at").cast("timestamp")).cast("string"), "recording_msid"), 256)
     lab = x.where("recording_mbid is not null").select(h.alias("listen_hash"), F.lower("recording_mbid").alias("recording_mbid")).groupBy("listen_hash").agg(F.min("recording_mbid").alias("label_mbid"), F.max("recording_mbid").alias("_m")).where("label_mbid = _m").drop("_m")
     m = table(s, d, "silver_listen_matches").select("listen_hash", "matched_recording_mbid", "match_method", "match_score", "score_margin", "block_method").distinct()
     cat = _catalogue(s, d).distinct().select(F.col("recording_mbid").alias("label_mbid"), F.lit(True).alias("_c"))
     j = m.join(lab, "listen_hash", "left").join(cat, "label_mbid", "left")
-    return j.withColumns({"label_in_catalogue": F.coalesce("_c", F.lit(False)), "label_retrieved": F.coalesce(F.col("label_mbid") == F.col("matched_recording_mbid"), F.lit(False))}).drop("_c")
+    return j.withColumn("label_in_catalogue", F.coalesce("_c", F.lit(False))).drop("_c")
+
+
+def retrieved(labelled: DataFrame, listens: DataFrame, cands: DataFrame) -> DataFrame:
+    """``labelled`` with ``label_retrieved``: the label is one of the candidates of the listen's names."""
+    li = listens.select("listen_hash", T.pair_hash(F.col("artist_name"), F.col("recording_name")).alias("pair_hash")).distinct()
+    c = cands.select("pair_hash", lower_key("recording_mbid").alias("label_mbid")).distinct()
+    lab = labelled.where("label_mbid is not null").select("listen_hash", "label_mbid").distinct()
+    hit = lab.join(li, "listen_hash").join(c, ["pair_hash", "label_mbid"], "left_semi").select("listen_hash", "label_mbid", F.lit(True).alias("_r")).distinct()
+    return labelled.join(hit, ["listen_hash", "label_mbid"], "left").withColumn("label_retrieved", F.coalesce("_r", F.lit(False))).drop("_r")
 
 
 def j19_labels(s: SparkSession, d: str) -> DataFrame:
@@ -350,7 +361,7 @@ def j19_labels(s: SparkSession, d: str) -> DataFrame:
 
 
 def ag21_agreement(s: SparkSession, d: str) -> DataFrame:
-    return E.agreement(_labelled(s, d), "match_method")
+    return E.agreement(retrieved(_labelled(s, d), MP._listens(s, d), MP._cands(s, d)), "match_method")
 
 
 def ag17_auc(s: SparkSession, d: str) -> DataFrame:

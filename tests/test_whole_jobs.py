@@ -5,6 +5,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from rillmark.functions import text as T
+from rillmark.operators import evaluation as E
 from rillmark.operators import generator as G
 from rillmark.operators import matching as M
 from rillmark.plans import ledger_plans as L
@@ -58,3 +59,12 @@ def test_injected_defects_are_found_in_the_rows(spark):
     assert {x.defect: (x.injected, x.detected) for x in rows} == {k: (n, n) for k, n in want.items()} and all(x.same_digest for x in rows)
     inert = G.defects(u, m).withColumn("defect", F.lit("NO_SUCH_KIND"))
     assert {x.defect: x.detected for x in L.injected_detected(u, m, inert).collect()} == {k: 20 if k == "HOLDER_WITHOUT_SPLIT" else 0 for k in want}
+
+
+def test_label_is_looked_up_among_the_candidates(spark):
+    """Of two wrong decisions the one whose label was a candidate is a ranking error."""
+    li = spark.createDataFrame([("l1", "A", "S"), ("l2", "B", "S"), ("l3", "A", "S")], "listen_hash string, artist_name string, recording_name string")
+    cands = li.where("listen_hash = 'l1'").select(T.pair_hash(F.col("artist_name"), F.col("recording_name")).alias("pair_hash"), F.explode(F.array(F.lit("r1"), F.lit("R2"))).alias("recording_mbid"))
+    rows = spark.createDataFrame([("l1", "r1", "r2", True), ("l2", "r1", "r2", True), ("l3", "r1", None, False)], "listen_hash string, matched_recording_mbid string, label_mbid string, label_in_catalogue boolean").withColumn("g", F.lit(1))
+    x = E.agreement(L.retrieved(rows, li, cands), "g").first()
+    assert (x["items"], x.ranking_error, x.ref_not_retrieved, x.ref_not_in_snapshot) == (3, 1, 1, 0)
