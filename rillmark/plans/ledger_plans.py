@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillmark.functions import text as T
-from rillmark.functions.keys import lower_key, upper_key
-from rillmark.operators import allocation, asof, digest, generator, ownership, profile, restatement, scd
+from rillmark.functions.keys import lower_key, stripped, upper_key
+from rillmark.operators import allocation, asof, digest, generator, history, ownership, profile, restatement, scd
 from rillmark.operators import evaluation as E
 from rillmark.plans import matching_plans as MP
-from rillmark.plans.problems import LOW, UP
+from rillmark.plans.problems import ATTRS, LOW, UP
 from rillmark.session import checkpointed
 
 FIELDS = ["match_status", "match_method", "failure_reason"]
@@ -293,19 +293,23 @@ def ag12_digest(s: SparkSession, d: str) -> DataFrame:
     return digest.content_digest(f, ["recording_mbid", "rights_holder_id", "change_type", "trigger_reason", "prior_streams"], 64)
 
 
+def scd2_of_landings(rh: DataFrame) -> DataFrame:
+    """All landings applied one after the other as snapshots, each at its own time: open, close, reopen. Lineage is cut after each round."""
+    runs = history.landing_times(rh, "generation_run_id", "generated_at").orderBy("no").collect()  # one row per load
+    clean = {"display_name": F.lower(stripped("display_name")), "payee_status": F.upper(stripped("payee_status")), "holder_type": F.upper(stripped("holder_type")), "model_scope": F.upper(stripped("model_scope"))}
+    rows = rh.select("generation_run_id", upper_key("holder_id").alias("holder_id"), *[c.alias(k) for k, c in clean.items()]).where("holder_id is not null")
+    # repeated rows of a landing are united: the smallest attribute tuple stands
+    snaps = checkpointed(rows.groupBy("generation_run_id", "holder_id").agg(F.min(F.struct(*ATTRS)).alias("v")).select("generation_run_id", "holder_id", "v.*"))
+    h = None
+    for r in runs:
+        snap, now = snaps.where(F.col("generation_run_id") == r.generation_run_id), F.lit(r["at"])
+        h = scd.start_history(snap, "holder_id", ATTRS, now) if h is None else checkpointed(scd.scd2_apply(h, snap, "holder_id", ATTRS, now))
+    return h
+
+
 def sc1_scd2(s: SparkSession, d: str) -> DataFrame:
-    """Two landings applied one after the other as snapshots: open, close, reopen."""
-    rh = table(s, d, "rights_holders")
-    runs = [r[0] for r in rh.groupBy("generation_run_id").agg(F.min("generated_at").alias("t")).orderBy("t", "generation_run_id").collect()]  # one row per load
-    check = ["display_name", "payee_status"]
-
-    def snap(run: str) -> DataFrame:
-        x = rh.where(F.col("generation_run_id") == run).groupBy(upper_key("holder_id").alias("holder_id"))
-        return x.agg(F.lower(F.trim(F.min("display_name"))).alias("display_name"), F.upper(F.trim(F.min("payee_status"))).alias("payee_status")).where("holder_id is not null")
-
-    h = scd.start_history(snap(runs[0]), "holder_id", check, F.lit("2026-01-01").cast("timestamp"))
-    h = scd.scd2_apply(h, snap(runs[-1]), "holder_id", check, F.lit("2026-02-01").cast("timestamp"))
-    return h.select("holder_id", *check, F.to_date("valid_from").cast("string").alias("valid_from"), F.to_date("valid_to").cast("string").alias("valid_to"))
+    h = scd2_of_landings(table(s, d, "rights_holders"))
+    return h.select("holder_id", *ATTRS, F.to_date("valid_from").cast("string").alias("valid_from"), F.to_date("valid_to").cast("string").alias("valid_to"))
 
 
 def w7_with_history(s: SparkSession, d: str) -> DataFrame:

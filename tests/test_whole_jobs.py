@@ -68,3 +68,13 @@ def test_label_is_looked_up_among_the_candidates(spark):
     rows = spark.createDataFrame([("l1", "r1", "r2", True), ("l2", "r1", "r2", True), ("l3", "r1", None, False)], "listen_hash string, matched_recording_mbid string, label_mbid string, label_in_catalogue boolean").withColumn("g", F.lit(1))
     x = E.agreement(L.retrieved(rows, li, cands), "g").first()
     assert (x["items"], x.ranking_error, x.ref_not_retrieved, x.ref_not_in_snapshot) == (3, 1, 1, 0)
+
+
+def test_every_landing_opens_and_closes_versions(spark):
+    """A version that opens and closes in between, a holder that comes back, and a change of holder_type alone."""
+    rows = [("a", "N", "T", "ACTIVE", 1), ("a", "N", "T", "HELD", 2), ("a", "N", "T", "ACTIVE", 3), ("b", "N", "T", "ACTIVE", 1), ("b", "N", "T", "ACTIVE", 3), ("c", "N", "T", "ACTIVE", 1), ("c", "N", "U", "ACTIVE", 2), ("c", " n ", "U", "active", 3)]
+    df = spark.createDataFrame(rows, "holder_id string, display_name string, holder_type string, payee_status string, day int").withColumn("model_scope", F.lit("G"))
+    df = df.select("*", F.concat(F.lit("run"), "day").alias("generation_run_id"), F.make_timestamp(F.lit(2026), F.lit(1), F.col("day"), F.lit(0), F.lit(0), F.lit(0)).alias("generated_at"))
+    h = L.scd2_of_landings(df)
+    got = sorted((x.holder_id, x.payee_status, x.holder_type, x.valid_from.day, x.valid_to.day if x.valid_to else 0) for x in h.collect())
+    assert got == [("A", "ACTIVE", "T", 1, 2), ("A", "ACTIVE", "T", 3, 0), ("A", "HELD", "T", 2, 3), ("B", "ACTIVE", "T", 1, 2), ("B", "ACTIVE", "T", 3, 0), ("C", "ACTIVE", "T", 1, 2), ("C", "ACTIVE", "U", 2, 0)]
