@@ -16,39 +16,57 @@ def partition_of(key: Column, salt: str = "rillmark-dev-1", inner: str = "rillma
     return F.when(key.isNull(), "NOT_EVALUABLE").when(~dev, "holdout").when(cal, "calibration").otherwise("validation")
 
 
-def auc(df: DataFrame, value: str, label: str, stratum: str) -> DataFrame:
+def auc(df: DataFrame, value: str, label: str, stratum: str, weight: str | None = None) -> DataFrame:
     """Exact area under the ROC curve per stratum, ties count one half: sum p*(n_below + n/2) / (P*N). Null values rank below all.
 
+    ``weight``: how often a row counts, once if not given.
     Rows are grouped by value first, so the window runs over distinct values.
     """
-    g = df.groupBy(stratum, value).agg(F.count_if(F.col(label)).alias("p"), F.count_if(~F.col(label)).alias("n"))
+    w = F.col(weight) if weight else F.lit(1)
+    g = df.groupBy(stratum, value).agg(F.sum(F.when(F.col(label), w).otherwise(0)).alias("p"), F.sum(F.when(~F.col(label), w).otherwise(0)).alias("n"))
     below = F.sum("n").over(W.partitionBy(stratum).orderBy(F.col(value).asc_nulls_first()).rowsBetween(W.unboundedPreceding, -1))
     g = g.withColumn("b", F.coalesce(below, F.lit(0)))
     s = g.groupBy(stratum).agg(F.sum(F.col("p") * (F.col("b") + F.col("n") * 0.5)).alias("u"), F.sum("p").alias("positives"), F.sum("n").alias("negatives"))
     return s.select(stratum, "positives", "negatives", F.round(F.try_divide(F.col("u"), F.col("positives") * F.col("negatives")), 9).alias("auc"))
 
 
-def grid(per_item: DataFrame, cells: DataFrame) -> DataFrame:
-    """Coverage and disagreement of each (threshold, margin) cell and stage.
+KEYS = ["weight_set", "exact_threshold", "fallback_threshold", "min_margin"]
 
-    ``per_item``: stage, score, margin (null: no rival), agrees (null: no label). ``cells`` holds a few dozen literal rows;
-    items are first counted by their distinct (stage, score, margin, agrees), so cells meet counts and not items.
+
+def grid(per_item: DataFrame, exact: list[float], fallback: list[float], margins: list[float]) -> DataFrame:
+    """Outcomes of each (weight set, exact threshold, fallback threshold, margin) cell and stage.
+
+    ``per_item``: weight_set, stage (EXACT_MULTI, FALLBACK_UNIQUE, FALLBACK_MULTI), score, margin (null: no rival), agrees, label_retrieved,
+    label_in_catalogue and items. Items are first counted by their distinct values, so cells meet counts; a stage knows one of
+    the two thresholds only, so counts meet that threshold's few cells and their sums meet the other threshold.
     """
-    c = per_item.groupBy("stage", "score", "margin", "agrees").agg(F.count(F.lit(1)).alias("w"))
-    j = c.join(F.broadcast(cells), F.col("stage") == F.col("cell_stage"))  # literal rows
-    ok = (F.col("score") >= F.col("threshold")) & (F.col("margin").isNull() | (F.col("margin") >= F.col("min_margin")))
-    return j.groupBy("stage", "threshold", "min_margin").agg(
-        F.sum("w").cast("bigint").alias("items"), F.sum(F.when(ok, F.col("w")).otherwise(0)).cast("bigint").alias("accepted"),
-        F.sum(F.when(ok & F.col("agrees").isNotNull(), F.col("w")).otherwise(0)).cast("bigint").alias("evaluable"), F.sum(F.when(ok & ~F.col("agrees"), F.col("w")).otherwise(0)).cast("bigint").alias("disagree"),
+    spark = per_item.sparkSession
+    c = per_item.groupBy("weight_set", "stage", "score", "margin", "agrees", "label_retrieved", "label_in_catalogue").agg(F.sum("items").alias("w"))
+    own = spark.createDataFrame([(e, t, m) for e, ts in ((True, exact), (False, fallback)) for t in ts for m in margins], "is_exact boolean, threshold double, min_margin double")
+    c = c.withColumn("is_exact", F.col("stage") == "EXACT_MULTI").join(F.broadcast(own), "is_exact")  # literal rows
+    ok = F.coalesce((F.col("score") >= F.col("threshold")) & (F.col("margin").isNull() | (F.col("margin") >= F.col("min_margin"))), F.lit(False))
+    wrong = ok & ~F.col("agrees")
+    n = lambda x: F.sum(F.when(x, F.col("w")).otherwise(0)).cast("bigint")
+    g = c.groupBy("weight_set", "stage", "is_exact", "threshold", "min_margin").agg(
+        F.sum("w").cast("bigint").alias("items"), n(ok).alias("accepted"), n(ok & F.col("agrees")).alias("agree"), n(wrong & F.col("label_retrieved")).alias("ranking_error"),
+        n(wrong & ~F.col("label_retrieved") & F.col("label_in_catalogue")).alias("ref_not_retrieved"), n(wrong & ~F.col("label_in_catalogue")).alias("ref_not_in_snapshot"),
     )
+    cells = spark.createDataFrame([(k, e if k else f, e, f) for k in (True, False) for e in exact for f in fallback], "is_exact boolean, threshold double, exact_threshold double, fallback_threshold double")
+    j = g.join(F.broadcast(cells), ["is_exact", "threshold"])  # literal rows
+    return j.select(*KEYS, "stage", "items", "accepted", "agree", "ranking_error", "ref_not_retrieved", "ref_not_in_snapshot")
 
 
-def choose(g: DataFrame, bound: float, min_evaluable: int) -> DataFrame:
-    """Per stage the cell with most accepted among those within the disagreement bound; where none is, the one that disagrees least. The bound is never relaxed silently: ``within_bound`` says which."""
-    rate = F.coalesce(F.try_divide(F.col("disagree"), F.col("evaluable")), F.lit(1.0))
-    d = g.withColumn("rate", F.round(rate, 9)).withColumn("within_bound", (F.col("rate") <= bound) & (F.col("evaluable") >= min_evaluable))
-    order = [F.col("within_bound").desc(), F.when(F.col("within_bound"), -F.col("accepted")).otherwise(0), F.col("rate"), F.col("accepted").desc(), "threshold", "min_margin"]
-    return d.withColumn("rn", F.row_number().over(W.partitionBy("stage").orderBy(*order))).where("rn = 1").drop("rn")
+def choose(g: DataFrame, bound: float, min_evaluable: int, stages: int = 3) -> DataFrame:
+    """The one cell with most accepted among those whose worst stage keeps the disagreement bound with ``min_evaluable`` judged in every stage.
+
+    Where none does, the one whose worst stage disagrees least, complete cells first. The bound is never relaxed silently: ``within_bound`` and ``complete`` say which.
+    """
+    judged = F.col("accepted") - F.col("ref_not_in_snapshot")
+    d = g.withColumn("enough", judged >= min_evaluable).withColumn("rate", F.coalesce(F.try_divide(F.col("ranking_error") + F.col("ref_not_retrieved"), judged), F.lit(1.0)))
+    c = d.groupBy(*KEYS).agg(F.sum("accepted").cast("bigint").alias("accepted"), F.round(F.coalesce(F.max(F.when(F.col("enough"), F.col("rate"))), F.lit(1.0)), 9).alias("worst_disagreement"), (F.count_if("enough") == stages).alias("complete"))
+    c = c.withColumn("within_bound", F.col("complete") & (F.col("worst_disagreement") <= bound))
+    order = [F.col("within_bound").desc(), F.col("complete").desc(), F.when(F.col("within_bound"), -F.col("accepted")).otherwise(0), "worst_disagreement", F.col("accepted").desc(), *KEYS]
+    return c.orderBy(*order).limit(1)
 
 
 def agreement(rows: DataFrame, by: str) -> DataFrame:

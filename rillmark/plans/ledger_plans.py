@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rillmark.functions import text as T
 from rillmark.functions.keys import lower_key, stripped, upper_key
 from rillmark.operators import allocation, asof, digest, generator, history, ownership, profile, restatement, scd
 from rillmark.operators import evaluation as E
+from rillmark.operators import matching as M
 from rillmark.plans import matching_plans as MP
 from rillmark.plans.problems import ATTRS, LOW, UP
 from rillmark.session import checkpointed
@@ -340,15 +342,19 @@ h as (select holder_id, ad as display_name, ap as payee_status, '2026-01-01' as
 
 
 # ---- evaluation
-def _labelled(s: SparkSession, d: str) -> DataFrame:
-    """Decisions with the raw slice's label and whether it stands in the catalogue."""
+def _labels(s: SparkSession, d: str) -> DataFrame:
+    """(label_mbid, listen_hash, label_in_catalogue): the raw slice's labels that do not contradict each other."""
     x = table(s, d, "ext_listens_2026_06")
     h = F.sha2(F.concat_ws("|", F.col("user_id").cast("string"), F.unix_micros(F.col("listened_at").cast("timestamp")).cast("string"), "recording_msid"), 256)
     lab = x.where("recording_mbid is not null").select(h.alias("listen_hash"), F.lower("recording_mbid").alias("recording_mbid")).groupBy("listen_hash").agg(F.min("recording_mbid").alias("label_mbid"), F.max("recording_mbid").alias("_m")).where("label_mbid = _m").drop("_m")
-    m = table(s, d, "silver_listen_matches").select("listen_hash", "matched_recording_mbid", "match_method", "match_score", "score_margin", "block_method").distinct()
     cat = _catalogue(s, d).distinct().select(F.col("recording_mbid").alias("label_mbid"), F.lit(True).alias("_c"))
-    j = m.join(lab, "listen_hash", "left").join(cat, "label_mbid", "left")
-    return j.withColumn("label_in_catalogue", F.coalesce("_c", F.lit(False))).drop("_c")
+    return lab.join(cat, "label_mbid", "left").withColumn("label_in_catalogue", F.coalesce("_c", F.lit(False))).drop("_c")
+
+
+def _labelled(s: SparkSession, d: str) -> DataFrame:
+    """Decisions with the raw slice's label and whether it stands in the catalogue."""
+    m = table(s, d, "silver_listen_matches").select("listen_hash", "matched_recording_mbid", "match_method", "match_score", "score_margin", "block_method").distinct()
+    return m.join(_labels(s, d), "listen_hash", "left").withColumn("label_in_catalogue", F.coalesce("label_in_catalogue", F.lit(False)))
 
 
 def retrieved(labelled: DataFrame, listens: DataFrame, cands: DataFrame) -> DataFrame:
@@ -373,29 +379,64 @@ def ag17_auc(s: SparkSession, d: str) -> DataFrame:
     return E.auc(x.withColumn("score", F.round("match_score", 9)), "score", "agrees", "match_method")
 
 
+def label_items(labels: DataFrame, listens: DataFrame) -> DataFrame:
+    """(text_hash, label_mbid, label_in_catalogue, items): labelled listens counted by text and label."""
+    ph = T.pair_hash(F.col("artist_name"), F.col("recording_name"))
+    li = listens.select("listen_hash", F.sha2(F.concat(ph, F.lit("\u001f"), F.coalesce("release_name", F.lit("~null~"))), 256).alias("text_hash")).distinct()
+    return labels.join(li, "listen_hash").groupBy("text_hash", "label_mbid", "label_in_catalogue").agg(F.count(F.lit(1)).alias("items"))
+
+
+def leave_one_out(feats: DataFrame, items: DataFrame) -> DataFrame:
+    """AUC of the equal-weight mean of the features there are, and of each feature left out, over scored candidates of labelled listens."""
+    subsets = {"all": 1.0, **{f"without_{f}": 0.0 for f in M.FEATURES}}
+    rules = [M.ScoringRules(weights=tuple(0.0 if k == f"without_{f}" else 1.0 for f in M.FEATURES)) for k in subsets]
+    v = F.explode(F.array(*[F.struct(F.lit(k).alias("subset"), M.score(r).alias("v")) for k, r in zip(subsets, rules)])).alias("z")
+    x = feats.join(items, "text_hash").select((lower_key("recording_mbid") == F.col("label_mbid")).alias("agrees"), "items", v).select("agrees", "items", "z.*")
+    return E.auc(x, "v", "agrees", "subset", "items")
+
+
 def ag18_leave_one_out(s: SparkSession, d: str) -> DataFrame:
-    """AUC of score and margin together and of each left out."""
-    x = _labelled(s, d).where("label_mbid is not null and matched_recording_mbid is not null").withColumn("agrees", F.col("label_mbid") == F.col("matched_recording_mbid"))
-    both = {"all": F.round((F.col("match_score") + F.col("score_margin")) / 2, 9), "without_margin": F.round("match_score", 9), "without_score": F.round("score_margin", 9)}
-    long = x.select("agrees", F.explode(F.array(*[F.struct(F.lit(k).alias("subset"), v.alias("v")) for k, v in both.items()])).alias("z")).select("agrees", "z.*")
-    return E.auc(long, "v", "agrees", "subset")
+    return leave_one_out(MP._feats(s, d), label_items(_labels(s, d), MP._listens(s, d)))
 
 
 GRID = [(st, t, m) for st in ("EXACT", "FALLBACK") for t in (0.55, 0.65, 0.75, 0.85, 0.9, 0.95) for m in (0.02, 0.05, 0.1, 0.2)]
 
 
+WEIGHT_SETS = {
+    "equal_six": (1, 1, 1, 1, 1, 1, 0), "auc_proportional": (0.29, 0.44, 0.32, 0.46, 0.31, 0.45, 0.43), "recording_only": (0, 1, 0, 1, 0, 1, 0), "recording_release": (0, 1, 0, 1, 0, 1, 1),
+    "recording_heavy": (0.1, 1, 0.1, 1, 0.1, 1, 0.5), "recording_release_eq": (0, 0.8, 0, 1, 0, 0.9, 0.9),
+}
+EXACT, FALLBACK, MARGINS = [0.55, 0.65, 0.75, 0.85, 0.9, 0.95, 0.99], [0.65, 0.75, 0.85, 0.9, 0.95, 0.99], [0.02, 0.05, 0.1, 0.2]
+
+
+def rescored(feats: DataFrame, items: DataFrame) -> DataFrame:
+    """Per labelled text, label and weight set: stage, best score, margin to the second (null without one), and what the label says of the best candidate."""
+    lab = feats.join(items.select("text_hash").distinct(), "text_hash", "left_semi")
+    one = [F.struct(F.lit(k).alias("weight_set"), M.score(M.ScoringRules(weights=tuple(float(x) for x in w))).alias("score")) for k, w in WEIGHT_SETS.items()]
+    x = lab.select("text_hash", "recording_mbid", "block_method", F.explode(F.array(*one)).alias("z")).select("text_hash", "recording_mbid", "block_method", "z.*")
+    rn = F.row_number().over(W.partitionBy("weight_set", "text_hash").orderBy(F.col("score").desc_nulls_last(), "recording_mbid"))
+    at = lambda n, c: F.max(F.when(F.col("rn") == n, F.col(c)))
+    top = x.withColumn("rn", rn).where("rn <= 2").groupBy("weight_set", "text_hash").agg(F.min("block_method").alias("m"), F.count(F.lit(1)).alias("n"), at(1, "score").alias("score"), at(2, "score").alias("second"), at(1, "recording_mbid").alias("winner"))
+    hit = items.select("text_hash", "label_mbid").join(lab.select("text_hash", lower_key("recording_mbid").alias("label_mbid")).distinct(), ["text_hash", "label_mbid"], "left_semi").withColumn("_r", F.lit(True)).distinct()
+    j = top.join(items.join(hit, ["text_hash", "label_mbid"], "left"), "text_hash")
+    return j.select(
+        "weight_set", F.concat("m", F.when(F.col("n") > 1, "_MULTI").otherwise("_UNIQUE")).alias("stage"), "score", F.round(F.col("score") - F.col("second"), 9).alias("margin"),
+        (lower_key("winner") == F.col("label_mbid")).alias("agrees"), F.coalesce("_r", F.lit(False)).alias("label_retrieved"), "label_in_catalogue", "items",
+    )
+
+
 def _grid(s: SparkSession, d: str) -> DataFrame:
-    x = _labelled(s, d).where("match_score is not null and block_method is not null")
-    per = x.select(F.col("block_method").alias("stage"), F.round("match_score", 9).alias("score"), F.round("score_margin", 9).alias("margin"), F.when(F.col("label_mbid").isNotNull() & F.col("matched_recording_mbid").isNotNull(), F.col("label_mbid") == F.col("matched_recording_mbid")).alias("agrees"))
-    return E.grid(per, s.createDataFrame(GRID, "cell_stage string, threshold double, min_margin double"))
+    feats, items = checkpointed(MP._feats(s, d)), checkpointed(label_items(_labels(s, d), MP._listens(s, d)))
+    return E.grid(rescored(feats, items), EXACT, FALLBACK, MARGINS)
 
 
 def ag19_grid(s: SparkSession, d: str) -> DataFrame:
+    """1,008 cells a stage: weight sets, both thresholds and margins on recomputed scores."""
     return _grid(s, d)
 
 
 def ag20_choose(s: SparkSession, d: str) -> DataFrame:
-    return E.choose(_grid(s, d), 0.02, 10)
+    return E.choose(_grid(s, d), 0.02, 1000)
 
 
 def ag22_disjoint(s: SparkSession, d: str) -> DataFrame:

@@ -78,3 +78,39 @@ def test_every_landing_opens_and_closes_versions(spark):
     h = L.scd2_of_landings(df)
     got = sorted((x.holder_id, x.payee_status, x.holder_type, x.valid_from.day, x.valid_to.day if x.valid_to else 0) for x in h.collect())
     assert got == [("A", "ACTIVE", "T", 1, 2), ("A", "ACTIVE", "T", 3, 0), ("A", "HELD", "T", 2, 3), ("B", "ACTIVE", "T", 1, 2), ("B", "ACTIVE", "T", 3, 0), ("C", "ACTIVE", "T", 1, 2), ("C", "ACTIVE", "U", 2, 0)]
+
+
+def _scored(spark):
+    """t1: two exact candidates that only the release tells apart; t2: one fallback candidate whose title is near."""
+    f = ", ".join(f"{x} double" for x in M.FEATURES)
+    rows = [("t1", "r1", "EXACT", *[1.0] * 6, 1.0), ("t1", "r2", "EXACT", *[1.0] * 6, 0.0), ("t2", "r3", "FALLBACK", 1.0, 0.0, 1.0, 0.5, 1.0, 0.7, None)]
+    feats = spark.createDataFrame(rows, f"text_hash string, recording_mbid string, block_method string, {f}")
+    return feats, spark.createDataFrame([("t1", "r1", True, 3), ("t1", "r2", True, 2), ("t2", "r9", True, 1)], "text_hash string, label_mbid string, label_in_catalogue boolean, items long")
+
+
+def test_grid_scores_each_weight_set_anew(spark):
+    feats, items = _scored(spark)
+    g = E.grid(L.rescored(feats, items), L.EXACT, L.FALLBACK, L.MARGINS)
+    got = {(x.weight_set, x.exact_threshold, x.fallback_threshold, x.min_margin, x.stage): x for x in g.collect()}
+    assert len(got) == 2 * 1008
+    tie, clear = got["recording_only", 0.55, 0.65, 0.02, "EXACT_MULTI"], got["recording_release", 0.55, 0.65, 0.02, "EXACT_MULTI"]
+    assert (tie["items"], tie.accepted) == (5, 0) and (clear.accepted, clear.agree, clear.ranking_error) == (5, 3, 2)
+    lax, strict = got["equal_six", 0.99, 0.65, 0.02, "FALLBACK_UNIQUE"], got["equal_six", 0.55, 0.75, 0.02, "FALLBACK_UNIQUE"]
+    assert (lax.accepted, lax.ref_not_retrieved, strict.accepted) == (1, 1, 0)
+
+
+def test_choice_is_by_worst_stage(spark):
+    cols = "weight_set string, exact_threshold double, fallback_threshold double, min_margin double, stage string, accepted long, ranking_error long, ref_not_retrieved long, ref_not_in_snapshot long"
+    cell = lambda k, *st: [(k, 0.5, 0.5, 0.02, n, a, e, 0, 0) for n, a, e in st]
+    good = cell("good", ("A", 1000, 10), ("B", 1000, 10), ("C", 1000, 20))
+    one_bad, thin = cell("one_bad", ("A", 9000, 0), ("B", 9000, 0), ("C", 1000, 21)), cell("thin", ("A", 99000, 0), ("B", 99000, 0), ("C", 999, 0))
+    pick = lambda rows: E.choose(spark.createDataFrame(rows, cols), 0.02, 1000).first()
+    assert (pick(good + one_bad + thin).weight_set, pick(good + one_bad).within_bound) == ("good", True)
+    x = pick(one_bad + thin)
+    assert (x.weight_set, x.complete, x.within_bound) == ("one_bad", True, False)
+
+
+def test_leave_one_out_covers_every_feature(spark):
+    x = {r.subset: r for r in L.leave_one_out(*_scored(spark)).collect()}
+    assert set(x) == {"all", *(f"without_{f}" for f in M.FEATURES)} and (x["all"].positives, x["all"].negatives) == (5, 6)
+    assert x["without_release_exact"].auc < x["all"].auc
