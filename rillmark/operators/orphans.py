@@ -107,9 +107,11 @@ def cascade(g: Graph, only: set[str] | None = None) -> dict[str, DataFrame]:
             cols = g.tables[child].columns
             hit = hit.select(*cols).withColumn("ref_field", F.lit(ccol)).withColumn("orphan_state", F.lit("inherited")).withColumn("orphan_level", F.lit(level))
             if cyclic:
-                known = [k.select(ccol).distinct() for k in found.get(child, []) if k is not None]
-                for k in known:
-                    hit = hit.join(k, ccol, "left_anti")
+                # what this link has found before: whole rows, as another row with the same key value may be new
+                for k in [k.where(F.col("ref_field") == ccol) for k in found.get(child, []) + nxt.get(child, [])]:
+                    k = k.where("orphan_state = 'inherited'").select(*[F.col(c).alias(f"_k_{c}") for c in cols]).distinct()
+                    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in cols]
+                    hit = hit.join(k, same, "left_anti")
                 hit = checkpointed(hit)
                 if hit.isEmpty():
                     continue

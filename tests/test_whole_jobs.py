@@ -8,6 +8,7 @@ from rillmark.functions import text as T
 from rillmark.operators import evaluation as E
 from rillmark.operators import generator as G
 from rillmark.operators import matching as M
+from rillmark.operators import orphans
 from rillmark.plans import ledger_plans as L
 
 NAMES = ["Mïlpa", "Деми", "DJ Деми", "Song with Guest", "Song (Live)", "Song - 2011 Remaster", "Song reissue 1999", "Song - Radio Edit", "The\x1cSong", "A Song_live", "Live", "\t", "", "...", "Delivered", "Mixture", "x ft. y"]
@@ -114,3 +115,13 @@ def test_leave_one_out_covers_every_feature(spark):
     x = {r.subset: r for r in L.leave_one_out(*_scored(spark)).collect()}
     assert set(x) == {"all", *(f"without_{f}" for f in M.FEATURES)} and (x["all"].positives, x["all"].negatives) == (5, 6)
     assert x["without_release_exact"].auc < x["all"].auc
+
+
+def test_cycle_reports_every_row_and_link(spark):
+    """A sibling found directly hides no other row, a row found by one field is found by its link too, and equal keys of several rounds end."""
+    rows = [("a", "5", "X"), ("b", "5", "K"), ("5", "9", "K"), ("9", None, "X"), ("c", "d", "K"), ("d", "c", "K")]
+    nodes = spark.createDataFrame(rows, "id string, parent string, ref string")
+    keys = orphans.Presence(spark.createDataFrame([("K", datetime.datetime(2026, 1, 1))], "key string, seen timestamp"))
+    g = orphans.Graph({"n": nodes}, {"keys": keys}, [orphans.Reference("n", "ref", "keys")], [("n", "parent", "n", "id")])
+    got = sorted((x.id, x.ref_field, x.orphan_level) for x in orphans.cascade(g)["n"].collect())
+    assert got == [("5", "parent", 1), ("9", "ref", 0), ("a", "parent", 2), ("a", "ref", 0), ("b", "parent", 2)]
