@@ -83,9 +83,10 @@ def common_words(classes: DataFrame, p: LinkParams) -> tuple[list[str], list[str
 def block_keys(common: tuple[list[str], list[str]]) -> Column:
     """Array of 64-bit block keys of a reading (aw, tw, ra, rt).
 
-    (artist, title word), (title, first or last two letters of the artist), (artist word, title word) unless both are common,
-    and (artist word, two title words) where all are common. Any two names that share one artist word and one title word,
-    or all of one of them, meet, as long as one shared word is not common or two common title words are shared.
+    (artist, title word), (title, first or last two letters of the artist), (artist, first or last two letters of the title),
+    (artist word, title word) unless both are common, and (artist word, two title words) where all are common. Words of one
+    letter and stop words do not count. Two names meet that share all of one of artist and title and either end of the other, or
+    the artist and one title word, or one word of each, as long as one of these is not common or two common title words are shared.
     """
     stop = F.array(*[F.lit(x) for x in sorted(STOP)])
     aw, tw = (F.filter(F.array_distinct(c), lambda x: (F.length(x) > 1) & ~F.array_contains(stop, x)) for c in ("aw", "tw"))
@@ -93,6 +94,7 @@ def block_keys(common: tuple[list[str], list[str]]) -> Column:
     h = lambda tag, *c: F.xxhash64(F.lit(tag), *c)
     k1 = F.transform(tw, lambda t: h("at", F.col("ra"), t))
     k2 = F.array(h("tf", F.col("rt"), F.substring("ra", 1, 2)), h("tl", F.col("rt"), F.substring("ra", -2, 2)))
+    k5 = F.when(F.col("ra") != "", F.array(h("af", F.col("ra"), F.substring("rt", 1, 2)), h("al", F.col("ra"), F.substring("rt", -2, 2)))).otherwise(F.array().cast("array<bigint>"))
     rare_a, some_a = F.array_except(aw, ca), F.array_intersect(aw, ca)
     rare_t, some_t = F.array_except(tw, ct), F.array_intersect(tw, ct)
     pair = lambda xs, ys: F.flatten(F.transform(xs, lambda a: F.transform(ys, lambda t: h("ww", a, t))))
@@ -100,7 +102,7 @@ def block_keys(common: tuple[list[str], list[str]]) -> Column:
     s = F.array_sort(some_t)
     twos = F.flatten(F.transform(s, lambda x: F.transform(F.filter(s, lambda y: y > x), lambda y: F.concat_ws(" ", x, y))))
     k4 = pair(some_a, twos)
-    return F.array_distinct(F.concat(k1, k2, k3, k4))
+    return F.array_distinct(F.concat(k1, k2, k3, k4, k5))
 
 
 def _edit(a: Column, b: Column) -> Column:
