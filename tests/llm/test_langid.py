@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import numpy as np
 import pytest
 
@@ -46,9 +48,9 @@ def test_sentences_and_plain():
     assert [t[a:b] for a, b in langid.sentences(t)] == ["One here.", "Two!", "“Three …", "(four)", "five 六七。", "八"]
     assert langid.plain("12:30 +++ 7bc976d7-e7ee-4fac-9c9d-580a92e9fad9 MRH-521030") == ""
     assert langid.plain("<p>Hello «Волна Мира» my dear friend</p>") == "hello my dear friend"
-    s = "слово " * 300
-    assert b"".join(langid.pieces(s)).decode() == s and max(map(len, langid.pieces(s))) <= langid.PIECE + 3
-    assert b"".join(langid.pieces("x" * 5000)) == b"x" * 5000
+    s = "слово " * 300 + "x" * 5000 + " 名簿の権利者はみな支払いが止まったままだ。 don't, stop"
+    assert "".join(langid.units(s)) == s.replace(" ", "") and max(map(len, langid.units(s))) <= langid.LONG
+    assert langid.units("名簿の権利者はみな") == ["名簿の", "権利者はみな"] and langid.units("don't, stop") == ["don't,", "stop"] and langid.units("") == []
 
 
 @pytest.fixture(scope="module")
@@ -100,3 +102,51 @@ def test_fit_without_labels(spark):
     docs = spark.createDataFrame([(1, "text here", None), (2, None, "en")], "doc_id long, text string, lang string")
     m = langid.fit(docs)
     assert langid.identify(docs, m).count() == 2
+
+
+def test_memory_and_blocks_change_nothing(model):
+    texts = [t or "" for t, _ in CASES] + [f"{a} {b}" for a in TEXTS.values() for b in TEXTS.values()]
+    want = langid.segments(model, texts)
+    small = langid.Memo(replace(model, params=replace(model.params, memo_words=3, memo_chars=10)))
+    got = [langid.segments(model, [t], small)[0] for t in texts]
+    for x, y in zip(got, want):
+        assert [(a[0], *a[2:]) for a in x] == [(a[0], *a[2:]) for a in y] and np.allclose([a[1] for a in x], [a[1] for a in y])
+
+
+def test_the_shortcut_takes_the_best_path(model):
+    """Whole texts in one language skip the path search: its result must be the same."""
+    rng = np.random.default_rng(5)
+    pool = [s for t in TEXTS.values() for s in t.split(". ")] + ["Ok", "la la", "no", "Niemand", "et"]
+    texts = [". ".join(rng.choice(pool, rng.integers(1, 9))) for _ in range(120)]
+    memo = langid.Memo(model)
+    for t, segs in zip(texts, langid.segments(model, texts, memo)):
+        r = memo.rows([t[a:b] for a, b in langid.sentences(t)])
+        ev = memo.logp[r[r >= 0]] / model.look
+        cost = lambda path: ev[np.arange(len(ev)), path].sum() - model.params.switch * (path[1:] != path[:-1]).sum()
+        path = langid._viterbi(ev, model.params.switch)
+        runs = [model.langs[k] for k in path[np.r_[True, path[1:] != path[:-1]]]]
+        assert [x[0] for x in segs] == runs or cost(np.full(len(ev), model.langs.index(segs[0][0]))) == pytest.approx(cost(path))
+
+
+def test_confidence_is_calibrated():
+    """On fragments of held-out sentences, made-up languages that share many words: confidence and accuracy agree."""
+    rng = np.random.default_rng(11)
+    syl = [a + b for a in "bdfgklmnprstvz" for b in "aeiou"]
+    make = lambda own, n: ["".join(rng.choice(own, rng.integers(1, 4))) for _ in range(n)]
+    common = make(syl, 60)
+    vocab = [make(syl[i * 10 : i * 10 + 40], 120) + common for i in range(3)]
+    sentence = lambda k: " ".join(rng.choice(vocab[k], rng.integers(5, 12)))
+    m = langid.fit_sample({c: [sentence(k) for _ in range(300)] for k, c in enumerate(["aa", "bb", "cc"])}, langid.LangParams(steps=150, more_steps=60))
+    conf, hit = [], []
+    for _ in range(900):
+        k = int(rng.integers(3))
+        t = " ".join(sentence(k).split()[: rng.integers(1, 7)])
+        segs = langid.segments(m, [t])[0]
+        if len(segs) == 1 and segs[0][0] != "und":
+            conf.append(segs[0][1])
+            hit.append(segs[0][0] == ["aa", "bb", "cc"][k])
+    conf, hit = np.array(conf), np.array(hit)
+    assert len(conf) > 800 and abs(conf.mean() - hit.mean()) < 0.06
+    for lo, hi in ((0.3, 0.7), (0.7, 0.95), (0.95, 1.01)):
+        b = (conf >= lo) & (conf < hi)
+        assert b.sum() < 30 or abs(conf[b].mean() - hit[b].mean()) < 0.12
