@@ -16,19 +16,18 @@ from rillmark.functions.translit import inventory, transliterate
 
 VERSION = "1.0.0"
 
-# The word lists of the normalization rules.
+# The word lists and phrases of the normalization rules.
 FEATURING = ["feat", "feat.", "ft", "ft.", "featuring", "with"]
 ARTICLES = ["the", "a", "an"]
 SUFFIXES = ["remaster", "remastered", "live", "deluxe", "deluxe edition", "radio edit", "mono", "stereo", "bonus track", "anniversary edition", "explicit", "album version", "single version", "remix", "mix", "version"]
-YEAR = r"(?:19|20)\d{2}"
 YEAR_PHRASES = [
-    rf"remaster(?:ed)? (?:in )?{YEAR}",
-    rf"{YEAR} remaster(?:ed)?",
-    rf"{YEAR} (?:digital )?remaster(?:ed)? version",
-    rf"anniversary edition {YEAR}",
-    rf"{YEAR} anniversary edition",
-    rf"{YEAR} (?:re)?issue",
-    rf"(?:re)?issue {YEAR}",
+    r"remaster(?:ed)?\s+(?:in\s+)?(?:19|20)\d{2}",
+    r"(?:19|20)\d{2}\s+remaster(?:ed)?",
+    r"(?:19|20)\d{2}\s+(?:digital\s+)?remaster(?:ed)?\s+version",
+    r"anniversary\s+edition\s+(?:19|20)\d{2}",
+    r"(?:19|20)\d{2}\s+anniversary\s+edition",
+    r"(?:19|20)\d{2}\s+(?:re)?issue",
+    r"(?:re)?issue\s+(?:19|20)\d{2}",
 ]
 TRAILING = " -–—_/|,:;."
 
@@ -37,10 +36,15 @@ def _bounded(p: str) -> str:
     return rf"(?<![a-z0-9]){p}(?![a-z0-9])"
 
 
+def _longest_first(xs: list[str]) -> list[str]:
+    return sorted(xs, key=len, reverse=True)
+
+
 _BRACKETS = re.compile(r"[\(\[\{][^\)\]\}]*[\)\]\}]")
-_FEAT = re.compile(_bounded("(?:" + "|".join(re.escape(x) for x in sorted(FEATURING, key=len, reverse=True)) + ")"))
-_YEARS = [re.compile(_bounded(p)) for p in sorted(YEAR_PHRASES, key=len, reverse=True)]
-_SUFFIX = re.compile(_bounded("(?:" + "|".join(re.escape(x) for x in sorted(SUFFIXES, key=len, reverse=True)) + r")") + r"\s*$")
+_FEAT = re.compile(_bounded("(?:" + "|".join(re.escape(x) for x in _longest_first(FEATURING)) + ")") + r".*", re.S)
+_YEARS = [re.compile(p) for p in _longest_first(YEAR_PHRASES)]
+_SUFFIXES = [re.compile(_bounded(re.escape(x))) for x in _longest_first(SUFFIXES)]
+_ARTICLE = re.compile(r"\s*(?:" + "|".join(ARTICLES) + ") ")
 
 
 def unicode_text(s: str | None) -> str:
@@ -53,7 +57,7 @@ def unicode_text(s: str | None) -> str:
 def fold(s: str | None, scripts: tuple[str, ...] = ()) -> tuple[str, bool]:
     """(ASCII key of [a-z0-9], whole): ``whole`` is false when a letter or digit found no ASCII form. With ``scripts`` these are romanised first."""
     t = s or ""
-    if scripts:
+    if scripts and not t.isascii():
         t, _ = transliterate(t, scripts)
     d = "".join(ch for ch in unicodedata.normalize("NFKD", t) if not unicodedata.combining(ch)).lower()
     key = "".join(ch for ch in d if ch.isascii() and ch.isalnum())
@@ -61,26 +65,18 @@ def fold(s: str | None, scripts: tuple[str, ...] = ()) -> tuple[str, bool]:
 
 
 def aggressive(s: str | None) -> str:
-    """Name without brackets, guests, reissue years, version suffixes (not at the start), trailing separators and leading article; a step that would empty it is undone."""
-    low = (s or "").lower().strip()
-    t = low
-
-    def keep(new: str) -> str:
-        return new if re.search(r"\w", new) else t
-
-    t = keep(_BRACKETS.sub(" ", t))
-    if m := _FEAT.search(t):
-        t = keep(t[: m.start()])
+    """Name in lower case without brackets, guests, reissue phrases, version marks (where something precedes them), separators at
+    the ends and leading article; unchanged if that would leave nothing for a key."""
+    low = (s or "").lower()
+    t = _FEAT.sub("", _BRACKETS.sub(" ", low), count=1)
     for p in _YEARS:
-        t = keep(p.sub(" ", t))
-    while (m := _SUFFIX.search(t)) and t[: m.start()].strip(TRAILING):
-        t = t[: m.start()].rstrip(TRAILING)
-    t = keep(" ".join(t.split()).rstrip(TRAILING))
-    for a in ARTICLES:
-        if t.startswith(a + " ") and t[len(a) :].strip():
-            t = t[len(a) :].strip()
-            break
-    return t or low
+        t = p.sub(" ", t)
+    for p in _SUFFIXES:
+        t = p.sub(lambda m, t=t: " " if t[: m.start()].strip(TRAILING).strip() else m[0], t)
+    t = " ".join(t.split()).strip(TRAILING)
+    m = _ARTICLE.match(t)
+    t = t[m.end() :] if m else t
+    return t if fold(t)[0] or not fold(low)[0] else low.strip()
 
 
 def normalize(artist: str | None, recording: str | None, scripts: tuple[str, ...] = ()) -> dict[str, str]:
@@ -91,8 +87,8 @@ def normalize(artist: str | None, recording: str | None, scripts: tuple[str, ...
     """
     ua, ur = unicode_text(artist), unicode_text(recording)
     out = {"artist_text": ua, "recording_text": ur}
-    for name, pa, pr in (("exact", artist, recording), ("fallback", aggressive(artist), aggressive(recording))):
-        (a, wa), (r, wr) = fold(pa, scripts), fold(pr, scripts)
+    for name, f in (("exact", str), ("fallback", aggressive)):
+        (a, wa), (r, wr) = fold(f(artist or ""), scripts), fold(f(recording or ""), scripts)
         ok = bool(a and r)
         out[f"key_{name}"] = a + r if ok and wa and wr else ""
         out[f"status_{name}"] = "EMPTY" if not a and not r else "AVAILABLE" if ok and wa and wr else "PARTIAL"
@@ -175,7 +171,7 @@ def ascii_text(c: Column) -> Column:
 
 
 #: what a name must hold for ``aggressive`` to change its key; a name without any has its exact key as fallback key
-MARKS = r"[\(\[\{]|" + _bounded("(?:feat|ft|featuring|with|remaster|remastered|live|deluxe|edition|edit|mono|stereo|track|explicit|version|remix|mix|issue|reissue)") + r"|^[\x00-\x20]*(?:the|an|a)[\x00-\x20]"
+MARKS = r"[\(\[\{]|" + _bounded("(?:feat|ft|featuring|with|remaster|remastered|live|deluxe|edit|mono|stereo|track|explicit|version|remix|mix)") + r"|(?:19|20)\d{2}|^[\x00-\x20\-_/|,:;.]*(?:the|an|a)[\x00-\x20]"
 
 
 def is_ascii(c: Column) -> Column:

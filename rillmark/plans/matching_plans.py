@@ -258,20 +258,37 @@ def f32_listen_hash(s: SparkSession, d: str) -> DataFrame:
     return x.select(h.alias("listen_hash"), F.to_date("listened_at").cast("string").alias("listen_date")).distinct()
 
 
-_K = "regexp_replace(lower(coalesce({}, '')), '[^a-z0-9]', '', 'g')"
-_T = "trim(regexp_replace(lower(coalesce({}, '')), '[^a-z0-9]+', ' ', 'g'))"
+#: without marks, and with what compatibility decomposition makes of the characters of one-byte code pages
+_FOLDED = "strip_accents(lower(replace(replace(replace(replace(translate(coalesce({}, ''), 'ªº²³¹µ', 'ao231μ'), '¼', '1⁄4'), '½', '1⁄2'), '¾', '3⁄4'), '™', 'TM')))"
+_K = f"regexp_replace({_FOLDED}, '[^a-z0-9]', '', 'g')"
+#: whether every letter and digit found an ASCII form
+_WHOLE = rf"not regexp_matches(regexp_replace({_FOLDED}, '[a-z0-9]', '', 'g'), '[\p{{{{L}}}}\p{{{{N}}}}]')"
+#: Hangul syllables in their jamo, as compatibility decomposition leaves them
+_JAMO = """array_to_string(list_transform(string_split({}, ''), lambda c: case when unicode(c) between 44032 and 55203 then chr(cast(4352 + (unicode(c) - 44032) // 588 as int))
+  || chr(cast(4449 + (unicode(c) - 44032) % 588 // 28 as int)) || case when (unicode(c) - 44032) % 28 > 0 then chr(cast(4519 + (unicode(c) - 44032) % 28 as int)) else '' end else c end), '')"""
+_T = "trim(regexp_replace(" + _JAMO.format(f"replace(replace({_FOLDED}, 'ß', 'ss'), 'ς', 'σ')") + r", '[\p{{P}}\p{{S}}\p{{C}}\p{{Z}}]+', ' ', 'g'))"
+_SEPARATORS = " -–—_/|,:;."
+
+
+def _agg(c: str) -> str:
+    """The rules of the fallback stage, step by step; an underscore bounds a word as a hyphen does, and only ASCII letters and digits are within one."""
+    t = f"replace({c}, '_', '-')"
+    for p, r, how in [(r"[\(\[\{][^\)\]\}]*[\)\]\}]", " ", "g"), (r"\b(?:featuring|feat|ft|with)\b.*", "", "s"), *[(p, " ", "g") for p in sorted(T.YEAR_PHRASES, key=len, reverse=True)], *[(rf"^([ \-–—/|,:;.]*\b{x}\b)|\b{x}\b", r"\1 ", "g") for x in sorted(T.SUFFIXES, key=len, reverse=True)], (r"[\s\p{Z}]+", " ", "g")]:
+        t = f"regexp_replace({t}, '{p}', '{r}', '{how}')"
+    return f"regexp_replace(trim(trim({t}), '{_SEPARATORS}'), '^(?:the|a|an) ', '')"
 
 
 def _fb(c: str) -> str:
-    t = f"lower(coalesce({c}, ''))"
-    for p, r in T.FALLBACK_STEPS:
-        t = f"trim(regexp_replace({t}, '{p}', '{r}', 'g'))"
-    return f"regexp_replace({t}, '[^a-z0-9]', '', 'g')"
+    """The name in lower case after the fallback stage, whole again if nothing would be left of it."""
+    low = f"lower(coalesce({c}, ''))"
+    return f"(case when {_K.format(_agg(low))} = '' then {low} else {_agg(low)} end)"
 
 
-_STATUS = "case when {0} = '' and {1} = '' then 'EMPTY' when {0} = '' or {1} = '' then 'PARTIAL' else 'AVAILABLE' end"
-_BOTH = "case when {0} <> '' and {1} <> '' then {0} || {1} else '' end"
+_STATUS = "case when {0} = '' and {1} = '' then 'EMPTY' when {0} = '' or {1} = '' or not {2} then 'PARTIAL' else 'AVAILABLE' end"
+_BOTH = "case when {0} <> '' and {1} <> '' and {2} then {0} || {1} else '' end"
 _W = RULES.weights
+#: one-byte stand-ins for letters outside ASCII, since DuckDB's levenshtein counts bytes: characters that no compared text holds
+_NARROW = "substr('" + "".join(chr(c) for c in range(33, 127) if not chr(c).isdigit() and not chr(c).islower() and chr(c) not in "'") + "', 1, length(wide))"
 _SIM = "case when {0} = '' or {1} = '' then 0.0 else 1.0 - levenshtein({0}, {1}) / greatest(length({0}), length({1})) end"
 
 
@@ -285,26 +302,32 @@ _DEN = "0.0::double" + "".join(f" + case when {f} is null then 0.0::double else
 
 BASE = f"""
 with pr as (select distinct coalesce(artist_name, '') as artist_name, coalesce(recording_name, '') as recording_name from bronze_listens),
-pk as (select *, {_K.format('artist_name')} as ka, {_K.format('recording_name')} as kr, {_fb('artist_name')} as fa, {_fb('recording_name')} as fr from pr),
-pairs as (select sha256(artist_name || chr(31) || recording_name) as pair_hash, artist_name, recording_name, {_T.format('artist_name')} as artist_text, {_T.format('recording_name')} as recording_text,
-  {_BOTH.format('ka', 'kr')} as key_exact, {_STATUS.format('ka', 'kr')} as status_exact, {_BOTH.format('fa', 'fr')} as key_fallback, {_STATUS.format('fa', 'fr')} as status_fallback,
-  case when trim(artist_name) = '' then 'MISSING_ARTIST' when trim(recording_name) = '' then 'MISSING_RECORDING'
-  when regexp_replace(artist_name, '[^\\p{{L}}\\p{{N}}]', '', 'g') = '' or regexp_replace(recording_name, '[^\\p{{L}}\\p{{N}}]', '', 'g') = '' then 'NO_ALPHANUMERIC_CONTENT' else 'VALID' end as content from pk),
-ck as (select distinct recording_mbid, {_K.format('artist_credit_name')} as ka, {_K.format('recording_name')} as kr, {_fb('artist_credit_name')} as fa, {_fb('recording_name')} as fr from bronze_canonical_recordings),
-idx as (select distinct * from (select recording_mbid, 'EXACT' as lookup_stage, {_BOTH.format('ka', 'kr')} as lookup_key from ck union all select recording_mbid, 'FALLBACK', {_BOTH.format('fa', 'fr')} from ck) where lookup_key <> ''),
+pf as (select *, {_fb('artist_name')} as ga, {_fb('recording_name')} as gr from pr),
+pk as (select *, {_K.format('artist_name')} as ka, {_K.format('recording_name')} as kr, {_K.format('ga')} as fa, {_K.format('gr')} as fr, {_WHOLE.format('artist_name')} and {_WHOLE.format('recording_name')} as wk, {_WHOLE.format('ga')} and {_WHOLE.format('gr')} as wf,
+  {_T.format('artist_name')} as ua, {_T.format('recording_name')} as ur from pf),
+pairs as (select sha256(artist_name || chr(31) || recording_name) as pair_hash, artist_name, recording_name, ua as artist_text, ur as recording_text,
+  {_BOTH.format('ka', 'kr', 'wk')} as key_exact, {_STATUS.format('ka', 'kr', 'wk')} as status_exact, {_BOTH.format('fa', 'fr', 'wf')} as key_fallback, {_STATUS.format('fa', 'fr', 'wf')} as status_fallback,
+  case when regexp_full_match(artist_name, '\\s*') then 'MISSING_ARTIST' when regexp_full_match(recording_name, '\\s*') then 'MISSING_RECORDING'
+  when ua = '' or ur = '' then 'NO_ALPHANUMERIC_CONTENT' else 'VALID' end as content from pk),
+cf as (select distinct recording_mbid, artist_credit_name, recording_name, {_fb('artist_credit_name')} as ga, {_fb('recording_name')} as gr from bronze_canonical_recordings),
+ck as (select *, {_K.format('artist_credit_name')} as ka, {_K.format('recording_name')} as kr, {_K.format('ga')} as fa, {_K.format('gr')} as fr, {_WHOLE.format('artist_credit_name')} and {_WHOLE.format('recording_name')} as wk, {_WHOLE.format('ga')} and {_WHOLE.format('gr')} as wf from cf),
+idx as (select distinct * from (select recording_mbid, 'EXACT' as lookup_stage, {_BOTH.format('ka', 'kr', 'wk')} as lookup_key from ck union all select recording_mbid, 'FALLBACK', {_BOTH.format('fa', 'fr', 'wf')} from ck) where lookup_key <> ''),
 ex as (select pair_hash, recording_mbid, 'EXACT' as block_method, key_exact as block_key from pairs join idx on lookup_stage = 'EXACT' and lookup_key = key_exact where status_exact = 'AVAILABLE'),
 fb as (select pair_hash, recording_mbid, 'FALLBACK' as block_method, key_fallback as block_key from pairs join idx on lookup_stage = 'FALLBACK' and lookup_key = key_fallback where status_fallback = 'AVAILABLE' and pair_hash not in (select pair_hash from ex)),
 cands as (select * from ex union all select * from fb),
 uni as (select * exclude (n) from (select *, count(*) over (partition by pair_hash) as n from cands) where n > 1 or block_method = 'FALLBACK'),
-ctx as (select recording_mbid, {_T.format('min(artist_credit_name)')} as c_artist, {_T.format('min(recording_name)')} as c_recording, lower(trim(min(release_name))) as c_release from bronze_canonical_recordings group by 1),
+cm as (select recording_mbid, min(artist_credit_name) as a, min(recording_name) as r, min(release_name) as l from bronze_canonical_recordings group by 1),
+ctx as (select recording_mbid, case when a is not null then {_T.format('a')} end as c_artist, case when r is not null then {_T.format('r')} end as c_recording, lower(trim(l)) as c_release from cm),
 tx0 as (select distinct sha256(coalesce(artist_name, '') || chr(31) || coalesce(recording_name, '')) as pair_hash, release_name from bronze_listens),
 tx as (select tx0.*, sha256(tx0.pair_hash || chr(31) || coalesce(release_name, '~null~')) as text_hash, p.artist_text, p.recording_text, p.content, p.status_exact from tx0 join pairs p using (pair_hash)),
+fj as (select *, array_to_string(list_distinct(string_split(regexp_replace(artist_text || c_artist || recording_text || c_recording, '[\\x00-\\x7F]', '', 'g'), '')), '') as wide from uni join tx using (pair_hash) join ctx using (recording_mbid)),
+fn as (select *, translate(artist_text, wide, {_NARROW}) as na, translate(c_artist, wide, {_NARROW}) as nca, translate(recording_text, wide, {_NARROW}) as nr, translate(c_recording, wide, {_NARROW}) as ncr from fj),
 feats as (select text_hash, pair_hash, recording_mbid, block_method,
   (artist_text <> '' and artist_text = c_artist)::int::double as artist_exact, (recording_text <> '' and recording_text = c_recording)::int::double as recording_exact,
   {_jac('artist_text', 'c_artist')} as artist_jaccard, {_jac('recording_text', 'c_recording')} as recording_jaccard,
-  {_SIM.format('artist_text', 'c_artist')} as artist_similarity, {_SIM.format('recording_text', 'c_recording')} as recording_similarity,
+  {_SIM.format('na', 'nca')} as artist_similarity, {_SIM.format('nr', 'ncr')} as recording_similarity,
   case when coalesce(trim(release_name), '') <> '' then coalesce(lower(trim(release_name)) = c_release, false)::int::double end as release_exact
-  from uni join tx using (pair_hash) join ctx using (recording_mbid)),
+  from fn),
 sc as (select text_hash, recording_mbid, round(({_NUM}) / nullif({_DEN}, 0), 9) as score from feats),
 rk as (select *, row_number() over (partition by text_hash order by score desc nulls last, recording_mbid) as rn from sc),
 top2 as (select text_hash, max(case when rn = 1 then score end) as top1, max(case when rn = 2 then score end) as top2, max(case when rn = 1 then recording_mbid end) as winner from rk group by 1),

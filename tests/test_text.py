@@ -31,17 +31,18 @@ def test_keys_are_never_partial():
     assert T.normalize(" ", "x")["content"] == "MISSING_ARTIST" and T.normalize("x", None)["content"] == "MISSING_RECORDING"
 
 
-@pytest.mark.parametrize("raw,want", [("Song (Live at X) [Explicit]", "song"), ("Song feat. Someone", "song"), ("Song - Remastered 2011", "song"), ("Song - 2011 Remaster", "song"), ("Live", "live"), ("(Live)", "(live)"), ("The Song", "song"), ("The", "the"), ("Song - Radio Edit", "song"), ("Defeat", "defeat"), ("1999", "1999"), ("Mix", "mix")])
+@pytest.mark.parametrize("raw,want", [("Song (Live at X) [Explicit]", "song"), ("Song feat. Someone", "song"), ("Song - Remastered 2011", "song"), ("Song - 2011 Remaster", "song"), ("Live", "live"), ("(Live)", "(live)"), ("The Song", "song"), ("The", "the"), ("Song - Radio Edit", "song"), ("Defeat", "defeat"), ("1999", "1999"), ("Mix", "mix"),
+    ("Song live at venue", "song at venue"), ("Song  2009\tRemaster tail", "song tail"), ("Live 2000", "live 2000"), ("Live at Leeds", "live at leeds"), ("Album Version", "album"), ("Song - Anniversary Edition 2017", "song"), ("Song (feat.X)", "song"), ("Song feat. X live", "song"), ("- The End -", "end"), ("deluxe edition", "deluxe edition")])
 def test_aggressive(raw, want):
     assert T.aggressive(raw) == want
 
 
-@pytest.mark.parametrize("s,want", [("한국", "hanguk"), ("서울", "seoul"), ("뚱", "ttung"), ("값", "gaps"), ("abc", "abc")])
+@pytest.mark.parametrize("s,want", [("한국", "hanguk"), ("서울", "seoul"), ("뚱", "ttung"), ("값", "gaps"), ("abc", "abc"), ("ㅋㅋ", "kk"), ("ㅠ한", "yuhan")])
 def test_hangul(s, want):
     assert hangul(s) == want
 
 
-@pytest.mark.parametrize("s,want", [("カタカナ", "katakana"), ("ひらがな", "hiragana"), ("きっと", "kitto"), ("コーヒー", "kohi"), ("シャツ", "shatsu"), ("きょう", "kyou"), ("ア・イ", "a i"), ("ファン", "fan")])
+@pytest.mark.parametrize("s,want", [("カタカナ", "katakana"), ("ひらがな", "hiragana"), ("きっと", "kitto"), ("コーヒー", "kohi"), ("シャツ", "shatsu"), ("きょう", "kyou"), ("ア・イ", "a i"), ("ファン", "fan"), ("チェョ", "cho"), ("キャァ", "kya"), ("ッャシ", "yasshi"), ("ッ!カ", "!kka"), ("ジャッジ", "jajji"), ("ティー", "ti"), ("ァ", "a"), ("ッ", "")])
 def test_kana(s, want):
     assert kana(s) == want
 
