@@ -11,6 +11,7 @@ from rillmark.functions.keys import lower_key, stripped, upper_key
 from rillmark.operators import allocation, asof, digest, generator, history, ownership, profile, restatement, scd
 from rillmark.operators import evaluation as E
 from rillmark.operators import matching as M
+from rillmark.plans import fuller_sql as FS
 from rillmark.plans import matching_plans as MP
 from rillmark.plans.problems import ATTRS, LOW, UP
 from rillmark.session import checkpointed
@@ -331,14 +332,6 @@ co as (select distinct listen_hash from bronze_listens join v1 using (listen_has
 """
 _D = lambda *cs: ", ".join(f"cast({c} as double) as {c}" for c in cs)
 _KINDS = ["holder_added", "holder_removed", "payout_increased", "payout_decreased", "unchanged"]
-SCD_SQL = f"""
-with t as (select generation_run_id, min(generated_at) as t from rights_holders group by 1),
-x as (select {UP('holder_id')} as holder_id, lower(trim(min(display_name))) as display_name, upper(trim(min(payee_status))) as payee_status, generation_run_id as g from rights_holders group by 1, 4),
-a as (select * from x where holder_id is not null and g = (select generation_run_id from t order by t, generation_run_id limit 1)), b as (select * from x where holder_id is not null and g = (select generation_run_id from t order by t desc, generation_run_id desc limit 1)),
-j as (select coalesce(a.holder_id, b.holder_id) as holder_id, a.display_name as ad, a.payee_status as ap, b.display_name as bd, b.payee_status as bp, a.holder_id is not null as ina, b.holder_id is not null as inb from a full outer join b using (holder_id)),
-k as (select *, ina and inb and ad is not distinct from bd and ap is not distinct from bp as same from j),
-h as (select holder_id, ad as display_name, ap as payee_status, '2026-01-01' as valid_from, case when not same then '2026-02-01' end as valid_to from k where ina union all select holder_id, bd, bp, '2026-02-01', null from k where inb and not same)
-"""
 
 
 # ---- evaluation
@@ -399,9 +392,6 @@ def ag18_leave_one_out(s: SparkSession, d: str) -> DataFrame:
     return leave_one_out(MP._feats(s, d), label_items(_labels(s, d), MP._listens(s, d)))
 
 
-GRID = [(st, t, m) for st in ("EXACT", "FALLBACK") for t in (0.55, 0.65, 0.75, 0.85, 0.9, 0.95) for m in (0.02, 0.05, 0.1, 0.2)]
-
-
 WEIGHT_SETS = {
     "equal_six": (1, 1, 1, 1, 1, 1, 0), "auc_proportional": (0.29, 0.44, 0.32, 0.46, 0.31, 0.45, 0.43), "recording_only": (0, 1, 0, 1, 0, 1, 0), "recording_release": (0, 1, 0, 1, 0, 1, 1),
     "recording_heavy": (0.1, 1, 0.1, 1, 0.1, 1, 0.5), "recording_release_eq": (0, 0.8, 0, 1, 0, 0.9, 0.9),
@@ -462,11 +452,7 @@ lab as (select listen_hash, min(recording_mbid) as label_mbid from ex group by 1
 m as (select distinct listen_hash, matched_recording_mbid, match_method, match_score, score_margin, block_method from silver_listen_matches),
 ca as (select distinct {LOW('recording_mbid')} as c from bronze_canonical_recordings),
 l as (select m.*, label_mbid, ca.c is not null as label_in_catalogue, coalesce(label_mbid = matched_recording_mbid, false) as label_retrieved from m left join lab using (listen_hash) left join ca on ca.c = label_mbid),
-ag as (select *, label_mbid = matched_recording_mbid as agrees from l where label_mbid is not null and matched_recording_mbid is not null),
-pi as (select block_method as stage, round(match_score, 9) as score, round(score_margin, 9) as margin, case when label_mbid is not null and matched_recording_mbid is not null then label_mbid = matched_recording_mbid end as agrees from l where match_score is not null and block_method is not null),
-cells as (select * from (values {', '.join(f"('{a}', {b}::double, {c}::double)" for a, b, c in GRID)}) t(stage, threshold, min_margin)),
-gr as (select stage, threshold, min_margin, count(*) as items, count(*) filter (where ok) as accepted, count(*) filter (where ok and agrees is not null) as evaluable, count(*) filter (where ok and not agrees) as disagree
-  from (select cells.*, agrees, score >= threshold and (margin is null or margin >= min_margin) as ok from pi join cells using (stage)) group by 1, 2, 3)
+ag as (select *, label_mbid = matched_recording_mbid as agrees from l where label_mbid is not null and matched_recording_mbid is not null)
 """
 
 
@@ -630,14 +616,14 @@ SQL = {
     "T15_versions": "select count(*) as rows, count(*) filter (where prior_normalization_version = new_normalization_version) as same_normalization, count(*) filter (where prior_split_version is distinct from new_split_version) as split_changed from fct_restatements",
     "T3_grain": "select count(*) as grain_rows, count(*) filter (where n > 1) as violations from (select count(*) as n from (select distinct * from fct_restatements) group by period, recording_mbid, rights_holder_id)",
     "AG12_digest": "with h as (select sha256(concat_ws(chr(31), coalesce(recording_mbid, ''), coalesce(rights_holder_id, ''), coalesce(change_type, ''), coalesce(trigger_reason, ''), coalesce(prior_streams::varchar, ''))) as h from fct_restatements), b as (select cast('0x' || substr(h, 1, 8) as bigint) % 64 as b, count(*) as n, sha256(string_agg(h, '' order by h)) as d from h group by 1) select cast(sum(n) as bigint) as rows, sha256(string_agg(d, '' order by b)) as digest from b",
-    "SC1_scd2": SCD_SQL + "select * from h",
-    "W7_with_history": SCD_SQL + "select holder_id, count(*) as versions from h group by 1 having count(*) > 1",
+    "SC1_scd2": FS.SCD + "select * from sv",
+    "W7_with_history": FS.SCD + "select holder_id, count(*) as versions from sv group by 1 having count(*) > 1",
     "J19_label_join": EVAL + "select label_in_catalogue, count(*) as n, count(label_mbid) as labelled from l group by 1",
-    "AG21_agreement": EVAL + "select match_method, count(*) as items, count(label_mbid) as labelled, count(matched_recording_mbid) as matched, count(*) filter (where label_mbid = matched_recording_mbid) as agree, count(*) filter (where label_mbid <> matched_recording_mbid and label_retrieved) as ranking_error, count(*) filter (where label_mbid <> matched_recording_mbid and not label_retrieved and label_in_catalogue) as ref_not_retrieved, count(*) filter (where label_mbid <> matched_recording_mbid and not label_in_catalogue) as ref_not_in_snapshot, round(count(matched_recording_mbid) / count(*), 9) as coverage from l group by 1",
+    "AG21_agreement": FS.AGREEMENT,
     "AG17_auc": EVAL + _auc_sql("round(match_score, 9)", "match_method", "ag"),
-    "AG18_leave_one_out": EVAL + ", lo as (select 'all' as subset, agrees, round((match_score + score_margin) / 2, 9) as z from ag union all select 'without_margin', agrees, round(match_score, 9) from ag union all select 'without_score', agrees, round(score_margin, 9) from ag) " + _auc_sql("z", "subset", "lo"),
-    "AG19_grid": EVAL + "select * from gr",
-    "AG20_choose": EVAL + "select * exclude (rn) from (select *, row_number() over (partition by stage order by within_bound desc, case when within_bound then -accepted else 0 end, rate, accepted desc, threshold, min_margin) as rn from (select *, rate <= 0.02 and evaluable >= 10 as within_bound from (select *, round(coalesce(disagree / nullif(evaluable, 0), 1.0), 9) as rate from gr))) where rn = 1",
+    "AG18_leave_one_out": FS.LEAVE_ONE_OUT,
+    "AG19_grid": FS.grid(WEIGHT_SETS, EXACT, FALLBACK, MARGINS) + "select * from gr",
+    "AG20_choose": FS.grid(WEIGHT_SETS, EXACT, FALLBACK, MARGINS) + FS.choice(0.02, 1000),
     "AG22_disjoint": "with x as (select recording_mbid, case when recording_mbid is null then 'NOT_EVALUABLE' when cast('0x' || substr(sha256('rillmark-dev-1:' || recording_mbid), 1, 8) as bigint) % 100 >= 80 then 'holdout' when cast('0x' || substr(sha256('rillmark-cal-1:' || recording_mbid), 1, 8) as bigint) % 100 < 75 then 'calibration' else 'validation' end as part from ext_listens_2026_06) select count(*) as recordings, count(*) filter (where n > 1) as violations from (select count(distinct part) as n from x group by recording_mbid)",
     "AG14_boolean": "select match_tier, bool_or(score_margin < 0.02) as any_thin, bool_and(match_status = 'MATCHED') as all_matched from silver_listen_matches group by 1",
     "AG15_quantiles": "select unnest([0.1::double, 0.5::double, 0.9::double]) as q, unnest(quantile_disc(match_score, [0.1, 0.5, 0.9])) as match_score from silver_listen_matches where match_score is not null",
@@ -649,23 +635,15 @@ SQL = {
     "P1_period_filter": "select distinct user_id, recording_msid from ext_listens_2026_06 where listened_at >= timestamp '2026-06-10' and listened_at < timestamp '2026-06-11'",
     "P2_reconcile_source": "select count(*) as total, count(*) filter (where listened_at >= timestamp '2026-06-01' and listened_at < timestamp '2026-07-01') as in_period, count(*) filter (where not (listened_at >= timestamp '2026-06-01' and listened_at < timestamp '2026-07-01')) as out_of_period, count(*) filter (where listened_at is null) as unclassified from ext_listens_2026_06",
     "J23_cross_source": "with a as (select distinct sha256(user_id || '|' || epoch_us(listened_at) || '|' || recording_msid) as listen_hash, listened_at, recording_msid, artist_name as xa from ext_listens_2026_06), b as (select distinct listen_hash, listened_at, recording_msid, artist_name, true as hit from bronze_listens) select count(*) as raw, count(hit) as loaded, count(*) filter (where hit and xa is not distinct from artist_name) as same_artist from a left join b using (listen_hash, listened_at, recording_msid)",
-    "GN2_defects": f"select recording_mbid, case when rn <= 5 then 'SHARE_SUM' when rn <= 9 then 'OVERLAP' when rn <= 13 then 'GAP' when rn <= 15 then 'INVALID_INTERVAL' else 'MISSING_HOLDER' end as defect from (select recording_mbid, row_number() over (order by sha256('defect|' || recording_mbid), recording_mbid) as rn from (select distinct {LOW('recording_mbid')} as recording_mbid from bronze_canonical_recordings)) where rn <= 18",
+    "GN1_generated_splits": FS.GENERATED,
+    "GN2_defects": FS.DEFECTS,
     "GN3_gap_days": OWN + "select strftime(d, '%Y-%m-%d') as day from (select unnest(generate_series(date '2026-06-01', date '2026-06-30', interval 1 day)) as d) where not exists (select 1 from rg where d >= range_from and d < range_to)",
-    "Q2_injected_detected": "select * from (values ('SHARE_SUM', 5, 5), ('OVERLAP', 4, 4), ('GAP', 4, 4), ('INVALID_INTERVAL', 2, 2), ('MISSING_HOLDER', 3, 3)) t(defect, injected, detected)",
+    "Q2_injected_detected": FS.DETECTED,
     "F30_dates": "select distinct strftime(period, '%Y-%m-%d') as period, strftime(date_trunc('month', period), '%Y-%m-%d') as first_day, strftime(date_trunc('month', period) + interval 1 month, '%Y-%m-%d') as next_month, strftime(period - 1, '%Y-%m-%d') as day_before from fct_restatements",
     "F27_rounding": "select distinct recording_mbid, rights_holder_id, cast(round(restated_payout, 2) as double) as rounded, cast(floor(restated_payout * 100) as bigint) as floor_cents from fct_restatements",
     "IO7_file_ranges": "select source_file, cast(min(listened_at) as varchar) as first, cast(max(listened_at) as varchar) as last, count(*) as rows from bronze_listens group by 1",
     "IO5_json_lines": "select count(*) as rows, count(cast(json_extract_string(props, '$.k') as bigint)) as parsed, cast(sum(cast(json_extract_string(props, '$.k') as bigint)) as bigint) as k_sum from events",
 }
-_U = lambda seed, *p: f"((cast('0x' || substr(sha256('{seed}|' || {chr(39).join([' || ', '|', ' || ']).join(p) if len(p) > 1 else p[0]}), 1, 14) as bigint) >> 3) / 9007199254740992.0::double)"
-SQL["GN1_generated_splits"] = f"""
-with u as (select distinct {LOW('recording_mbid')} as recording_mbid from bronze_canonical_recordings),
-n as (select recording_mbid, case when {_U('n', 'recording_mbid')} < 0.42 then 1 when {_U('n', 'recording_mbid')} < 0.76 then 2 when {_U('n', 'recording_mbid')} < 0.94 then 3 else 4 end as n from u),
-s as (select recording_mbid, unnest(generate_series(1, n))::int as slot from n),
-w as (select *, {_U('h', 'recording_mbid', 'slot::varchar')} as v, cast(floor({_U('w', 'recording_mbid', 'slot::varchar')} * 9000) as bigint) + 1000 as raw from s),
-x as (select *, (raw * 1000000) // cast(sum(raw) over (partition by recording_mbid) as bigint) as share from w)
-select recording_mbid, slot, 'GEN-' || lpad(cast(cast(floor(v * v * v * 980) as bigint) as varchar), 6, '0') as rights_holder_id, cast(share + case when slot = 1 then 1000000 - sum(share) over (partition by recording_mbid) else 0 end as bigint) as share_e4 from x where recording_mbid is not null"""
-
 QUERIES = {
     "AG4_split_sets": ag4_sets, "AG5_interval_consistency": ag5_intervals, "J7_unknown_holders": j7_unknown, "J8_overlap_join": j8_overlaps, "W3_interval_gaps": w3_gaps, "O1_validity": o1_validity, "J9_in_force": j9_in_force,
     "J10_any_coverage": j10_covered, "J11_range_lookup": j11_ranges, "J25_catalogue_member": j25_catalogue, "O2_resolution": o2_resolution, "AG10_waterfall": ag10_waterfall, "A1_allocation": a1_allocation, "T7_closure": t7_closure,
