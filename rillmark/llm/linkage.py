@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillmark.llm.names import STOP, folded, readings, words
+from rillmark.operators.skew import hot_keys, salted_join
 from rillmark.session import checkpointed
 
 #: per field the edit similarity relative to length, and closeness in edits, 1 at none and 0 from six on
@@ -27,8 +28,9 @@ FEATURES = ("artist_edit", "title_edit", "artist_near", "title_near")
 class LinkParams:
     """``ridge``: added to each variance, so that exact agreement does not make the matched component a point. ``rounds``
     and ``tol`` end the fit. ``accept``: least posterior. ``rival``: classes with at least this share of the best
-    odds fit the names about as well. ``common_share``/``common_least``: a word in more of the catalogue's records than
-    both is common and blocks only together with another; there are at most words-per-record/common_share such words.
+    odds fit the names about as well. ``common_share``/``common_least``: a word in more of the catalogue's names than
+    both is common and blocks only together with another (``block_keys`` says what no setting loses); there are at most
+    words-per-name/common_share such words. ``hot_share``/``hot_least``: blocks and classes with more rows than both are spread over ``salts`` tasks.
     ``release_sim``: least similarity of release names that decides."""
 
     ridge: float = 0.01
@@ -38,6 +40,9 @@ class LinkParams:
     rival: float = 0.2
     common_share: float = 0.001
     common_least: int = 20
+    hot_share: float = 0.001
+    hot_least: int = 20_000
+    salts: int = 24
     release_sim: float = 0.8
 
 
@@ -72,7 +77,7 @@ def read_names(df: DataFrame, key: str, artist: str, title: str, release: str, w
 
 
 def common_words(classes: DataFrame, p: LinkParams) -> tuple[list[str], list[str]]:
-    """Artist and title words too frequent to block alone; bounded by the share, so they may go to the driver."""
+    """Artist and title words that are in many names; bounded by the share, so they may go to the driver."""
     n = classes.select(F.count(F.lit(1)).alias("n")).scalar()
     w = classes.select(F.explode(F.concat(F.transform(F.array_distinct("aw"), lambda x: F.concat(F.lit("a"), x)), F.transform(F.array_distinct("tw"), lambda x: F.concat(F.lit("t"), x)))).alias("w"))
     big = w.groupBy("w").agg(F.count(F.lit(1)).alias("df")).where((F.col("df") > n * p.common_share) & (F.col("df") > p.common_least))
@@ -80,21 +85,29 @@ def common_words(classes: DataFrame, p: LinkParams) -> tuple[list[str], list[str
     return [x[1:] for x in got if x[0] == "a"], [x[1:] for x in got if x[0] == "t"]
 
 
+def counted(words: str) -> Column:
+    """The words that block: distinct, of two letters or more, no stop words."""
+    stop = F.array(*[F.lit(x) for x in sorted(STOP)])
+    return F.filter(F.array_distinct(words), lambda x: (F.length(x) > 1) & ~F.array_contains(stop, x))
+
+
 def block_keys(common: tuple[list[str], list[str]]) -> Column:
-    """Array of 64-bit block keys of a reading (aw, tw, ra, rt).
+    """Array of 64-bit block keys of a reading (aw, tw, ra, rt), in which names are looked for together.
 
     (artist, title word), (title, first or last two letters of the artist), (artist, first or last two letters of the title),
-    (artist word, title word) unless both are common, and (artist word, two title words) where all are common. Words of one
-    letter and stop words do not count. Two names meet that share all of one of artist and title and either end of the other, or
-    the artist and one title word, or one word of each, as long as one of these is not common or two common title words are shared.
+    (artist word, title word) unless both are common, and where all are common (artist word, two title words), or one title
+    word if there are no more than two. No pair is lost that shares a counted artist word and at least half of the counted
+    title words of the longer title, nor one that shares all of one of artist and title and either end of the other, or the
+    artist and one title word: whatever words are common, since of shared title words either one is rare, or two are common,
+    or the titles have at most two. Equal hashes of different keys only add pairs.
     """
-    stop = F.array(*[F.lit(x) for x in sorted(STOP)])
-    aw, tw = (F.filter(F.array_distinct(c), lambda x: (F.length(x) > 1) & ~F.array_contains(stop, x)) for c in ("aw", "tw"))
+    aw, tw = counted("aw"), counted("tw")
     ca, ct = (F.array(*[F.lit(x) for x in c]).cast("array<string>") for c in common)
     h = lambda tag, *c: F.xxhash64(F.lit(tag), *c)
+    none = F.array().cast("array<bigint>")
     k1 = F.transform(tw, lambda t: h("at", F.col("ra"), t))
     k2 = F.array(h("tf", F.col("rt"), F.substring("ra", 1, 2)), h("tl", F.col("rt"), F.substring("ra", -2, 2)))
-    k5 = F.when(F.col("ra") != "", F.array(h("af", F.col("ra"), F.substring("rt", 1, 2)), h("al", F.col("ra"), F.substring("rt", -2, 2)))).otherwise(F.array().cast("array<bigint>"))
+    k5 = F.when(F.col("ra") != "", F.array(h("af", F.col("ra"), F.substring("rt", 1, 2)), h("al", F.col("ra"), F.substring("rt", -2, 2)))).otherwise(none)
     rare_a, some_a = F.array_except(aw, ca), F.array_intersect(aw, ca)
     rare_t, some_t = F.array_except(tw, ct), F.array_intersect(tw, ct)
     pair = lambda xs, ys: F.flatten(F.transform(xs, lambda a: F.transform(ys, lambda t: h("ww", a, t))))
@@ -102,7 +115,8 @@ def block_keys(common: tuple[list[str], list[str]]) -> Column:
     s = F.array_sort(some_t)
     twos = F.flatten(F.transform(s, lambda x: F.transform(F.filter(s, lambda y: y > x), lambda y: F.concat_ws(" ", x, y))))
     k4 = pair(some_a, twos)
-    return F.array_distinct(F.concat(k1, k2, k3, k4, k5))
+    k6 = F.when(F.size(tw) <= 2, pair(some_a, some_t)).otherwise(none)
+    return F.array_distinct(F.concat(k1, k2, k3, k4, k5, k6))
 
 
 def _edit(a: Column, b: Column) -> Column:
@@ -118,24 +132,27 @@ def _upto(cut: str, text: str, other: str) -> Column:
     return F.when(F.col(cut), F.substring(F.col(other), F.lit(1), F.length(text))).otherwise(F.col(other))
 
 
-def candidates(texts: DataFrame, classes: DataFrame, common: tuple[list[str], list[str]]) -> DataFrame:
+def candidates(texts: DataFrame, classes: DataFrame, common: tuple[list[str], list[str]], p: LinkParams) -> DataFrame:
     """(tid, cid, features): each text with each name class it meets in a block, best reading, versions being of one kind.
 
-    Another performance, remix or numbered part is another recording: an exact check on the kinds of version marks.
+    Another performance, remix or numbered part is another recording: an exact check on the kinds of version marks. Blocks and
+    classes that many names meet are spread over several tasks. A text's candidates come out together, sorted by text.
     """
-    key = block_keys(common)
-    t = texts.withColumn("rid", F.xxhash64("tid", "ra", "rt", "kinds", "cut", "acut"))
-    a = t.select("rid", "kinds", F.explode(key).alias("k"))
-    b = classes.select("cid", "kinds", F.explode(key).alias("k"))
-    met = a.join(b, ["k", "kinds"]).select("rid", "cid").distinct()
-    left = t.select("rid", "tid", "ra", "rt", "cut", "acut").dropDuplicates(["rid"])
-    right = classes.select("cid", F.col("ra").alias("ca"), F.col("rt").alias("ct"))
-    j = met.join(left, "rid").join(right, "cid")
+    key = F.transform(block_keys(common), lambda k: F.xxhash64(k, "kinds"))
+    a = texts.select("rid", F.explode(key).alias("k"))
+    b = checkpointed(classes.select("cid", F.explode(key).alias("k")))
+    met = salted_join(a, b, "k", "inner", p.salts, F.col("rid"), hot_keys(b, "k", p.hot_share, p.hot_least)).select("rid", "cid").distinct()
+    met = checkpointed(met)
+    left = texts.select("rid", "tid", "kinds", "ra", "rt", "cut", "acut")
+    right = classes.select("cid", F.col("kinds").alias("ck"), F.col("ra").alias("ca"), F.col("rt").alias("ct"))
+    j = salted_join(met, right, "cid", "inner", p.salts, F.col("rid"), hot_keys(met, "cid", p.hot_share, p.hot_least))
+    j = j.join(left, "rid").where("kinds = ck")
     j = j.withColumns({"ca": _upto("acut", "ra", "ca"), "ct": _upto("cut", "rt", "ct")})
     j = j.withColumns({"artist_edit": _edit(F.col("ra"), F.col("ca")), "title_edit": _edit(F.col("rt"), F.col("ct"))})
     j = j.withColumns({"artist_near": _near(F.col("artist_edit"), F.col("ra"), F.col("ca")), "title_near": _near(F.col("title_edit"), F.col("rt"), F.col("ct"))})
     best = F.max(F.struct((F.col("artist_edit") + F.col("title_edit")).alias("s"), *FEATURES)).alias("x")
-    return j.groupBy("tid", "cid").agg(best).select("tid", "cid", *[F.col(f"x.{f}").cast("float").alias(f) for f in FEATURES])
+    g = j.select("tid", "cid", *FEATURES).repartition("tid").groupBy("tid", "cid").agg(best)
+    return g.select("tid", "cid", *[F.col(f"x.{f}").cast("float").alias(f) for f in FEATURES]).sortWithinPartitions("tid")
 
 
 @dataclass
@@ -159,55 +176,83 @@ class Mixture:
         return np.clip(out + ll[1] - ll[0], -60, 60)
 
 
-def posteriors(tid: np.ndarray, log_odds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order, group number, posterior) with a text's candidates competing: o_c / (1 + sum o)."""
-    order = np.argsort(tid, kind="stable")
-    s = tid[order]
-    group = np.cumsum(np.r_[False, s[1:] != s[:-1]]) if len(s) else np.zeros(0, int)
-    o = np.exp(log_odds[order])
-    total = np.bincount(group, o) if len(s) else np.zeros(0)
-    return order, group, o / (1 + total[group])
-
+def posteriors(tid: np.ndarray, log_odds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(group number, posterior) of rows sorted by text, a text's candidates competing: o_c / (1 + sum o)."""
+    group = np.cumsum(np.r_[False, tid[1:] != tid[:-1]]) if len(tid) else np.zeros(0, int)
+    o = np.exp(log_odds)
+    total = np.bincount(group, o) if len(tid) else np.zeros(0)
+    return group, o / (1 + total[group])
 
-def _batches(it: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    parts = list(it)
-    return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame()
 
-
-def fit(pairs: DataFrame, p: LinkParams) -> Mixture:
-    """EM over all pairs; ``pairs`` must hold a text's candidates in one partition. Only sufficient statistics (a few dozen numbers a partition) reach the driver."""
+def whole_texts(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches of rows sorted by ``tid``, cut so that no text spans two; in memory are one batch and one text's candidates."""
+    held: list[pd.DataFrame] = []
+    for b in it:
+        if not len(b):
+            continue
+        last = b["tid"].to_numpy()
+        cut = int(np.searchsorted(last, last[-1]))
+        if cut == 0 and held and held[-1]["tid"].iloc[-1] == last[-1]:
+            held.append(b)
+            continue
+        if cut or held:
+            yield pd.concat([*held, b.iloc[:cut]], ignore_index=True)
+        held = [b.iloc[cut:]]
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def fit(pairs: DataFrame, p: LinkParams) -> Mixture | None:
+    """EM over all pairs, in as many rounds as needed; ``pairs`` must hold a text's candidates together, sorted by text. Only sufficient
+    statistics (a few dozen numbers a partition) reach the driver. The first round takes each text's best pair for a match. None without pairs."""
     d = len(FEATURES)
-    m = Mixture(0.3, np.array([[0.6] * d, [0.97] * d]), np.stack([np.eye(d) * 0.06, np.eye(d) * 0.02]))
-    schema = "n double, g double, ll double, s array<double>"
+    m = None
+    schema = "n double, g double, s array<double>"
     for _ in range(p.rounds):
         cur = m
 
         def e_step(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            b = _batches(it)
-            if not len(b):
-                return
-            x = b[list(FEATURES)].to_numpy(np.float64)
-            order, _, g = posteriors(b["tid"].to_numpy(), cur.log_odds(x))
-            x = x[order]
-            stats = [g @ x, (1 - g) @ x, (x * g[:, None]).T @ x, (x * (1 - g)[:, None]).T @ x]
-            yield pd.DataFrame({"n": [float(len(g))], "g": [g.sum()], "ll": [0.0], "s": [np.concatenate([y.ravel() for y in stats])]})
+            n, sums = 0.0, 0.0
+            for b in whole_texts(it):
+                x = b[list(FEATURES)].to_numpy(np.float64)
+                if cur is None:
+                    g = _best_of(b["tid"].to_numpy(), x.sum(1))
+                else:
+                    g = posteriors(b["tid"].to_numpy(), cur.log_odds(x))[1]
+                h = 1 - g
+                n += len(g)
+                sums = sums + np.concatenate([[g.sum()], g @ x, h @ x, ((x * g[:, None]).T @ x).ravel(), ((x * h[:, None]).T @ x).ravel()])
+            if n:
+                yield pd.DataFrame({"n": [n], "g": [float(sums[0])], "s": [sums[1:]]})
 
         rows = pairs.mapInPandas(e_step, schema).collect()
         n, g = sum(r.n for r in rows), sum(r.g for r in rows)
-        if n == 0 or g < 1e-6 or n - g < 1e-6:
-            return m
+        if n == 0:
+            return None
+        # a component without members keeps the statistics of all pairs
         s = np.sum([r.s for r in sorted(rows, key=lambda r: (r.n, r.g))], axis=0)
-        mu = np.stack([s[d : 2 * d] / (n - g), s[:d] / g])
-        cov = []
-        for k, (w, o) in enumerate(((n - g, 2 * d + d * d), (g, 2 * d))):
-            c = s[o : o + d * d].reshape(d, d) / w - np.outer(mu[k], mu[k])
-            cov.append(c + np.eye(d) * p.ridge)
-        m = Mixture(float(np.clip(g / n, 1e-4, 1 - 1e-4)), mu, np.stack(cov))
-        if np.abs(m.mu - cur.mu).max() < p.tol and abs(m.pi - cur.pi) < p.tol:
+        mu, cov = [], []
+        for w, o, q in ((n - g, d, 2 * d + d * d), (g, 0, 2 * d)):
+            if w < 1e-6:
+                w, sm, sq = n, s[:d] + s[d : 2 * d], s[2 * d : 2 * d + d * d] + s[2 * d + d * d :]
+            else:
+                sm, sq = s[o : o + d], s[q : q + d * d]
+            mu.append(sm / w)
+            cov.append(sq.reshape(d, d) / w - np.outer(mu[-1], mu[-1]) + np.eye(d) * p.ridge)
+        m = Mixture(float(np.clip(g / n, 1e-4, 1 - 1e-4)), np.stack(mu), np.stack(cov))
+        if cur is not None and np.abs(m.mu - cur.mu).max() < p.tol and abs(m.pi - cur.pi) < p.tol:
             break
     return m
 
 
+def _best_of(tid: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """1.0 at the first row of greatest value of each text, else 0.0; rows are sorted by text."""
+    g = np.zeros(len(tid))
+    order = np.lexsort((-value, tid))
+    g[order[np.r_[True, tid[order][1:] != tid[order][:-1]]]] = 1.0
+    return g
+
+
 def link(texts: DataFrame, catalogue: DataFrame, p: LinkParams = LinkParams()) -> DataFrame:
     """(text_key, record_key, posterior): the one catalogued record that each text stands for, where there is one.
 
@@ -216,31 +261,29 @@ def link(texts: DataFrame, catalogue: DataFrame, p: LinkParams = LinkParams()) -
     records are settled by the release alone, and stay unmatched if it cannot.
     """
     names = ["artist", "title", "release"]
-    cat = read_names(catalogue.select("record_key", *names).distinct(), "record_key", "artist", "title", "release", whole=True)
-    cat = checkpointed(cat.withColumn("cid", F.xxhash64("ra", "rt", "kinds")))
-    classes = cat.groupBy("cid").agg(*[F.min(c).alias(c) for c in ("ra", "rt", "kinds", "aw", "tw")])
+    # ids are numbers given once and written down, so no two things share one
+    cat = checkpointed(read_names(catalogue.select("record_key", *names).distinct(), "record_key", "artist", "title", "release", whole=True))
+    classes = checkpointed(cat.groupBy("ra", "rt", "kinds").agg(F.min("aw").alias("aw"), F.min("tw").alias("tw")).withColumn("cid", F.monotonically_increasing_id()))
     common = common_words(classes, p)
-    raw = texts.select("text_key", *names).distinct()
-    t = checkpointed(read_names(raw.withColumn("tid", F.xxhash64("text_key", "artist", "title", "release")), "tid", "artist", "title", "release"))
-    pairs = candidates(t, classes, common)
-    pairs = checkpointed(pairs.repartition("tid"))
+    raw = checkpointed(texts.select("text_key", *names).distinct().withColumn("tid", F.monotonically_increasing_id()))
+    t = checkpointed(read_names(raw, "tid", "artist", "title", "release").withColumn("rid", F.monotonically_increasing_id()))
+    pairs = checkpointed(candidates(t, classes, common, p))
     m = fit(pairs, p)
 
     def score(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        b = _batches(it)
-        if not len(b):
+        if m is None:
             return
-        lo = m.log_odds(b[list(FEATURES)].to_numpy(np.float64))
-        order, group, g = posteriors(b["tid"].to_numpy(), lo)
-        b, lo = b.iloc[order], lo[order]
-        top = np.full(group[-1] + 1, -np.inf)
-        np.maximum.at(top, group, lo)
-        total = np.bincount(group, np.exp(lo))
-        keep = (lo >= top[group] + np.log(p.rival)) & (total[group] / (1 + total[group]) >= p.accept)
-        yield pd.DataFrame({"tid": b["tid"][keep], "cid": b["cid"][keep], "posterior": g[keep], "any": (total / (1 + total))[group][keep]})
+        for b in whole_texts(it):
+            lo = m.log_odds(b[list(FEATURES)].to_numpy(np.float64))
+            group, g = posteriors(b["tid"].to_numpy(), lo)
+            top = np.full(group[-1] + 1, -np.inf)
+            np.maximum.at(top, group, lo)
+            total = np.bincount(group, np.exp(lo))
+            keep = (lo >= top[group] + np.log(p.rival)) & (total[group] / (1 + total[group]) >= p.accept)
+            yield pd.DataFrame({"tid": b["tid"][keep], "cid": b["cid"][keep], "posterior": g[keep], "any": (total / (1 + total))[group][keep]})
 
     fits = pairs.mapInPandas(score, "tid long, cid long, posterior double, any double")
-    recs = cat.select("cid", "record_key", F.col("rel").alias("crel")).distinct()
+    recs = cat.join(classes.select("cid", "ra", "rt", "kinds"), ["ra", "rt", "kinds"]).select("cid", "record_key", F.col("rel").alias("crel")).distinct()
     fits = fits.join(recs, "cid")
     rel = t.select("tid", F.col("rel").alias("trel")).distinct()
     fits = fits.join(rel, "tid")
@@ -254,7 +297,6 @@ def link(texts: DataFrame, catalogue: DataFrame, p: LinkParams = LinkParams()) -
     )
     clear = (F.col("n") == 1) | ((F.col("best.rs") >= p.release_sim) & (F.element_at("all_rs", 1) > F.try_element_at("all_rs", F.lit(2)) + 0.05))
     won = g.where(clear).select("tid", F.col("best.record_key").alias("record_key"), F.when(F.col("n") == 1, F.col("posterior")).otherwise(F.col("any")).alias("posterior"))
-    keys = raw.select("text_key", F.xxhash64("text_key", "artist", "title", "release").alias("tid"))
-    j = keys.join(won, "tid")
+    j = raw.select("text_key", "tid").join(won, "tid")
     # a key with several texts stands for one record only if they agree
     return j.groupBy("text_key").agg(F.min("record_key").alias("record_key"), F.max("record_key").alias("_m"), F.max("posterior").alias("posterior")).where("record_key = _m").drop("_m")
