@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillmark.functions.keys import run_id
+from rillmark.operators.digest import content_digest
 from rillmark.session import shared_dir
 from rillmark.sources import readers, store
 
@@ -48,11 +49,11 @@ def io14_upsert(s: SparkSession, d: str) -> DataFrame:
 
 
 def l2_publish(s: SparkSession, d: str) -> DataFrame:
-    """Stage, check, publish, and publish again: rows, and whether the second run did any work."""
+    """Stage, check, publish, and publish again: rows, and whether the second run did any work. The run's id comes from the content."""
     st = store.Store(s, f"{shared_dir(s)}/rillmark-store-{os.path.basename(d.rstrip('/'))}")
     x = s.read.parquet(_path(d, "source_targets"))
-    run = run_id("targets", x.count(), x.columns)
-    st.publish("targets", run, x, {"null_source": lambda df: df.where("source is null").count()})
+    run = run_id("targets", content_digest(x, x.columns).first()["digest"], x.columns)
+    st.publish("targets", run, x, {"null_source": lambda df: df.where("source is null").count()}, promote=True)
     again = st.publish("targets", run, x)
     return st.read("targets").agg(F.count(F.lit(1)).alias("rows")).withColumn("second_run_worked", F.lit(again))
 

@@ -52,14 +52,14 @@ def test_store_publishes_once_and_refuses(spark, tmp_path):
     st = store.Store(spark, str(tmp_path / "s"))
     one, two = spark.range(5), spark.range(7)
     none = {"negative": lambda df: df.where("id < 0").count()}
-    assert st.publish("t", "r1", one, none) and not st.publish("t", "r1", two, none)
+    assert st.publish("t", "r1", one, none, promote=True) and not st.publish("t", "r1", two, none)
     assert st.read("t").count() == 5
     with pytest.raises(store.Refused):
         st.publish("t", "r2", two, {"big": lambda df: df.where("id > 5").count()})
     with pytest.raises(store.Refused):
-        st.publish("t", "r2", two, none, fail_before_publish=True)
+        st.publish("t", "r2", two, none, fail_at="staged")
     assert st.read("t").count() == 5 and list(st.manifest("t")["runs"]) == ["r1"]
-    assert st.publish("t", "r2", two, none, promote=False) and st.read("t").count() == 5
+    assert st.publish("t", "r2", two, none) and st.read("t").count() == 5
     st.promote("t", "r2")
     assert st.read("t").count() == 7 and st.read("t", "r1").count() == 5
     st.publish("u", "r1", one)
@@ -72,6 +72,54 @@ def test_store_publishes_once_and_refuses(spark, tmp_path):
         st.register("reg", "k", {"a": 2})
 
 
+def test_store_keeps_ids_apart_and_the_pointer_still(spark, tmp_path):
+    st = store.Store(spark, str(tmp_path / "s"))
+    ids = ["run:1", "run_1", "run/1", "run 1", "RUN_1", "run%3A1", "lauf:ä", "_3a"]
+    for i, r in enumerate(ids):
+        assert st.publish("d", r, spark.range(i + 1))
+    assert st.manifest("d")["current"] is None and [st.read("d", r).count() for r in ids] == list(range(1, len(ids) + 1))
+    with pytest.raises(store.Refused):
+        st.read("d")
+    st.promote("d", "run_1")
+    assert st.read("d").count() == 2
+
+
+def test_store_survives_a_crash_between_its_steps(spark, tmp_path):
+    st = store.Store(spark, str(tmp_path / "s"))
+    st.publish("d", "a", spark.range(3), promote=True)
+    with pytest.raises(store.Refused):
+        st.publish("d", "b", spark.range(4), fail_at="moved")
+    again = store.Store(spark, str(tmp_path / "s"))
+    assert again.read("d").count() == 3
+    with pytest.raises(store.Refused, match="half published"):
+        again.publish("d", "b", spark.range(4))
+    again.discard("d", "b")
+    assert again.publish("d", "b", spark.range(4)) and again.read("d").count() == 3 and again.read("d", "b").count() == 4
+    with pytest.raises(store.Refused):
+        again.discard("d", "a")
+    # a manifest cut short is passed over, and its number is not used again
+    (tmp_path / "s" / "d" / "_manifest" / "0000000099.json").write_text('{"current": "b", "ru')
+    assert again.read("d").count() == 3
+    again.promote("d", "b")
+    assert again.read("d").count() == 4 and (tmp_path / "s" / "d" / "_manifest" / "0000000100.json").exists()
+
+
+def test_run_guard_compares_versions_and_rows(spark, tmp_path):
+    st = store.Store(spark, str(tmp_path / "s"))
+    st.publish("d", "a", spark.range(3), versions={"rules": "1"})
+    assert st.published("d", "a", {"rules": "1"}) and not st.published("d", "other")
+    with pytest.raises(store.Refused):
+        st.publish("d", "a", spark.range(3), versions={"rules": "2"})
+    spark.range(2).write.mode("append").parquet(str(tmp_path / "s" / "d" / "v=a"))
+    with pytest.raises(store.Refused, match="5 rows"):
+        st.published("d", "a")
+    st.publish("e", "a", spark.range(3))
+    one = store.freeze(st, "e", "a", ["id"])
+    assert store.freeze(st, "e", "a", ["id"]) == one and one["rows"] == 3
+    with pytest.raises(store.Refused):
+        store.freeze(st, "e", "z", ["id"])
+
+
 def test_partition_replacement_and_merge(spark, tmp_path):
     p = str(tmp_path / "d")
     store.replace_partitions(spark.createDataFrame([(1, "a"), (2, "b")], "x int, day string"), p, ["day"])
