@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillmark.operators.skew import salted_join
+from rillmark.operators.skew import hot_keys, salted_join
 from rillmark.session import checkpointed
 
 
@@ -42,6 +42,8 @@ class Graph:
     references: list[Reference] = field(default_factory=list)
     #: inherited links: (child, child column, parent, parent column)
     links: list[tuple[str, str, str, str]] = field(default_factory=list)
+    #: a key with more rows than this, and more than a fiftieth of its table, is spread over several tasks
+    hot_least: int = 100_000
 
 
 def landings(p: Presence) -> DataFrame:
@@ -62,14 +64,14 @@ def state_column(p: Presence, at: str | None) -> Column:
     return gone
 
 
-def direct_orphans(df: DataFrame, ref: Reference, p: Presence) -> DataFrame:
+def direct_orphans(df: DataFrame, ref: Reference, p: Presence, hot_least: int = 100_000) -> DataFrame:
     """Rows of ``df`` whose reference does not hold, with ``ref_field`` and ``orphan_state``.
 
     Null keys are no reference and give no row; a null ``at`` can only be ``missing``. Hot keys are salted.
     """
     dim = landings(p).withColumnRenamed("key", ref.column)
     facts = df.where(F.col(ref.column).isNotNull())
-    joined = salted_join(facts, dim, ref.column)
+    joined = salted_join(facts, dim, ref.column, hot=hot_keys(facts, ref.column, least=hot_least))
     if p.deletes and ref.at:  # all landing times: one entry per load of the parent
         joined = joined.withColumn("_all", p.df.where("seen is not null").select(F.sort_array(F.collect_set("seen"))).scalar())
     joined = joined.withColumn("orphan_state", state_column(p, ref.at)).where("orphan_state is not null")
@@ -81,18 +83,25 @@ def cascade(g: Graph, only: set[str] | None = None) -> dict[str, DataFrame]:
 
     Fixpoint: each round semi-joins the children of what the last round found, minus what is known already, until a round
     finds nothing. Rounds follow the links that exist, so a graph without cycles ends after its depth without an emptiness
-    check; a cyclic one is cut by checkpoint() each round and ends when the frontier is empty. ``only``: tables wanted.
+    check; a cyclic one is cut by checkpoint() each round and ends when the frontier is empty. A row comes out once per field
+    it is an orphan by, at the lowest level, however many paths lead to it; equal rows of a table stay several. Tables that
+    several references or links use are written down once. ``only``: tables wanted.
     """
     wanted = set(g.tables) if only is None else set(only)
     needed = _ancestors(g, wanted)
+    uses = [r.child for r in g.references if r.child in needed] + [c for c, _, _, _ in g.links if c in needed]
+    tables = {t: checkpointed(df) if uses.count(t) > 1 else df for t, df in g.tables.items()}
+    used = {r.parent for r in g.references if r.child in needed}
+    presence = {k: Presence(checkpointed(p.df.distinct()), True) if p.deletes and k in used else p for k, p in g.presence.items()}
     found: dict[str, list[DataFrame]] = {}
     front: dict[str, list[DataFrame]] = {}
     for r in g.references:
         if r.child in needed:
-            d = direct_orphans(g.tables[r.child], r, g.presence[r.parent]).withColumn("orphan_level", F.lit(0))
+            d = direct_orphans(tables[r.child], r, presence[r.parent], g.hot_least).withColumn("orphan_level", F.lit(0))
             found.setdefault(r.child, []).append(d)
             front.setdefault(r.child, []).append(d)
     cyclic = _has_cycle(g)
+    links_found: dict[int, str] = {}  # frames are kept in ``found``, so their ids stay theirs
     level = 0
     while front:
         level += 1
@@ -103,18 +112,18 @@ def cascade(g: Graph, only: set[str] | None = None) -> dict[str, DataFrame]:
             bad = front[parent][0].select(F.col(pcol).alias(ccol))
             for more in front[parent][1:]:
                 bad = bad.unionByName(more.select(F.col(pcol).alias(ccol)))
-            hit = g.tables[child].join(bad.where(F.col(ccol).isNotNull()).distinct(), ccol, "left_semi")
-            cols = g.tables[child].columns
+            cols = tables[child].columns
+            hit = tables[child].join(bad.where(F.col(ccol).isNotNull()).distinct(), ccol, "left_semi")
             hit = hit.select(*cols).withColumn("ref_field", F.lit(ccol)).withColumn("orphan_state", F.lit("inherited")).withColumn("orphan_level", F.lit(level))
+            # what this link has found before: whole rows, as another row with the same key value may be new
+            for k in [k for k in found.get(child, []) + nxt.get(child, []) if links_found.get(id(k)) == ccol]:
+                k = k.select(*[F.col(c).alias(f"_k_{c}") for c in cols]).distinct()
+                hit = hit.join(k, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in cols], "left_anti")
             if cyclic:
-                # what this link has found before: whole rows, as another row with the same key value may be new
-                for k in [k.where(F.col("ref_field") == ccol) for k in found.get(child, []) + nxt.get(child, [])]:
-                    k = k.where("orphan_state = 'inherited'").select(*[F.col(c).alias(f"_k_{c}") for c in cols]).distinct()
-                    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in cols]
-                    hit = hit.join(k, same, "left_anti")
                 hit = checkpointed(hit)
                 if hit.isEmpty():
                     continue
+            links_found[id(hit)] = ccol
             nxt.setdefault(child, []).append(hit)
         for t, parts in nxt.items():
             found.setdefault(t, []).extend(parts)
@@ -123,7 +132,7 @@ def cascade(g: Graph, only: set[str] | None = None) -> dict[str, DataFrame]:
     for t in wanted:
         parts = found.get(t, [])
         for i, p in enumerate(parts):
-            out[t] = p.select(*g.tables[t].columns, "ref_field", "orphan_state", "orphan_level") if i == 0 else out[t].unionByName(p.select(*out[t].columns))
+            out[t] = p.select(*tables[t].columns, "ref_field", "orphan_state", "orphan_level") if i == 0 else out[t].unionByName(p.select(*out[t].columns))
     return out
 
 

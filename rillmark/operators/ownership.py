@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rillmark.operators import asof
+from rillmark.operators.skew import salted_join
 
 KEYS = ["recording_mbid", "split_version_id"]
 
@@ -14,7 +15,7 @@ KEYS = ["recording_mbid", "split_version_id"]
 def sets_of(splits: DataFrame, holders: DataFrame) -> DataFrame:
     """(recording, set): interval bounds, share sum, holder rows, rows without a known holder, distinct intervals."""
     known = holders.select(F.col("holder_id").alias("rights_holder_id"), F.lit(1).alias("_known")).distinct()
-    j = splits.join(known, "rights_holder_id", "left")
+    j = salted_join(splits, known, "rights_holder_id", "left")  # one holder may have a large part of all rows
     return j.groupBy(*KEYS).agg(
         F.min("valid_from").alias("valid_from"), F.max("valid_to").alias("valid_to"), F.sum("share_pct").cast("decimal(18,4)").alias("share_sum"), F.count(F.lit(1)).alias("holder_rows"),
         F.count_distinct("rights_holder_id").alias("holders"), F.count_if(F.col("_known").isNull()).alias("unknown_holders"), F.count_if((F.col("share_pct") < 0) | (F.col("share_pct") > 100)).alias("bad_shares"),
