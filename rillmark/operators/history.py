@@ -1,8 +1,12 @@
-"""Full attribute history from stacked landings, stored as checkpoints and patches."""
+"""Full attribute history from stacked landings, stored as checkpoints and patches.
+
+A store is a folder of Parquet, one partition ``no=<landing>`` each: a checkpoint landing holds every present entity in full,
+another only arrivals, patches and departures. A new landing is added by reading the last checkpoint and what follows it.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -50,6 +54,55 @@ def build_store(df: DataFrame, entity: str, attrs: list[str], run: str, ts: str,
     return live.unionByName(gone)
 
 
+def write_store(store: DataFrame, path: str) -> None:
+    """The rows of ``build_store`` as a store in ``path``, which must not exist: stores grow by ``append_landing`` alone."""
+    store.repartition("no", F.pmod(F.xxhash64(*store.columns), F.lit(8))).write.partitionBy("no").mode("errorifexists").parquet(path)
+
+
+def store_schema(df: DataFrame, entity: str, attrs: list[str], at: str) -> str:
+    """The columns of a store for entities and attributes as ``df`` has them; ``at`` is the type of a landing's time."""
+    kind = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    cols = [(entity, kind[entity]), ("at", at), ("kind", "string"), *[(a, kind[a]) for a in attrs], *[(f"set_{a}", "boolean") for a in attrs], ("no", "int")]
+    return ", ".join(f"`{c}` {t}" for c, t in cols)
+
+
+def read_store(spark: SparkSession, path: str, schema: str, since: int | None = None) -> DataFrame:
+    """The store's rows; with ``since`` only the partitions of that landing and later ones are read."""
+    d = spark.read.schema(schema).parquet(path)
+    return d if since is None else d.where(F.col("no") >= since)
+
+
+def state(store: DataFrame, entity: str, attrs: list[str], every: int = 4) -> DataFrame:
+    """(entity, attrs...) of the entities present after the last row of ``store``, which must begin at a checkpoint."""
+    d = fold(store, entity, attrs, every)
+    last = d.groupBy(entity).agg(F.max_by(F.struct("kind", *attrs), "no").alias("v"))
+    return last.where("v.kind <> 'gone'").select(entity, *[F.col(f"v.{a}") for a in attrs])
+
+
+def append_landing(spark: SparkSession, path: str, landing: DataFrame, entity: str, attrs: list[str], no: int, at: Column, every: int = 4, at_type: str = "timestamp") -> None:
+    """Add landing ``no`` (the one after the last), known at ``at``, to the store in ``path``.
+
+    Read are the last checkpoint and the patches since, never the landings before. ``landing``: (entity, attrs...); null
+    entities are left out, repeated rows united by the smallest attribute tuple as in ``build_store``. A landing that is already
+    there is refused. An empty landing that changes nothing leaves no partition.
+    """
+    base = read_store(spark, path, store_schema(landing, entity, attrs, at_type), (no - 1) // every * every)
+    if not base.where(F.col("no") >= no).isEmpty():
+        raise ValueError(f"landing {no} is already in the store")
+    was = state(base, entity, attrs, every).select(F.col(entity), F.struct(*attrs).alias("_was"))
+    now = landing.where(F.col(entity).isNotNull()).groupBy(entity).agg(F.min(F.struct(*attrs)).alias("_now"))
+    j = was.join(now, entity, "full_outer")
+    gone, full = F.col("_now").isNull(), F.col("_was").isNull() | F.lit(no % every == 0)
+    changed = {a: ~F.col(f"_now.{a}").eqNullSafe(F.col(f"_was.{a}")) for a in attrs}
+    any_change = F.greatest(*[c.cast("int") for c in changed.values()]) == 1 if len(attrs) > 1 else changed[attrs[0]]
+    rows = j.where(gone | full | any_change).select(
+        entity, F.lit(no).alias("no"), at.alias("at"), F.when(gone, "gone").when(full, "full").otherwise("patch").alias("kind"),
+        *[F.when(~gone & (full | changed[a]), F.col(f"_now.{a}")).alias(a) for a in attrs],
+        *[(~gone & (full | changed[a])).alias(f"set_{a}") for a in attrs],
+    )
+    rows.write.partitionBy("no").mode("append").parquet(path)
+
+
 def fold(store: DataFrame, entity: str, attrs: list[str], every: int = 4) -> DataFrame:
     """The state after each stored row: patches folded forward from the nearest checkpoint or arrival at or before them.
 

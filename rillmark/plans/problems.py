@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillmark.functions.keys import lower_key, stripped, upper_key
 from rillmark.operators import asof, diff, history, intervals, orphans
+from rillmark.session import shared_dir
 
 ATTRS = ["display_name", "holder_type", "payee_status", "model_scope"]
 MATCH_FIELDS = ["listened_at", "matched_recording_mbid", "match_status", "match_tier", "match_method", "match_score", "score_margin", "failure_reason", "block_method", "candidate_count", "blocking_key_information_class"]
@@ -150,8 +153,11 @@ def _cleaned_holders(spark: SparkSession, d: str) -> DataFrame:
 
 
 def holder_versions(spark: SparkSession, d: str, every: int = 4) -> DataFrame:
-    store = history.build_store(_cleaned_holders(spark, d), "holder_id", ATTRS, "generation_run_id", "generated_at", every)
-    return history.versions(store, "holder_id", ATTRS, every)
+    """The landings written as a store of checkpoints and patches in the shared folder, and its versions."""
+    path = f"{shared_dir(spark)}/rillmark-history-{uuid.uuid4().hex}"
+    rows = _cleaned_holders(spark, d)
+    history.write_store(history.build_store(rows, "holder_id", ATTRS, "generation_run_id", "generated_at", every), path)
+    return history.versions(history.read_store(spark, path, history.store_schema(rows, "holder_id", ATTRS, rows.schema["generated_at"].dataType.simpleString())), "holder_id", ATTRS, every)
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from rillmark.operators import asof, history
@@ -106,3 +108,36 @@ def test_fold_keeps_a_patched_null(spark):
     rows = history.fold(store, "h", ["x", "y"], 10).orderBy("no").collect()
     assert [(r.x, r.y) for r in rows] == [("1", "k"), (None, "k")]
     assert store.select(F.max("no")).first()[0] == 1
+
+
+def test_written_store_grows_landing_by_landing(spark, tmp_path):
+    """Landings added one at a time give the store of all at once, and adding one reads a checkpoint and what follows it."""
+    rng = random.Random(3)
+    seen = {n: {f"h{h}": (rng.choice("pq"), rng.choice(["r", None])) for h in range(12) if rng.random() < 0.7} | {"anchor": ("a", "b")} for n in range(10)}
+    df, every = landings_frame(spark, seen), 4
+    times = {r["no"]: (r.run, r["at"]) for r in history.landing_times(df, "run", "ts").collect()}
+    schema = history.store_schema(df, "h", ["x", "y"], "timestamp")
+    rows = lambda d: sorted(map(str, d.select("h", "no", "at", "kind", "x", "y", "set_x", "set_y").collect()))
+    path = str(tmp_path / "store")
+    first = df.where(F.col("run").isin([times[n][0] for n in range(3)]))
+    history.write_store(history.build_store(first, "h", ["x", "y"], "run", "ts", every), path)
+    for n in range(3, 10):
+        landing = df.where(F.col("run") == times[n][0])
+        history.append_landing(spark, path, landing.select("h", "x", "y"), "h", ["x", "y"], n, F.lit(times[n][1]), every)
+    assert rows(history.read_store(spark, path, schema)) == rows(history.build_store(df, "h", ["x", "y"], "run", "ts", every))
+    since = (10 - 1) // every * every
+    read = {int(f.split("no=")[1].split("/")[0]) for f in history.read_store(spark, path, schema, since).inputFiles()}
+    plan = history.read_store(spark, path, schema, since)._jdf.queryExecution().executedPlan().toString()
+    assert since == 8 and {8, 9} <= read and "PartitionFilters: [isnotnull(no" in plan
+    v = history.versions(history.read_store(spark, path, schema), "h", ["x", "y"], every).collect()
+    at = {t[1]: n for n, t in times.items()}
+    assert {(r.h, r.x, r.y, at[r.version_from], at[r.version_to] if r.version_to else None) for r in v} == brute_versions(seen)
+    with pytest.raises(ValueError):
+        history.append_landing(spark, path, df.select("h", "x", "y"), "h", ["x", "y"], 9, F.lit(times[9][1]), every)
+
+
+def test_written_store_of_nothing(spark, tmp_path):
+    df = spark.createDataFrame([("a", "1", "2", "r", dt.datetime(2026, 1, 1))], "h string, x string, y string, run string, ts timestamp").limit(0)
+    path = str(tmp_path / "store")
+    history.write_store(history.build_store(df, "h", ["x", "y"], "run", "ts"), path)
+    assert history.versions(history.read_store(spark, path, history.store_schema(df, "h", ["x", "y"], "timestamp")), "h", ["x", "y"]).count() == 0
