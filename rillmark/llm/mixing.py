@@ -3,11 +3,15 @@
 The total is the largest at which no source needs more than ``max_repeats`` uses of a document. A source's budget is
 its share of it. Whole passes over the source come first; what is left of the budget is fitted by subset sum over exact token
 lengths: documents are counted by length, most of the rest is spread over the lengths in proportion, and a bounded
-knapsack closes the remainder to the token where a subset sum exists. Documents of a length are chosen by seeded hash.
+knapsack closes the remainder to the token where a subset sum exists, on as large a part of the budget as that takes.
+Documents of a length are chosen by seeded hash.
 """
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,35 +59,66 @@ def knapsack(lengths: list[int], free: list[int], room: int) -> list[int]:
     return out
 
 
-def fit_lengths(lengths: list[int], counts: list[int], budget: int, repeats: int, dp_room: int = 20_000) -> tuple[int, list[int]]:
-    """(whole passes, further documents per length) for one source: tokens used never exceed ``budget``."""
+@dataclass(frozen=True)
+class FitParams:
+    """The programme runs on a rest of ``first_room`` tokens, then on rests ``growth`` times as large, until the budget is met to the
+    token or the programme has covered the whole budget, which proves its sum the largest there is. ``most_room``: the
+    largest rest it may take (its memory is as many bits, over the lengths' common divisor); None for no limit. Beyond it the best sum so far stands."""
+
+    first_room: int = 20_000
+    growth: int = 8
+    most_room: int | None = 32_000_000
+
+
+def fit_lengths(lengths: list[int], counts: list[int], budget: int, repeats: int, p: FitParams = FitParams()) -> tuple[int, list[int]]:
+    """(whole passes, further documents per length) for one source: tokens used never exceed ``budget``.
+
+    Most of the rest is taken in proportion to the lengths' counts, then longest first, and the programme closes what is
+    left. Where it falls short it is run again on a larger part, at last on all that the passes leave, with nothing taken before it.
+    """
     total = sum(n * c for n, c in zip(lengths, counts))
     if total <= 0 or budget <= 0:
         return 0, [0] * len(lengths)
     passes = min(repeats, budget // total)
     rest = budget - passes * total
-    take = [0] * len(lengths)
+    best, best_sum = [0] * len(lengths), 0
     if passes >= repeats or rest == 0:
-        return passes, take
-    # in proportion, lengths in a fixed order; then whole documents, longest first, until the knapsack can take over
-    take = [c * rest // total for c in counts]
-    rest -= sum(n * t for n, t in zip(lengths, take))
-    order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
-    for i in order:
-        if rest <= dp_room:
+        return passes, best
+    unit = math.gcd(*lengths)
+    goal = rest // unit * unit
+    room = p.first_room
+    while best_sum < goal:
+        last = room >= rest
+        take = _attempt(lengths, counts, total, rest, rest if last else room, unit)
+        got = sum(n * t for n, t in zip(lengths, take))
+        if got > best_sum:
+            best, best_sum = take, got
+        if last or (p.most_room is not None and room >= p.most_room * unit):
             break
-        more = min(counts[i] - take[i], (rest - dp_room // 2) // lengths[i])
-        if more > 0:
-            take[i] += more
-            rest -= more * lengths[i]
+        room *= p.growth
+        if p.most_room is not None:
+            room = min(room, p.most_room * unit)
+    return passes, best
+
+
+def _attempt(lengths: list[int], counts: list[int], total: int, rest: int, room: int, unit: int) -> list[int]:
+    """Documents per length with the programme on the last ``room`` tokens; on all of them when ``room`` is the rest."""
+    take = [0] * len(lengths)
+    if room < rest:
+        take = [c * (rest - room) // total for c in counts]
+        rest -= sum(n * t for n, t in zip(lengths, take))
+        for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+            if rest <= room:
+                break
+            more = min(counts[i] - take[i], (rest - room // 2) // lengths[i])
+            if more > 0:
+                take[i] += more
+                rest -= more * lengths[i]
     free = [c - t for c, t in zip(counts, take)]
     small = [i for i in range(len(lengths)) if lengths[i] <= rest and free[i] > 0]
-    if rest > dp_room:
-        # every document left is longer than what is left over dp_room: the knapsack runs on the whole rest
-        small = [i for i in small if free[i] > 0]
-    for i, k in zip(small, knapsack([lengths[i] for i in small], [free[i] for i in small], rest)):
+    for i, k in zip(small, knapsack([lengths[i] // unit for i in small], [free[i] for i in small], rest // unit)):
         take[i] += k
-    return passes, take
+    return take
 
 
 def budgets(hist: DataFrame, targets: DataFrame) -> dict[str, tuple[int, int]]:
@@ -98,12 +133,12 @@ def budgets(hist: DataFrame, targets: DataFrame) -> dict[str, tuple[int, int]]:
     return {s: (min(int(total * share / scale), have[s] * m), m) for s, (share, m) in live.items()}
 
 
-def mixture(docs: DataFrame, targets: DataFrame, salt: str = "rillmark-mix-1") -> tuple[DataFrame, DataFrame]:
+def mixture(docs: DataFrame, targets: DataFrame, salt: str = "rillmark-mix-1", p: FitParams = FitParams()) -> tuple[DataFrame, DataFrame]:
     """(mix, targets used): mix is (source, doc_id, n_tokens, times) with times >= 1.
 
     ``docs``: doc_id, source, n_tokens; ``targets``: source, target_share, max_repeats, a few rows. Documents of no target
     source, without tokens, or with a null id do not enter; a repeated id counts once. The choice depends on ids, lengths
-    and salt alone. No source ever gets above its budget, and it misses it by less than its shortest unused document.
+    and salt alone. No source ever gets above its budget; what it may miss is said at ``FitParams``.
     """
     t = targets.select(source_key("source").alias("source"), F.col("target_share").alias("share"), F.col("max_repeats").alias("m")).where("source is not null")
     t = checkpointed(t.groupBy("source").agg(F.sum("share").alias("share"), F.max("m").alias("m")))
@@ -118,7 +153,7 @@ def mixture(docs: DataFrame, targets: DataFrame, salt: str = "rillmark-mix-1") -
         pdf = pdf.sort_values("n_tokens")
         source = pdf["source"].iloc[0]
         lengths, counts = [int(x) for x in pdf["n_tokens"]], [int(x) for x in pdf["c"]]
-        passes, take = fit_lengths(lengths, counts, *plan[source])
+        passes, take = fit_lengths(lengths, counts, *plan[source], p)
         return pd.DataFrame({"source": source, "n_tokens": lengths, "k": take, "passes": passes})
 
     # a source's distinct lengths, not its documents

@@ -38,6 +38,20 @@ def test_bin_completion_against_exhaustive_search():
     assert worse == 0
 
 
+def test_search_without_limits_is_exhaustive():
+    rng = random.Random(16)
+    none = packing.PackParams(width=None, slack=None, per_filling=None, nodes=None)
+    better = 0
+    for _ in range(60):
+        s = [rng.randrange(12, 60) for _ in range(rng.randrange(8, 13))]
+        got, how = packing.search(s, 100, none)
+        assert len(got) == least(s, 100) and how != packing.CUT_SHORT
+        better += how == packing.BY_SEARCH
+    assert better > 0
+    hard = [rng.randrange(20, 50) * 2 for _ in range(200)]
+    assert packing.search(hard, 101, packing.PackParams(nodes=5))[1] in (packing.CUT_SHORT, packing.BY_SEARCH, packing.AT_BOUND)
+
+
 def test_bin_completion_beats_best_fit():
     s = [6, 6, 4, 4, 4, 4, 2, 2, 2, 2, 7, 3]  # leaves nothing free in containers of 10 or so
     assert len(packing.complete(s, 10)) <= len(packing.best_fit(s, 10))
@@ -49,7 +63,7 @@ def test_fill_containers(spark):
     docs = [(i, rng.choice([0, 1, 5, 40, 90, 130, 250]) + rng.randrange(3) * 7) for i in range(900)] + [(5000, 10_000), (5001, None), (None, 4)]
     df = spark.createDataFrame(docs + docs[:5], "doc_id long, n_tokens long")
     kinds = spark.createDataFrame([("s", 100), ("l", 1000), ("bad", 0), (None, 7)], "container_kind string, capacity_tokens long")
-    out = packing.fill_containers(df, kinds, block_items=100).collect()
+    out = packing.fill_containers(df, kinds, p=packing.PackParams(block_items=100)).collect()
     want = {d: n for d, n in docs if d is not None and n is not None}
     for kind, cap in (("s", 100), ("l", 1000)):
         own = [r for r in out if r.container_kind == kind]
@@ -68,7 +82,7 @@ def test_fill_containers(spark):
         rest = [n % cap if n > cap else n for n in want.values()]
         at_once = len(packing.best_fit([n for n in rest if n], cap))
         assert len(fill) <= whole + at_once * 1.03 + 1  # in blocks as small as 100 items
-    again = {tuple(r) for r in packing.fill_containers(df.repartition(7), kinds, block_items=100).collect()}
+    again = {tuple(r) for r in packing.fill_containers(df.repartition(7), kinds, p=packing.PackParams(block_items=100)).collect()}
     assert again == {tuple(r) for r in out}
 
 
@@ -104,6 +118,35 @@ def test_fit_lengths_hits_the_budget():
         assert budget - used < max(ls)
 
 
+def best_sum(ls, cs, room):
+    sums = 1
+    for n, c in zip(ls, cs):
+        for _ in range(c):
+            sums |= sums << n
+    return (sums & ((1 << (room + 1)) - 1)).bit_length() - 1
+
+
+def test_few_long_lengths_are_fitted_exactly():
+    """What was taken before the programme is given back where that fits better."""
+    rng = random.Random(21)
+    for _ in range(60):
+        ls = sorted(rng.sample(range(700, 9000), rng.randrange(3, 9)))
+        cs = [rng.randrange(1, 12) for _ in ls]
+        total = sum(a * b for a, b in zip(ls, cs))
+        budget = rng.randrange(1, total)
+        _, take = mixing.fit_lengths(ls, cs, budget, 1)
+        assert all(0 <= t <= c for t, c in zip(take, cs)) and sum(a * b for a, b in zip(ls, take)) == best_sum(ls, cs, budget)
+    assert sum(a * b for a, b in zip([3167, 7206, 8404, 8504], mixing.fit_lengths([3167, 7206, 8404, 8504], [4, 11, 3, 9], 107_195, 1)[1])) == 107_174
+
+
+def test_common_divisor_and_limit():
+    p = mixing.FitParams(first_room=100, growth=2, most_room=400)
+    _, take = mixing.fit_lengths([600, 1000, 1400], [500, 500, 500], 333_333, 1, p)
+    assert sum(a * b for a, b in zip([600, 1000, 1400], take)) == 333_200  # the largest multiple of 200
+    _, take = mixing.fit_lengths([7919, 104_729], [3, 3], 200_000, 1, mixing.FitParams(first_room=10, growth=2, most_room=20))
+    assert sum(a * b for a, b in zip([7919, 104_729], take)) <= 200_000
+
+
 def test_mixture(spark):
     rng = random.Random(2)
     docs = [(i, rng.choice(["A", "a ", "b-c", "B_C", "d", None, "other"]), rng.randrange(0, 300)) for i in range(4000)] + [(None, "a", 5)]
