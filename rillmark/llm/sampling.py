@@ -16,7 +16,7 @@ def salted_hash(key: Column, salt: str) -> Column:
     return F.conv(F.substring(F.sha2(F.concat(F.lit(salt + "|"), key.cast("string")), 256), 1, BITS // 4), 16, 10).cast("bigint")
 
 
-def bottom_k(rows: DataFrame, group: list[str], h: str, key: str, k: DataFrame, whole: int = 200_000, most_large: int = 500_000) -> DataFrame:
+def bottom_k(rows: DataFrame, group: list[str], h: str, key: str, k: DataFrame, whole: int = 200_000, most_large: int = 100_000) -> DataFrame:
     """The rows with the ``k`` smallest (h, key) of each group, exactly; ``k`` has (group..., k), groups without a row there give none.
 
     Groups of up to ``whole`` rows are ranked in a window. For the larger ones, all at once, the k-th smallest hash is
