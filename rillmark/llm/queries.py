@@ -92,11 +92,12 @@ def p1_invariants(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _beside(parts: list[DataFrame]) -> DataFrame:
-    """One-row results side by side."""
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.crossJoin(p)
-    return out
+    """One-row results of counts in one row."""
+    long = None
+    for p in parts:
+        x = p.select(F.explode(F.array(*[F.struct(F.lit(c).alias("m"), F.col(c).cast("long").alias("v")) for c in p.columns])).alias("x")).select("x.*")
+        long = x if long is None else long.unionByName(x)
+    return long.agg(*[F.max(F.when(F.col("m") == c, F.col("v"))).alias(c) for p in parts for c in p.columns])
 
 
 # ---- 8: containers
@@ -127,7 +128,8 @@ def p8_violations(spark: SparkSession, d: str) -> DataFrame:
         F.greatest(F.lit(0), F.count(F.lit(1)) - 1 - F.ceil(1.05 * F.ceil(F.sum("t") / F.first("capacity")))).cast("long").alias("containers_too_many"),
     )
     g = a.groupBy("container_kind", "doc_id").agg(F.count(F.lit(1)).alias("pieces"), F.min("token_from").alias("lo"), F.max("token_to").alias("hi"), F.sum(F.col("token_to") - F.col("token_from")).alias("t"))
-    j = docs.crossJoin(F.broadcast(kinds)).join(g, ["container_kind", "doc_id"], "left")  # a row per document and kind
+    few = F.array(*[F.struct(F.lit(r.container_kind).alias("container_kind"), F.lit(r.capacity).alias("capacity")) for r in kinds.collect()])  # a few kinds
+    j = docs.select("doc_id", "n_tokens", F.explode(few).alias("k")).select("doc_id", "n_tokens", "k.*").join(g, ["container_kind", "doc_id"], "left")
     need = F.greatest(F.lit(1), F.ceil(F.col("n_tokens") / F.col("capacity")))
     per_d = j.groupBy("container_kind").agg(
         F.count("pieces").alias("documents"), F.count_if(F.col("pieces").isNull()).alias("lost"), F.count_if((F.col("lo") != 0) | (F.col("hi") != F.col("n_tokens")) | (F.col("t") != F.col("n_tokens"))).alias("torn"), F.count_if(F.col("pieces") > need).alias("cut_without_need"),
@@ -159,11 +161,11 @@ def p9_violations(spark: SparkSession, d: str) -> DataFrame:
     mix = checkpointed(mix)
     have = docs.select("doc_id", mixing.source_key("source").alias("source"), "n_tokens").where("n_tokens > 0")
     live = targets.join(have.select("source").distinct(), "source", "left_semi").where("share > 0 and m > 0")
-    scale = live.agg(F.sum("share").alias("scale"))
-    total = mix.agg(F.sum(F.col("n_tokens") * F.col("times")).alias("total"))
+    scale = live.agg(F.sum("share")).first()[0] or 1.0
+    total = mix.agg(F.sum(F.col("n_tokens") * F.col("times"))).first()[0] or 0
     g = mix.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("times")).alias("t"))
     longest = have.groupBy("source").agg(F.max("n_tokens").alias("longest"))
-    off = live.join(g, "source", "left").join(longest, "source").crossJoin(scale).crossJoin(total).where(F.abs(F.coalesce("t", F.lit(0)) - F.col("share") / F.col("scale") * F.coalesce("total", F.lit(0))) > F.col("longest"))  # a row per source
+    off = live.join(g, "source", "left").join(longest, "source").where(F.abs(F.coalesce("t", F.lit(0)) - F.col("share") / scale * total) > F.col("longest"))
     n = lambda df, c: df.agg(F.count(F.lit(1)).alias(c))
     return _beside([
         n(targets, "sources"), n(off, "shares_off"), n(mix.join(targets, "source", "left").where("m is null or times > m or times < 1"), "repeats_above_cap"),
@@ -197,7 +199,7 @@ def p10_invariants(spark: SparkSession, d: str) -> DataFrame:
         F.count_if(~F.col("lang").isin([*langid.NAMES, "und"])).alias("unknown_codes"), F.count_if(~F.col("confidence").between(0, 1) | F.col("confidence").isNull()).alias("without_confidence"),
     )
     per_doc = j.agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.col("to").isNull()).alias("without_segment"), F.count_if(F.col("to") != F.col("size")).alias("not_to_the_end"))
-    return per_doc.crossJoin(per_seg)  # one row each
+    return _beside([per_doc, per_seg])
 
 
 QUERIES = {
