@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rillmark.functions.keys import hash_bucket
+from rillmark.operators.prefix import running_sums
 
 
 def partition_of(key: Column, salt: str = "rillmark-dev-1", inner: str = "rillmark-cal-1") -> Column:
@@ -20,12 +20,11 @@ def auc(df: DataFrame, value: str, label: str, stratum: str, weight: str | None
     """Exact area under the ROC curve per stratum, ties count one half: sum p*(n_below + n/2) / (P*N). Null values rank below all.
 
     ``weight``: how often a row counts, once if not given.
-    Rows are grouped by value first, so the window runs over distinct values.
+    Rows are grouped by value first, and the running sums are taken over ranges of values, so no task sees a stratum.
     """
     w = F.col(weight) if weight else F.lit(1)
     g = df.groupBy(stratum, value).agg(F.sum(F.when(F.col(label), w).otherwise(0)).alias("p"), F.sum(F.when(~F.col(label), w).otherwise(0)).alias("n"))
-    below = F.sum("n").over(W.partitionBy(stratum).orderBy(F.col(value).asc_nulls_first()).rowsBetween(W.unboundedPreceding, -1))
-    g = g.withColumn("b", F.coalesce(below, F.lit(0)))
+    g = running_sums(g, [F.col(value).asc_nulls_first()], {"c": "n"}, [stratum]).withColumn("b", F.col("c") - F.col("n"))
     s = g.groupBy(stratum).agg(F.sum(F.col("p") * (F.col("b") + F.col("n") * 0.5)).alias("u"), F.sum("p").alias("positives"), F.sum("n").alias("negatives"))
     return s.select(stratum, "positives", "negatives", F.round(F.try_divide(F.col("u"), F.col("positives") * F.col("negatives")), 9).alias("auc"))
 
@@ -84,15 +83,7 @@ def agreement(rows: DataFrame, by: str) -> DataFrame:
 def weighted_quantiles(df: DataFrame, value: str, weight: str, qs: list[float]) -> DataFrame:
     """(q, value): the first value at which the cumulative weight reaches q of the total; runs over distinct values."""
     g = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.sum(weight).alias("w"))
-    total = g.select(F.sum("w")).scalar()
-    c = g.withColumn("c", F.sum("w").over(W.orderBy(value))).withColumn("t", total)
+    g = running_sums(g, [F.col(value)], {"c": "w"})
+    c = g.withColumn("t", g.select(F.max("c")).scalar())
     q = F.explode(F.array(*[F.lit(x) for x in qs])).alias("q")
     return c.select(value, "c", "t", q).where(F.col("c") >= F.col("q") * F.col("t")).groupBy("q").agg(F.min(value).alias(value))
-
-
-def top_per_group(df: DataFrame, group: str, names: list[str], n: int) -> DataFrame:
-    """The ``n`` most frequent name tuples of each group with the group's total; counted first, then ranked."""
-    c = df.groupBy(group, *names).agg(F.count(F.lit(1)).alias("rows"))
-    w = W.partitionBy(group)
-    r = c.withColumns({"rank": F.row_number().over(w.orderBy(F.col("rows").desc(), *[F.col(x).asc_nulls_first() for x in names])), "group_rows": F.sum("rows").over(w)})
-    return r.where(F.col("rank") <= n)

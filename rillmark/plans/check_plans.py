@@ -12,6 +12,7 @@ from rillmark.operators import matching as M
 from rillmark.plans import ledger_plans as L
 from rillmark.plans import matching_plans as MP
 from rillmark.plans.problems import LOW, UP
+from rillmark.session import checkpointed
 
 STATUS = ["MATCHED", "UNRESOLVED"]
 METHODS = ["STRUCTURAL_EXACT_UNIQUE", "SCORED_EXACT_MULTIPLE", "SCORED_FALLBACK_UNIQUE", "SCORED_FALLBACK_MULTIPLE", "NO_CANDIDATES"]
@@ -46,8 +47,9 @@ def t2_registry(s: SparkSession, d: str) -> DataFrame:
 
 def t6_valid_on_day(s: SparkSession, d: str) -> DataFrame:
     """Resolved days whose set is not in force on them, or not valid: none."""
-    r = L._resolution(s, d).where("split_version_id is not null").select("recording_mbid", "split_version_id", "listen_date")
-    v = L._validity(s, d).select("recording_mbid", "split_version_id", "valid_from", "valid_to", "is_valid_set")
+    valid = checkpointed(L._validity(s, d))
+    r = L._resolution(s, d, valid).where("split_version_id is not null").select("recording_mbid", "split_version_id", "listen_date")
+    v = valid.select("recording_mbid", "split_version_id", "valid_from", "valid_to", "is_valid_set")
     j = r.join(v, ["recording_mbid", "split_version_id"], "left")
     ok = F.coalesce((F.col("listen_date") >= F.col("valid_from")) & (F.col("listen_date") < F.col("valid_to")) & F.col("is_valid_set"), F.lit(False))
     return j.agg(F.count(F.lit(1)).alias("days"), F.count_if(~ok).alias("violations"))

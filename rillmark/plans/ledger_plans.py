@@ -58,9 +58,9 @@ def _ranges(s: SparkSession) -> DataFrame:
     return s.createDataFrame(RANGES, "range_id string, f string, t string").select("range_id", F.to_date("f").alias("range_from"), F.to_date("t").alias("range_to"))
 
 
-def _resolution(s: SparkSession, d: str) -> DataFrame:
-    """The sets feed several branches, so they are made once and cut from their lineage."""
-    return ownership.resolution(_days(s, d), checkpointed(_validity(s, d)), _ranges(s))
+def _resolution(s: SparkSession, d: str, valid: DataFrame | None = None) -> DataFrame:
+    """The sets feed several branches, so they are made once and cut from their lineage; ``valid``: where the caller has done so."""
+    return ownership.resolution(_days(s, d), checkpointed(_validity(s, d)) if valid is None else valid, _ranges(s))
 
 
 def ag4_sets(s: SparkSession, d: str) -> DataFrame:
@@ -293,7 +293,7 @@ def t3_grain(s: SparkSession, d: str) -> DataFrame:
 
 def ag12_digest(s: SparkSession, d: str) -> DataFrame:
     f = table(s, d, "fct_restatements").select("recording_mbid", "rights_holder_id", "change_type", "trigger_reason", F.col("prior_streams").cast("string").alias("prior_streams"))
-    return digest.content_digest(f, ["recording_mbid", "rights_holder_id", "change_type", "trigger_reason", "prior_streams"], 64)
+    return digest.content_digest(f, ["recording_mbid", "rights_holder_id", "change_type", "trigger_reason", "prior_streams"])
 
 
 def scd2_of_landings(rh: DataFrame) -> DataFrame:
@@ -615,7 +615,8 @@ SQL = {
     "T13_totals": "select prior_publication_id, new_publication_id, count(*) as rows, cast(sum(prior_payout) as double) as prior_total, cast(sum(restated_payout) as double) as restated_total from (select distinct * from fct_restatements) group by 1, 2",
     "T15_versions": "select count(*) as rows, count(*) filter (where prior_normalization_version = new_normalization_version) as same_normalization, count(*) filter (where prior_split_version is distinct from new_split_version) as split_changed from fct_restatements",
     "T3_grain": "select count(*) as grain_rows, count(*) filter (where n > 1) as violations from (select count(*) as n from (select distinct * from fct_restatements) group by period, recording_mbid, rights_holder_id)",
-    "AG12_digest": "with h as (select sha256(concat_ws(chr(31), coalesce(recording_mbid, ''), coalesce(rights_holder_id, ''), coalesce(change_type, ''), coalesce(trigger_reason, ''), coalesce(prior_streams::varchar, ''))) as h from fct_restatements), b as (select cast('0x' || substr(h, 1, 8) as bigint) % 64 as b, count(*) as n, sha256(string_agg(h, '' order by h)) as d from h group by 1) select cast(sum(n) as bigint) as rows, sha256(string_agg(d, '' order by b)) as digest from b",
+    # leaves by as many digits as rows need, up to 16 million
+    "AG12_digest": "with h as (select sha256(concat_ws(chr(31), coalesce(recording_mbid, ''), coalesce(rights_holder_id, ''), coalesce(change_type, ''), coalesce(trigger_reason, ''), coalesce(prior_streams::varchar, ''))) as h from fct_restatements), n as (select count(*) as rows, case when count(*) > 4096 then 3 else 0 end as depth from h), b as (select substr(h, 1, depth) as p, sha256(string_agg(h, '' order by h)) as d from h, n group by 1) select n.rows, case when depth = 0 then min(d) else sha256(string_agg(d, '' order by p)) end as digest from b, n group by n.rows, depth",
     "SC1_scd2": FS.SCD + "select * from sv",
     "W7_with_history": FS.SCD + "select holder_id, count(*) as versions from sv group by 1 having count(*) > 1",
     "J19_label_join": EVAL + "select label_in_catalogue, count(*) as n, count(label_mbid) as labelled from l group by 1",

@@ -34,16 +34,30 @@ def _pairs(s: SparkSession, d: str) -> DataFrame:
     return M.distinct_pairs(_listens(s, d))
 
 
+def _shared(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(pairs, blocking index, candidates): each feeds several branches, so each is made once and cut from its lineage."""
+    pairs, index = checkpointed(_pairs(s, d)), checkpointed(M.blocking_index(_catalogue(s, d)))
+    return pairs, index, checkpointed(M.candidates(pairs, index))
+
+
 def _cands(s: SparkSession, d: str) -> DataFrame:
-    return M.candidates(_pairs(s, d), M.blocking_index(_catalogue(s, d)))
+    return _shared(s, d)[2]
 
 
 def _texts(s: SparkSession, d: str) -> DataFrame:
     return M.texts_of(_listens(s, d), _pairs(s, d))
 
 
+def _scored(s: SparkSession, d: str, cands: DataFrame, texts: DataFrame) -> DataFrame:
+    """Features of the candidates that need a score; the catalogue's texts are made for these alone, a small part of it."""
+    universe = M.scored_universe(cands)
+    canon = M.canonical_texts(_catalogue(s, d).join(universe.select("recording_mbid").distinct(), "recording_mbid", "left_semi"))
+    return M.features(universe, texts, canon)
+
+
 def _feats(s: SparkSession, d: str) -> DataFrame:
-    return M.features(M.scored_universe(_cands(s, d)), _texts(s, d), M.canonical_texts(_catalogue(s, d)))
+    pairs, _, cands = _shared(s, d)
+    return _scored(s, d, cands, M.texts_of(_listens(s, d), pairs))
 
 
 def n1_pairs(s: SparkSession, d: str) -> DataFrame:
@@ -69,7 +83,7 @@ def j2_exact(s: SparkSession, d: str) -> DataFrame:
 
 
 def j3_fallback(s: SparkSession, d: str) -> DataFrame:
-    p, ix = _pairs(s, d), M.blocking_index(_catalogue(s, d))
+    p, ix = checkpointed(_pairs(s, d)), checkpointed(M.blocking_index(_catalogue(s, d)))
     return M.fallback_candidates(p, ix, M.exact_candidates(p, ix))
 
 
@@ -90,13 +104,16 @@ def f22_score(s: SparkSession, d: str) -> DataFrame:
     return _feats(s, d).select("text_hash", "recording_mbid", M.score(RULES).alias("score"))
 
 
+def _ranked(s: SparkSession, d: str) -> DataFrame:
+    return f22_score(s, d).withColumn("rn", F.row_number().over(W.partitionBy("text_hash").orderBy(F.col("score").desc_nulls_last(), "recording_mbid")))
+
+
 def w1_rank(s: SparkSession, d: str) -> DataFrame:
-    x = f22_score(s, d)
-    return x.withColumn("rn", F.row_number().over(W.partitionBy("text_hash").orderBy(F.col("score").desc_nulls_last(), "recording_mbid"))).select("text_hash", "recording_mbid", "rn")
+    return _ranked(s, d).select("text_hash", "recording_mbid", "rn")
 
 
 def ag3_top2(s: SparkSession, d: str) -> DataFrame:
-    x = f22_score(s, d).join(w1_rank(s, d), ["text_hash", "recording_mbid"])
+    x = _ranked(s, d).where("rn <= 2")
     return x.groupBy("text_hash").agg(F.max(F.when(F.col("rn") == 1, F.col("score"))).alias("top1"), F.max(F.when(F.col("rn") == 2, F.col("score"))).alias("top2"), F.max(F.when(F.col("rn") == 1, F.col("recording_mbid"))).alias("winner"))
 
 
@@ -110,14 +127,9 @@ def ag2_sole(s: SparkSession, d: str) -> DataFrame:
 
 
 def _match(s: SparkSession, d: str) -> DataFrame:
-    """Pairs and candidates feed several branches, so each is made once and cut from its lineage."""
-    pairs = checkpointed(_pairs(s, d))
-    cands = checkpointed(M.candidates(pairs, M.blocking_index(_catalogue(s, d))))
+    pairs, _, cands = _shared(s, d)
     texts = M.texts_of(_listens(s, d), pairs)
-    universe = M.scored_universe(cands)
-    # candidates' texts only: the scored universe is a small part of the catalogue
-    canon = M.canonical_texts(_catalogue(s, d).join(universe.select("recording_mbid").distinct(), "recording_mbid", "left_semi"))
-    return M.match_texts(texts, cands, M.features(universe, texts, canon), RULES)
+    return M.match_texts(texts, cands, _scored(s, d, cands, texts), RULES)
 
 
 def m1_match(s: SparkSession, d: str) -> DataFrame:
@@ -144,7 +156,8 @@ def ag9_invariants(s: SparkSession, d: str) -> DataFrame:
 
 
 def p6_baseline(s: SparkSession, d: str) -> DataFrame:
-    return M.baseline(_pairs(s, d), _cands(s, d))
+    pairs, _, cands = _shared(s, d)
+    return M.baseline(pairs, cands)
 
 
 def f21_retention(s: SparkSession, d: str) -> DataFrame:
@@ -191,9 +204,12 @@ def w6_top_unmatched(s: SparkSession, d: str) -> DataFrame:
     n = _listens(s, d).select("listen_hash", F.sha2(F.concat(ph, F.lit("\u001f"), F.coalesce("release_name", F.lit("~null~"))), 256).alias("text_hash")).distinct().groupBy("text_hash").agg(F.count(F.lit(1)).alias("w"))
     j = m.join(names, "pair_hash").join(n, "text_hash")
     c = j.groupBy("failure_reason", "artist_name", "recording_name").agg(F.sum("w").alias("listens"))
-    w = W.partitionBy("failure_reason")
-    r = c.withColumns({"rank": F.row_number().over(w.orderBy(F.col("listens").desc(), "artist_name", "recording_name")), "reason_listens": F.sum("listens").over(w)})
-    return r.where("rank <= 20")
+    # a reason's total is an aggregate; the rank alone in the window lets each task keep its own first twenty
+    c = checkpointed(c)
+    total = c.groupBy("failure_reason").agg(F.sum("listens").alias("reason_listens"))
+    w = W.partitionBy("failure_reason").orderBy(F.col("listens").desc(), "artist_name", "recording_name")
+    r = c.withColumn("rank", F.row_number().over(w)).where("rank <= 20")
+    return r.join(F.broadcast(total), "failure_reason")  # a row per reason
 
 
 def s2_top_pairs(s: SparkSession, d: str) -> DataFrame:
