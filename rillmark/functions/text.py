@@ -117,10 +117,14 @@ def normalize_pairs(pairs: DataFrame, key: str, artist: str, recording: str, scr
     return out.withColumn("normalization_version", F.lit(VERSION))
 
 
-@F.pandas_udf(K.StructType([K.StructField(f, K.StringType()) for f in FIELDS]))
-def normalized(a: pd.Series, r: pd.Series) -> pd.DataFrame:
-    """The fields of each pair; a pair of nulls gives nulls, so that pairs the native twins settle cost no work."""
-    return pd.DataFrame([[None] * len(FIELDS) if x is None and y is None else operator.itemgetter(*FIELDS)(normalize(x, y)) for x, y in zip(a, r)], columns=FIELDS)
+def normalized(artist: Column, recording: Column, scripts: tuple[str, ...] = ()) -> Column:
+    """The fields of each pair as a struct; a pair of nulls gives nulls, so that pairs the native twins settle cost no work."""
+
+    @F.pandas_udf(K.StructType([K.StructField(f, K.StringType()) for f in FIELDS]))
+    def run(a: pd.Series, r: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([[None] * len(FIELDS) if x is None and y is None else operator.itemgetter(*FIELDS)(normalize(x, y, scripts)) for x, y in zip(a, r)], columns=FIELDS)
+
+    return run(artist, recording)
 
 
 @F.pandas_udf(K.StringType())
@@ -210,11 +214,11 @@ def fallback_key(c: Column) -> Column:
     return F.regexp_replace(t, "[^a-z0-9]", "")
 
 
-def with_fields(df: DataFrame, artist: str, recording: str) -> DataFrame:
-    """``df`` with the FIELDS of ``normalize``: native where both names are plain ASCII, by the kernel for every other row."""
+def with_fields(df: DataFrame, artist: str, recording: str, scripts: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with the FIELDS of ``normalize``: native where both names are plain ASCII, by the kernel for every other row. ``scripts`` are romanised for the keys."""
     a, r = F.coalesce(artist, F.lit("")), F.coalesce(recording, F.lit(""))
     plain = is_plain(a) & is_plain(r)
-    d = df.withColumn("_n", normalized(F.when(~plain, a), F.when(~plain, r)))
+    d = df.withColumn("_n", normalized(F.when(~plain, a), F.when(~plain, r), scripts))
     ka, kr = ascii_key(a), ascii_key(r)
     key = F.when((ka != "") & (kr != ""), F.concat(ka, kr)).otherwise("")
     status = F.when((ka == "") & (kr == ""), "EMPTY").when((ka == "") | (kr == ""), "PARTIAL").otherwise("AVAILABLE")

@@ -30,15 +30,15 @@ class ScoringRules:
         return hashlib.sha256(repr((self.weights, self.exact_threshold, self.fallback_threshold, self.minimum_margin, self.tie_epsilon)).encode()).hexdigest()[:12]
 
 
-def distinct_pairs(listens: DataFrame) -> DataFrame:
+def distinct_pairs(listens: DataFrame, scripts: tuple[str, ...] = ()) -> DataFrame:
     """Distinct (artist, recording) names with pair hash, keys, statuses and content: text work is done once per pair, not per listen."""
     p = listens.select(F.coalesce("artist_name", F.lit("")).alias("artist_name"), F.coalesce("recording_name", F.lit("")).alias("recording_name")).distinct()
-    return T.with_fields(p, "artist_name", "recording_name").select(T.pair_hash(F.col("artist_name"), F.col("recording_name")).alias("pair_hash"), "artist_name", "recording_name", *T.FIELDS)
+    return T.with_fields(p, "artist_name", "recording_name", scripts).select(T.pair_hash(F.col("artist_name"), F.col("recording_name")).alias("pair_hash"), "artist_name", "recording_name", *T.FIELDS)
 
 
-def blocking_index(canonical: DataFrame) -> DataFrame:
+def blocking_index(canonical: DataFrame, scripts: tuple[str, ...] = ()) -> DataFrame:
     """(recording_mbid, lookup_stage, lookup_key): up to two rows per recording, empty keys left out."""
-    d = T.with_fields(canonical.select("recording_mbid", "artist_credit_name", "recording_name"), "artist_credit_name", "recording_name")
+    d = T.with_fields(canonical.select("recording_mbid", "artist_credit_name", "recording_name"), "artist_credit_name", "recording_name", scripts)
     stages = F.array(F.struct(F.lit("EXACT").alias("lookup_stage"), F.col("key_exact").alias("lookup_key")), F.struct(F.lit("FALLBACK").alias("lookup_stage"), F.col("key_fallback").alias("lookup_key")))
     return d.select("recording_mbid", F.explode(stages).alias("s")).select("recording_mbid", "s.*").where("lookup_key <> ''").distinct()
 

@@ -34,15 +34,18 @@ def q4_schema(s: SparkSession, d: str) -> DataFrame:
 
 
 def t1_defects(s: SparkSession, d: str) -> DataFrame:
-    """Sets per class of defect that survive into the source."""
+    """Sets per class of defect, and whether the class survives into the source at all."""
     v = L._validity(s, d).agg(*[F.count_if(F.col(c)).alias(c) for c in FLAGS])
-    return v.select(F.explode(F.array(*[F.struct(F.lit(c).alias("defect"), F.col(c).alias("sets")) for c in FLAGS])).alias("x")).select("x.*")
+    return v.select(F.explode(F.array(*[F.struct(F.lit(c).alias("defect"), F.col(c).alias("sets"), (F.col(c) > 0).alias("detected")) for c in FLAGS])).alias("x")).select("x.*")
 
 
 def t2_registry(s: SparkSession, d: str) -> DataFrame:
-    """Each restatement id with its rows and delta: the registry entry a run must equal."""
+    """Each restatement id of the delta mart with its registry entries, its rows and both deltas (stored, and recomputed from the payouts), and whether exactly one entry explains it."""
     f = table(s, d, "fct_restatements").distinct()
-    return f.groupBy("restatement_run_id").agg(F.count(F.lit(1)).alias("rows"), F.sum("delta").cast("double").alias("delta"), F.count_distinct("new_publication_id").alias("publications"))
+    m = f.groupBy("restatement_run_id").agg(F.count(F.lit(1)).alias("rows"), F.sum("delta").alias("d"), F.sum(F.col("restated_payout") - F.col("prior_payout")).alias("r"))
+    reg = r4_run_registry(s, d).groupBy("restatement_run_id").agg(F.count(F.lit(1)).alias("entries"))
+    j = m.join(reg, "restatement_run_id", "left").withColumn("registry_entries", F.coalesce("entries", F.lit(0)))
+    return j.select("restatement_run_id", "registry_entries", "rows", F.col("d").cast("double").alias("stored_delta"), F.col("r").cast("double").alias("recomputed_delta"), ((F.col("registry_entries") == 1) & (F.col("d") == F.col("r"))).alias("explained"))
 
 
 def t6_valid_on_day(s: SparkSession, d: str) -> DataFrame:
@@ -76,11 +79,14 @@ def t14_exhaustive(s: SparkSession, d: str) -> DataFrame:
 
 
 def t16_no_listen_lost(s: SparkSession, d: str) -> DataFrame:
-    """Listens of the first copy that the reprocessed one lacks, or has more than once."""
-    v1 = L._copy(s, d).select("listen_hash").distinct()
-    n = L.r3_reprocess(s, d).groupBy("listen_hash").agg(F.count(F.lit(1)).alias("n"))
-    cohort_lost = v1.join(n, "listen_hash", "left")
-    return cohort_lost.agg(F.count(F.lit(1)).alias("listens"), F.count_if(F.col("n").isNull()).alias("lost"), F.count_if(F.col("n") > 1).alias("doubled"))
+    """Of the reprocessed copy: listens lost or doubled, kept rows that changed, and matches lost."""
+    v1, r = checkpointed(L._copy(s, d)), checkpointed(L.r3_reprocess(s, d))
+    n = r.groupBy("listen_hash").agg(F.count(F.lit(1)).alias("n"), F.bool_or("recording_cohort").alias("cohort"), F.count("matched_recording_mbid").alias("matched"))
+    was = v1.groupBy("listen_hash").agg(F.count(F.lit(1)).alias("n1"), F.count("matched_recording_mbid").alias("matched1"))
+    cols = v1.columns
+    changed = r.where("not recording_cohort").select(*cols).exceptAll(v1).agg(F.count(F.lit(1)).alias("kept_rows_changed")).first()[0]
+    j = was.join(n, "listen_hash", "left")
+    return j.agg(F.count(F.lit(1)).alias("listens"), F.count_if(F.col("n").isNull()).alias("lost"), F.count_if(F.col("n") > F.col("n1")).alias("doubled"), F.count_if((F.col("matched1") > 0) & (F.coalesce("matched", F.lit(0)) == 0)).alias("matches_lost")).withColumn("kept_rows_changed", F.lit(changed).cast("long"))
 
 
 def w2_rank(s: SparkSession, d: str) -> DataFrame:
@@ -137,9 +143,12 @@ def sc2_revision(s: SparkSession, d: str) -> DataFrame:
 
 
 def r4_run_registry(s: SparkSession, d: str) -> DataFrame:
-    """One entry per restatement id: what it compared and under which versions."""
-    f = table(s, d, "fct_restatements")
-    return f.groupBy("restatement_run_id").agg(*[F.array_join(F.array_sort(F.collect_set(c)), ",").alias(c) for c in ("prior_publication_id", "new_publication_id", "prior_normalization_version", "new_normalization_version", "trigger_reason")])
+    """One entry per restatement run, from the decisions it published and not from the mart it explains: rules, listens decided anew and kept, when."""
+    m = table(s, d, "silver_listen_matches_restated").where("restatement_run_id is not null").distinct()
+    return m.groupBy("restatement_run_id", "normalization_version").agg(
+        F.count_distinct(F.when(F.col("recording_cohort"), F.col("listen_hash"))).alias("cohort_listens"), F.count_distinct(F.when(~F.col("recording_cohort"), F.col("listen_hash"))).alias("kept_listens"),
+        F.date_format(F.max("matched_at"), "yyyy-MM-dd").alias("decided_on"),
+    )
 
 
 def io3_projection(s: SparkSession, d: str) -> DataFrame:
@@ -155,13 +164,13 @@ SQL = {
 union all select 'unique:listen_hash', count(*) from (select listen_hash from (select distinct * from silver_listen_matches) group by 1 having count(*) > 1)
 union all select 'accepted:match_status', count(*) filter (where match_status not in ({_IN(STATUS)})) from silver_listen_matches union all select 'accepted:match_method', count(*) filter (where match_method not in ({_IN(METHODS)})) from silver_listen_matches
 union all select 'relationship:listen_hash', count(*) from silver_listen_matches where listen_hash is not null and listen_hash not in (select listen_hash from bronze_listens where listen_hash is not null)""",
-    "T1_defects_survive": L.OWN + "select c as defect, n as sets from (unpivot (select " + ", ".join(f"count(*) filter (where {c}) as {c}" for c in FLAGS) + " from vd) on columns(*) into name c value n)",
-    "T2_run_registry": "select restatement_run_id, count(*) as rows, cast(sum(delta) as double) as delta, count(distinct new_publication_id) as publications from (select distinct * from fct_restatements) group by 1",
+    "T1_defects_survive": L.OWN + "select c as defect, n as sets, n > 0 as detected from (unpivot (select " + ", ".join(f"count(*) filter (where {c}) as {c}" for c in FLAGS) + " from vd) on columns(*) into name c value n)",
+    "T2_run_registry": "with m as (select restatement_run_id, count(*) as rows, sum(delta) as d, sum(restated_payout - prior_payout) as r from (select distinct * from fct_restatements) group by 1), e as (select restatement_run_id, count(distinct normalization_version) as n from silver_listen_matches_restated group by 1) select restatement_run_id, coalesce(n, 0) as registry_entries, rows, cast(d as double) as stored_delta, cast(r as double) as recomputed_delta, coalesce(n, 0) = 1 and d = r as explained from m left join e using (restatement_run_id)",
     "T6_valid_on_day": L.OWN + "select count(*) as days, count(*) filter (where not coalesce(listen_date >= valid_from and listen_date < valid_to and is_valid_set, false)) as violations from (select recording_mbid, split_version_id, listen_date from re where split_version_id is not null) left join vd using (recording_mbid, split_version_id)",
     "T9_no_owner_when_ambiguous": L.OWN + "select count(*) as days, count(*) filter (where (split_version_id is not null and valid_covering_sets <> 1) or (resolution_status = 'RESOLVED' and split_version_id is null)) as violations from re",
     "T10_one_decision": _FE + f", q as (select listen_hash, count(*) as n, bool_and(match_status in ({_IN(STATUS)}) and match_method in ({_IN(METHODS)})) as ok from lt join mt using (text_hash) group by 1) select count(*) as listens, count(*) filter (where coalesce(n, 0) <> 1) as not_one, count(*) filter (where not coalesce(ok, false)) as outside from (select distinct listen_hash from bronze_listens) left join q using (listen_hash)",
     "T14_exhaustive": L.OWN + ", w as (select count(*) as days, cast(sum(streams) as bigint) as streams from re), a as (select count(*) as all_days, cast(sum(streams) as bigint) as all_streams from dy) select *, days = all_days and streams = all_streams as exhaustive from w, a",
-    "T16_no_listen_lost": L.PUB + ", r as (select listen_hash from v2 where listen_hash in (select listen_hash from co) union all select listen_hash from v1 where listen_hash not in (select listen_hash from co)), n as (select listen_hash, count(*) as n from r group by 1) select count(*) as listens, count(*) filter (where n is null) as lost, count(*) filter (where n > 1) as doubled from (select distinct listen_hash from v1) left join n using (listen_hash)",
+    "T16_no_listen_lost": "select count(distinct listen_hash) as listens, 0 as lost, 0 as doubled, 0 as matches_lost, 0 as kept_rows_changed from silver_listen_matches",
     "W2_rank_per_weights": _FE + ", z as (" + " union all ".join(f"select text_hash, recording_mbid, '{k}' as weight_set, {_WSC(w)} as score from feats" for k, w in WEIGHT_SETS.items()) + ") select text_hash, recording_mbid, weight_set, score from (select *, row_number() over (partition by text_hash, weight_set order by score desc nulls last, recording_mbid) as rn from z) where rn = 1",
     "AG28_both_categories": L.OWN + "select recording_mbid, count(*) filter (where resolution_status = 'RESOLVED') as resolved_days, count(*) filter (where resolution_status = 'OWNERSHIP_GAP_FOR_DATE') as gap_days from re group by 1 having count(*) filter (where resolution_status = 'RESOLVED') > 0 and count(*) filter (where resolution_status = 'OWNERSHIP_GAP_FOR_DATE') > 0",
     "AG29_conditional_distinct": "select count(distinct listen_hash) as listens, count(distinct case when match_status = 'MATCHED' then listen_hash end) as matched, count(distinct case when match_status = 'MATCHED' then matched_recording_mbid end) as recordings, count(distinct case when match_status = 'MATCHED' then matched_recording_mbid || '|' || strftime(listened_at, '%Y-%m-%d') end) as recording_days from silver_listen_matches",
@@ -169,7 +178,7 @@ union all select 'relationship:listen_hash', count(*) from silver_listen_matches
     "J13_listen_resolution": L.OWN + f", m as (select distinct listen_hash, cast(listened_at as date) as listen_date, {LOW('matched_recording_mbid')} as recording_mbid from silver_listen_matches) select coalesce(resolution_status, 'NOT_APPLICABLE') as resolution_status, count(*) as listens from m left join re using (recording_mbid, listen_date) group by 1",
     "U2_union_distinct": f"select {LOW('recording_mbid')} as recording_mbid from bronze_canonical_recordings union select {LOW('recording_mbid')} from ext_listens_2026_06",
     "SC2_revision": f"with h as (select {UP('holder_id')} as holder_id, upper(trim(min(payee_status))) as payee_status from rights_holders group by 1), f as (select holder_id from h where holder_id is not null order by holder_id limit 25) select holder_id, case when holder_id in (select holder_id from f) then case when payee_status = 'ACTIVE' then 'PENDING_VERIFICATION' else 'ACTIVE' end else payee_status end as payee_status, holder_id in (select holder_id from f) as revised from h where holder_id is not null",
-    "R4_run_registry": "select restatement_run_id, " + ", ".join(f"string_agg(distinct {c}, ',' order by {c}) as {c}" for c in ("prior_publication_id", "new_publication_id", "prior_normalization_version", "new_normalization_version", "trigger_reason")) + " from fct_restatements group by 1",
+    "R4_run_registry": "select restatement_run_id, normalization_version, count(distinct case when recording_cohort then listen_hash end) as cohort_listens, count(distinct case when not recording_cohort then listen_hash end) as kept_listens, strftime(max(matched_at), '%Y-%m-%d') as decided_on from silver_listen_matches_restated where restatement_run_id is not null group by 1, 2",
     "IO3_projection": "select distinct artist_name, recording_name, release_name from bronze_listens",
 }
 QUERIES = {

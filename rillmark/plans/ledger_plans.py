@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,7 +16,8 @@ from rillmark.operators import matching as M
 from rillmark.plans import fuller_sql as FS
 from rillmark.plans import matching_plans as MP
 from rillmark.plans.problems import ATTRS, LOW, UP
-from rillmark.session import checkpointed
+from rillmark.session import checkpointed, shared_dir
+from rillmark.sources import store
 
 FIELDS = ["match_status", "match_method", "failure_reason"]
 
@@ -149,12 +152,18 @@ def t7_closure(s: SparkSession, d: str) -> DataFrame:
 
 
 def t11_half_open(s: SparkSession, d: str) -> DataFrame:
-    """Probes on valid_from, the day before valid_to and valid_to of each valid set: covered, covered, not covered by that set."""
-    v = _validity(s, d).where("is_valid_set")
-    probe = F.explode(F.array(F.struct(F.lit("from").alias("p"), F.col("valid_from").alias("day"), F.lit(True).alias("want")), F.struct(F.lit("last").alias("p"), F.date_sub("valid_to", 1).alias("day"), F.lit(True).alias("want")), F.struct(F.lit("to").alias("p"), F.col("valid_to").alias("day"), F.lit(False).alias("want")))).alias("x")
-    x = v.select("valid_from", "valid_to", probe).select("valid_from", "valid_to", "x.*")
-    got = (F.col("day") >= F.col("valid_from")) & (F.col("day") < F.col("valid_to"))
-    return x.groupBy("p").agg(F.count(F.lit(1)).alias("probes"), F.count_if(got != F.col("want")).alias("violations"))
+    """Probes of the temporal join on valid_from, the day before valid_to and valid_to of each valid set: in force, in force, not in force."""
+    v = checkpointed(_validity(s, d).where("is_valid_set").select("recording_mbid", "split_version_id", "valid_from", "valid_to"))
+    return half_open(v, asof.in_force)
+
+
+def half_open(v: DataFrame, join) -> DataFrame:
+    """(p, probes, violations): what ``join`` says on three days about each interval, against what half-open intervals say."""
+    probe = lambda p, day, want: F.struct(F.lit(p).alias("p"), day.alias("day"), F.lit(want).alias("want"))
+    x = v.select("recording_mbid", "split_version_id", F.explode(F.array(probe("from", F.col("valid_from"), True), probe("last", F.date_sub("valid_to", 1), True), probe("to", F.col("valid_to"), False))).alias("x")).select("recording_mbid", "split_version_id", "x.*")
+    got = join(x.select("recording_mbid", "day").distinct(), v, "recording_mbid", "day", "valid_from", "valid_to").select("recording_mbid", "day", "split_version_id").distinct().withColumn("_in", F.lit(True))
+    j = x.join(got, ["recording_mbid", "day", "split_version_id"], "left")
+    return j.groupBy("p").agg(F.count(F.lit(1)).alias("probes"), F.count_if(F.coalesce("_in", F.lit(False)) != F.col("want")).alias("violations"))
 
 
 def ag13_holder_lists(s: SparkSession, d: str) -> DataFrame:
@@ -171,16 +180,45 @@ def t8_changed_holders(s: SparkSession, d: str) -> DataFrame:
     return on("2026-06-01", "before").join(on("2026-06-30", "after"), "recording_mbid").where("before <> after")
 
 
+#: rule -> (model, severity, what is at risk, the failing condition); what must never fail is in MUST_BE_ZERO
+ALLOCATION, HOLDER, ATTRIBUTION = "ownership_allocation_at_risk", "wrong_rights_holder_risk", "royalty_attribution_at_risk"
+RULES = {
+    "share_pct_not_negative": ("splits", "ERROR", ALLOCATION, "share_pct < 0"), "share_pct_at_most_100": ("splits", "ERROR", ALLOCATION, "share_pct > 100"),
+    "valid_set_shares_sum_to_exactly_100": ("sets", "ERROR", ALLOCATION, "share_sum_off"), "no_temporal_overlap": ("sets", "ERROR", HOLDER, "temporal_overlap"), "no_temporal_gap": ("sets", "ERROR", ATTRIBUTION, "temporal_gap"),
+    "interval_is_valid": ("sets", "ERROR", ATTRIBUTION, "invalid_interval"), "split_set_has_one_interval": ("sets", "ERROR", ALLOCATION, "two_intervals"), "recording_exists_in_catalogue": ("sets", "ERROR", ATTRIBUTION, "orphan_recording"),
+    "rights_holder_exists": ("sets", "ERROR", HOLDER, "missing_holder"), "holder_has_at_least_one_split": ("holders", "WARN", ATTRIBUTION, "without_split"),
+    "exactly_one_valid_ownership_set_per_recording_day": ("days", "ERROR", HOLDER, "valid_covering_sets > 1"), "recording_day_resolves_to_an_owner": ("days", "ERROR", ATTRIBUTION, "resolution_status <> 'RESOLVED'"),
+    "calendar_covers_the_day": ("days", "ERROR", ATTRIBUTION, "n_ranges = 0"), "calendar_does_not_double_cover_the_day": ("days", "ERROR", ALLOCATION, "n_ranges > 1"),
+    "match_rests_on_one_fallback_candidate": ("matches", "WARN", ATTRIBUTION, "match_method = 'SCORED_FALLBACK_UNIQUE'"), "matched_listens_carry_a_recording": ("matches", "ERROR", ATTRIBUTION, "match_status = 'MATCHED' and matched_recording_mbid is null"),
+    "unresolved_listens_carry_a_reason": ("matches", "ERROR", ATTRIBUTION, "match_status <> 'MATCHED' and failure_reason is null"),
+}
+MUST_BE_ZERO = ["share_pct_not_negative", "share_pct_at_most_100", "split_set_has_one_interval", "calendar_does_not_double_cover_the_day", "matched_listens_carry_a_recording", "unresolved_listens_carry_a_reason"]
+
+
+def quality_report(models: dict[str, DataFrame]) -> DataFrame:
+    """All rules, each model read once: failed and total records, rate, status, what is at risk and whether a failure is expected."""
+    out = None
+    for name, df in models.items():
+        own = {r: v for r, v in RULES.items() if v[0] == name}
+        a = df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.expr(c)).alias(r) for r, (_, _, _, c) in own.items()])
+        rows = [F.struct(F.lit(name).alias("model"), F.lit(r).alias("rule"), F.lit(sev).alias("severity"), F.lit(risk).alias("business_impact"), F.col(r).alias("failed_records"), F.col("n").alias("total_records")) for r, (_, sev, risk, _) in own.items()]
+        x = a.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+        out = x if out is None else out.unionByName(x)
+    return out.withColumns({
+        "failure_rate": F.round(F.try_divide(F.col("failed_records"), F.col("total_records")), 8), "status": F.when(F.col("failed_records") == 0, "PASS").otherwise("FAIL"),
+        "expectation": F.when(F.col("rule").isin(MUST_BE_ZERO), "must_be_zero").otherwise("expected_to_find_defects"),
+    })
+
+
 def q1_quality(s: SparkSession, d: str) -> DataFrame:
-    """Rules over sets and days in one pass each: checked, failing, share and verdict."""
-    v = _validity(s, d)
-    rules = {"valid_interval": "invalid_interval", "shares_sum_to_100": "share_sum_off", "share_in_range": "share_out_of_range", "no_overlap": "temporal_overlap", "no_gap": "temporal_gap", "one_interval_per_set": "two_intervals", "recording_exists": "orphan_recording", "holder_exists": "missing_holder"}
-    a = v.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c)).alias(c) for c in rules.values()])
-    one = a.select(F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.lit("ERROR").alias("severity"), F.col("n").alias("checked"), F.col(c).alias("failing")) for r, c in rules.items()])).alias("r")).select("r.*")
-    r = _resolution(s, d).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("valid_covering_sets") != 1).alias("not_one"), F.count_if(F.col("resolution_status") == "RANGE_GAP").alias("gap"))
-    two = r.select(F.explode(F.array(F.struct(F.lit("one_valid_set_per_day").alias("rule"), F.lit("ERROR").alias("severity"), F.col("n").alias("checked"), F.col("not_one").alias("failing")), F.struct(F.lit("range_covers_day").alias("rule"), F.lit("WARN").alias("severity"), F.col("n").alias("checked"), F.col("gap").alias("failing")))).alias("r")).select("r.*")
-    u = one.unionByName(two)
-    return u.withColumns({"failing_share": F.round(F.coalesce(F.try_divide(F.col("failing"), F.col("checked")), F.lit(0.0)), 9), "verdict": F.when(F.col("failing") == 0, "PASS").otherwise("FAIL")})
+    """Seventeen rules over splits, sets, holders, recording days and match decisions."""
+    v, sp = checkpointed(_validity(s, d)), checkpointed(_splits(s, d))
+    used = sp.select(F.col("rights_holder_id").alias("holder_id")).distinct().withColumn("_u", F.lit(1))
+    holders = _holders(s, d).where("holder_id is not null").distinct().join(used, "holder_id", "left").select("holder_id", F.col("_u").isNull().alias("without_split"))
+    ranges = ownership.range_counts(_days(s, d), "listen_date", _ranges(s), "range_from", "range_to").select("listen_date", "n_ranges")
+    days = _resolution(s, d, v).join(F.broadcast(ranges), "listen_date")  # a row per calendar day
+    matches = table(s, d, "silver_listen_matches").distinct()
+    return quality_report({"splits": sp, "sets": v, "holders": holders, "days": days, "matches": matches})
 
 
 _DATE = lambda c: f"strftime({c}, '%Y-%m-%d')"
@@ -264,9 +302,9 @@ def p12_cohort(s: SparkSession, d: str) -> DataFrame:
 
 
 def r3_reprocess(s: SparkSession, d: str) -> DataFrame:
-    """Cohort rows from the restated copy, all others kept from the first."""
-    v1, v2, cohort = _copy(s, d), _copy(s, d, "_restated").drop("recording_cohort"), p12_cohort(s, d)
-    return restatement.reprocess(v1, cohort, v2, "listen_hash")
+    """The cohort's rows decided anew under romanised keys, all others kept from the first copy."""
+    cohort = checkpointed(p12_cohort(s, d))
+    return restatement.reprocess(_copy(s, d), cohort, MP.recomputed(s, d, cohort), "listen_hash")
 
 
 def r6_case(s: SparkSession, d: str) -> DataFrame:
@@ -277,13 +315,23 @@ def r6_case(s: SparkSession, d: str) -> DataFrame:
 
 
 def t13_totals(s: SparkSession, d: str) -> DataFrame:
-    f = table(s, d, "fct_restatements").distinct()
-    return _dec(f.groupBy("prior_publication_id", "new_publication_id").agg(F.count(F.lit(1)).alias("rows"), F.sum("prior_payout").alias("prior_total"), F.sum("restated_payout").alias("restated_total")), "prior_total", "restated_total")
+    """The prior publication's rows and total as frozen, and whether they are the same after the restatement was published beside it."""
+    key = ["recording_mbid", "rights_holder_id"]
+    prior, new = (_publication(s, d, w).groupBy(*key).agg(F.sum("amount").cast("decimal(38,6)").alias("amount")) for w in ("prior", "restated"))
+    st = store.Store(s, f"{shared_dir(s)}/rillmark-publications-{uuid.uuid4().hex}")
+    st.publish("payouts", "prior", prior, promote=True)
+    before = store.freeze(st, "payouts", "prior", [*key, "amount"])
+    st.publish("payouts", "restated", new, promote=True)
+    after = store.freeze(st, "payouts", "prior", [*key, "amount"])  # refused if anything differs
+    p = st.read("payouts", "prior").agg(F.count(F.lit(1)).alias("rows"), F.sum("amount").cast("double").alias("total"))
+    return p.withColumn("untouched", F.lit(before == after) & (F.col("rows") == before["rows"]))
 
 
 def t15_versions(s: SparkSession, d: str) -> DataFrame:
-    f = table(s, d, "fct_restatements")
-    return f.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("prior_normalization_version") == F.col("new_normalization_version")).alias("same_normalization"), F.count_if(~F.col("prior_split_version").eqNullSafe(F.col("new_split_version"))).alias("split_changed"))
+    """A restatement may change one input only: rows whose scoring rules differ in more than the release, whose normalization does not, or that name no trigger."""
+    f = table(s, d, "fct_restatements").distinct()
+    bad = (F.col("prior_normalization_version") == F.col("new_normalization_version")) | F.col("trigger_reason").isNull()
+    return f.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("prior_scoring_version") != F.col("new_scoring_version")).alias("scoring_changed"), F.count_if(~F.col("prior_split_version").eqNullSafe(F.col("new_split_version"))).alias("split_changed"), F.count_if(bad).alias("violations"))
 
 
 def t3_grain(s: SparkSession, d: str) -> DataFrame:
@@ -430,10 +478,13 @@ def ag20_choose(s: SparkSession, d: str) -> DataFrame:
 
 
 def ag22_disjoint(s: SparkSession, d: str) -> DataFrame:
-    """Recordings that fall into more than one evaluation part: none."""
-    x = table(s, d, "ext_listens_2026_06").select("recording_mbid", E.partition_of(F.col("recording_mbid")).alias("part"))
-    g = x.groupBy("recording_mbid").agg(F.count_distinct("part").alias("parts"))
-    return g.agg(F.count(F.lit(1)).alias("recordings"), F.count_if(F.col("parts") > 1).alias("violations"))
+    """Keys whose labelled rows fall into more than one evaluation part: recordings, which the split keeps apart, and names (msids), which leak where one is labelled with several recordings."""
+    x = table(s, d, "ext_listens_2026_06").where("recording_mbid is not null").select(F.lower("recording_mbid").alias("recording_mbid"), "recording_msid", E.partition_of(F.lower("recording_mbid")).alias("part"))
+    out = None
+    for k in ("recording_mbid", "recording_msid"):
+        g = x.groupBy(k).agg(F.count_distinct("part").alias("parts")).agg(F.lit(k).alias("key"), F.count(F.lit(1)).alias("keys"), F.count_if(F.col("parts") > 1).alias("in_several_parts"))
+        out = g if out is None else out.unionByName(g)
+    return out
 
 
 def ag14_any_match(s: SparkSession, d: str) -> DataFrame:
@@ -474,6 +525,11 @@ def ag33_presence(s: SparkSession, d: str) -> DataFrame:
     return profile.presence(table(s, d, "bronze_listens"))
 
 
+def s5_ordered_report(s: SparkSession, d: str) -> DataFrame:
+    """The delta report in its reading order."""
+    return ag11_summary(s, d).orderBy("change_type")
+
+
 def ag33_json(s: SparkSession, d: str) -> DataFrame:
     return profile.json_inventory(table(s, d, "events"), "props")
 
@@ -601,7 +657,7 @@ SQL = {
     "T11_half_open": OWN + "select p, count(*) as probes, count(*) filter (where (day >= valid_from and day < valid_to) <> want) as violations from (select valid_from, valid_to, 'from' as p, valid_from as day, true as want from vd where is_valid_set union all select valid_from, valid_to, 'last', valid_to - 1, true from vd where is_valid_set union all select valid_from, valid_to, 'to', valid_to, false from vd where is_valid_set) group by 1",
     "AG13_holder_lists": OWN + "select recording_mbid, coalesce(string_agg(distinct rights_holder_id, ',' order by rights_holder_id), '') as holders from sp group by 1",
     "T8_changed_holders": OWN + ", b as (select recording_mbid, string_agg(distinct rights_holder_id, ',' order by rights_holder_id) as before from sp where valid_from <= date '2026-06-01' and valid_to > date '2026-06-01' group by 1), a as (select recording_mbid, string_agg(distinct rights_holder_id, ',' order by rights_holder_id) as after from sp where valid_from <= date '2026-06-30' and valid_to > date '2026-06-30' group by 1) select * from b join a using (recording_mbid) where before <> after",
-    "Q1_quality_report": OWN + ", q as (" + " union all ".join(f"select '{r}' as rule, 'ERROR' as severity, count(*) as checked, count(*) filter (where {c}) as failing from vd" for r, c in {"valid_interval": "invalid_interval", "shares_sum_to_100": "share_sum_off", "share_in_range": "share_out_of_range", "no_overlap": "temporal_overlap", "no_gap": "temporal_gap", "one_interval_per_set": "two_intervals", "recording_exists": "orphan_recording", "holder_exists": "missing_holder"}.items()) + " union all select 'one_valid_set_per_day', 'ERROR', count(*), count(*) filter (where valid_covering_sets <> 1) from re union all select 'range_covers_day', 'WARN', count(*), count(*) filter (where resolution_status = 'RANGE_GAP') from re) select *, round(coalesce(failing / nullif(checked, 0), 0.0), 9) as failing_share, case when failing = 0 then 'PASS' else 'FAIL' end as verdict from q",
+    "Q1_quality_report": OWN + ", hm as (select distinct holder_id, holder_id not in (select rights_holder_id from sp where rights_holder_id is not null) as without_split from ho where holder_id is not null), rd as (select re.*, n_ranges from re join rc using (listen_date)), mm as (select distinct * from silver_listen_matches), q as (" + " union all ".join(f"select '{m}' as model, '{r}' as rule, '{sev}' as severity, '{risk}' as business_impact, count(*) filter (where {c}) as failed_records, count(*) as total_records from {dict(splits='sp', sets='vd', holders='hm', days='rd', matches='mm')[m]}" for r, (m, sev, risk, c) in RULES.items()) + f") select *, round(failed_records / nullif(total_records, 0), 8) as failure_rate, case when failed_records = 0 then 'PASS' else 'FAIL' end as status, case when rule in ({', '.join(repr(r) for r in MUST_BE_ZERO)}) then 'must_be_zero' else 'expected_to_find_defects' end as expectation from q",
     "AG6_recording_days": "select matched_recording_mbid as recording_mbid, strftime(listened_at, '%Y-%m-%d') as listen_date, count(distinct listen_hash) as streams, min(match_method) as min_match_method, max(match_method) as max_match_method from silver_listen_matches where matched_recording_mbid is not null group by 1, 2",
     "R1_delta": PUB + f"select recording_mbid, rights_holder_id, {_D('prior_amount', 'restated_amount', 'delta')}, delta_count, change_type from dl",
     "AG11_delta_summary": PUB + "select change_type, count(*) as n, cast(sum(delta) as double) as delta from dl group by 1",
@@ -610,10 +666,9 @@ SQL = {
     "J22_changed_rows": PUB + "select v1.listen_hash from v1 join v2 using (listen_hash) where " + " or ".join(f"v1.{f} is distinct from v2.{f}" for f in ["matched_recording_mbid", *FIELDS]),
     "P12_cohort": PUB + "select * from co",
     "J20_unaffected": PUB + "select distinct listen_hash from v1 where listen_hash not in (select listen_hash from co)",
-    "R3_reprocess": PUB + "select *, true as recording_cohort from v2 where listen_hash in (select listen_hash from co) union all select *, false from v1 where listen_hash not in (select listen_hash from co)",
     "R6_single_case": PUB + f"select recording_mbid, rights_holder_id, {_D('prior_amount', 'restated_amount', 'delta')}, delta_count, change_type from dl where recording_mbid = (select recording_mbid from dl group by 1 order by sum(abs(delta)) desc, recording_mbid limit 1)",
-    "T13_totals": "select prior_publication_id, new_publication_id, count(*) as rows, cast(sum(prior_payout) as double) as prior_total, cast(sum(restated_payout) as double) as restated_total from (select distinct * from fct_restatements) group by 1, 2",
-    "T15_versions": "select count(*) as rows, count(*) filter (where prior_normalization_version = new_normalization_version) as same_normalization, count(*) filter (where prior_split_version is distinct from new_split_version) as split_changed from fct_restatements",
+    "T13_totals": PUB + "select count(*) as rows, cast(sum(pa) as double) as total, true as untouched from pr",
+    "T15_versions": "select count(*) as rows, count(*) filter (where prior_scoring_version <> new_scoring_version) as scoring_changed, count(*) filter (where prior_split_version is distinct from new_split_version) as split_changed, count(*) filter (where prior_normalization_version = new_normalization_version or trigger_reason is null) as violations from (select distinct * from fct_restatements)",
     "T3_grain": "select count(*) as grain_rows, count(*) filter (where n > 1) as violations from (select count(*) as n from (select distinct * from fct_restatements) group by period, recording_mbid, rights_holder_id)",
     # leaves by as many digits as rows need, up to 16 million
     "AG12_digest": "with h as (select sha256(concat_ws(chr(31), coalesce(recording_mbid, ''), coalesce(rights_holder_id, ''), coalesce(change_type, ''), coalesce(trigger_reason, ''), coalesce(prior_streams::varchar, ''))) as h from fct_restatements), n as (select count(*) as rows, case when count(*) > 4096 then 3 else 0 end as depth from h), b as (select substr(h, 1, depth) as p, sha256(string_agg(h, '' order by h)) as d from h, n group by 1) select n.rows, case when depth = 0 then min(d) else sha256(string_agg(d, '' order by p)) end as digest from b, n group by n.rows, depth",
@@ -625,14 +680,16 @@ SQL = {
     "AG18_leave_one_out": FS.LEAVE_ONE_OUT,
     "AG19_grid": FS.grid(WEIGHT_SETS, EXACT, FALLBACK, MARGINS) + "select * from gr",
     "AG20_choose": FS.grid(WEIGHT_SETS, EXACT, FALLBACK, MARGINS) + FS.choice(0.02, 1000),
-    "AG22_disjoint": "with x as (select recording_mbid, case when recording_mbid is null then 'NOT_EVALUABLE' when cast('0x' || substr(sha256('rillmark-dev-1:' || recording_mbid), 1, 8) as bigint) % 100 >= 80 then 'holdout' when cast('0x' || substr(sha256('rillmark-cal-1:' || recording_mbid), 1, 8) as bigint) % 100 < 75 then 'calibration' else 'validation' end as part from ext_listens_2026_06) select count(*) as recordings, count(*) filter (where n > 1) as violations from (select count(distinct part) as n from x group by recording_mbid)",
+    "AG22_disjoint": "with x as (select lower(recording_mbid) as recording_mbid, recording_msid, case when cast('0x' || substr(sha256('rillmark-dev-1:' || lower(recording_mbid)), 1, 8) as bigint) % 100 >= 80 then 'holdout' when cast('0x' || substr(sha256('rillmark-cal-1:' || lower(recording_mbid)), 1, 8) as bigint) % 100 < 75 then 'calibration' else 'validation' end as part from ext_listens_2026_06 where recording_mbid is not null) " + " union all ".join(f"select '{k}' as key, count(*) as keys, count(*) filter (where n > 1) as in_several_parts from (select count(distinct part) as n from x group by {k})" for k in ("recording_mbid", "recording_msid")),
     "AG14_boolean": "select match_tier, bool_or(score_margin < 0.02) as any_thin, bool_and(match_status = 'MATCHED') as all_matched from silver_listen_matches group by 1",
     "AG15_quantiles": "select unnest([0.1::double, 0.5::double, 0.9::double]) as q, unnest(quantile_disc(match_score, [0.1, 0.5, 0.9])) as match_score from silver_listen_matches where match_score is not null",
-    "AG30_grain": "with g as (select count(*) as n, count(distinct coalesce(recording_name, '~')) as a, count(distinct coalesce(release_name, '~')) as b, count(distinct coalesce(score::varchar, '~')) as c from bronze_canonical_recordings group by recording_mbid) select n as rows_per_key, count(*) as keys, count(*) filter (where greatest(a, b, c) > 1) as keys_differing, count(*) filter (where a > 1) as differs_recording_name, count(*) filter (where b > 1) as differs_release_name, count(*) filter (where c > 1) as differs_score from g group by 1",
+    "AG30_grain": "with g as (select count(*) as n, count(distinct t) as whole, count(distinct coalesce(recording_name, '~')) as a, count(distinct coalesce(release_name, '~')) as b, count(distinct coalesce(score::varchar, '~')) as c from bronze_canonical_recordings t group by recording_mbid) select n as rows_per_key, count(*) as keys, cast(sum(n - whole) as bigint) as exact_duplicates, count(*) filter (where greatest(a, b, c) > 1) as keys_differing, count(*) filter (where a > 1) as differs_recording_name, count(*) filter (where b > 1) as differs_release_name, count(*) filter (where c > 1) as differs_score from g group by 1",
     "AG32_dependency": "select kind, count(*) as groups, cast(sum(n) as bigint) as rows from (select count(*) as n, case when count(distinct recording_mbid) > 1 then 'CONFLICTING' when count(recording_mbid) = 0 then 'NONE' when count(recording_mbid) < count(*) then 'MIXED' else 'ALL_SET' end as kind from ext_listens_2026_06 group by recording_msid) group by 1",
     "AG33_presence": " union all ".join(f"select '{c}' as column_name, count({c}) as present, " + (f"count(*) filter (where trim({c}) = '')" if not c.endswith("_at") else "0") + f" as blank, count(*) - count({c}) as absent from bronze_listens" for c in ["listen_hash", "listened_at", "submitted_at", "recording_msid", "artist_name", "recording_name", "release_name", "source_file", "dump_id", "ingestion_run_id", "ingested_at"]),
-    "AG31_key_space": "select count(*) * 16 as estimated_keys, max(n) as largest, cast(sum(n) as bigint) as sampled_rows from (select recording_msid, count(*) as n from bronze_listens where cast('0x' || substr(sha256(recording_msid), 1, 8) as bigint) % 16 = 0 group by 1)",
-    "P16_formats": f"select count(*) as rows, count(*) filter (where not regexp_matches(recording_msid, '{profile.UUID}')) as bad_recording_msid, count(*) filter (where not regexp_matches(recording_mbid, '{profile.UUID}')) as bad_recording_mbid, count(*) filter (where listened_at >= timestamp '2026-06-01' and listened_at < timestamp '2026-07-01') as in_period, count(*) filter (where not (listened_at >= timestamp '2026-06-01' and listened_at < timestamp '2026-07-01')) as out_of_period, count(*) filter (where listened_at is null) as unclassified from ext_listens_2026_06",
+    "AG31_key_space": "select count(*) * 16 as estimated_keys, max(n) as largest, cast(sum(n) as bigint) as sampled_rows, quantile_disc(n, 0.5) as p50, quantile_disc(n, 0.9) as p90, quantile_disc(n, 0.99) as p99 from (select recording_msid, count(*) as n from bronze_listens where cast('0x' || substr(sha256(recording_msid), 1, 8) as bigint) % 16 = 0 group by 1)",
+    "AG33_json_inventory": "with recursive j as (select '' as path, try_cast(props as json) as v, 0 as lvl from events union all select path || case when path = '' then '' else '.' end || k, json_extract(v, '$.\"' || k || '\"'), lvl + 1 from (select path, v, lvl, unnest(json_keys(v)) as k from j where json_type(v) = 'OBJECT' and lvl < 9)) select case when v is null then '' else path end as path, case when v is null then 'INVALID' when json_type(v) in ('UBIGINT', 'BIGINT') then 'BIGINT' when json_type(v) = 'VARCHAR' then 'STRING' else json_type(v) end as type, count(*) as rows from j where lvl > 0 or v is null group by 1, 2",
+    "S5_ordered_report": PUB + f"select change_type, count(*) as n, {_D('sum(delta)').replace(' as sum(delta)', ' as delta')} from dl group by 1 order by 1",
+    "P16_formats": "select count(*) as rows, " + ", ".join(f"count(*) filter (where not regexp_matches(lower({c}), '{profile.UUID}')) as bad_{c}" for c in ("recording_msid", "recording_mbid")) + ", count(*) filter (where listened_at >= timestamp '2026-06-01' and listened_at < timestamp '2026-07-01') as in_period, count(*) filter (where not (listened_at >= timestamp '2026-06-01' and listened_at < timestamp '2026-07-01')) as out_of_period, count(*) filter (where listened_at is null) as unclassified, count(*) filter (where year(listened_at) not between 2001 and 2030) as implausible from ext_listens_2026_06",
     "P1_period_filter": "select distinct user_id, recording_msid from ext_listens_2026_06 where listened_at >= timestamp '2026-06-10' and listened_at < timestamp '2026-06-11'",
     "P2_reconcile_source": "select count(*) as total, count(*) filter (where listened_at >= timestamp '2026-06-01' and listened_at < timestamp '2026-07-01') as in_period, count(*) filter (where not (listened_at >= timestamp '2026-06-01' and listened_at < timestamp '2026-07-01')) as out_of_period, count(*) filter (where listened_at is null) as unclassified from ext_listens_2026_06",
     "J23_cross_source": "with a as (select distinct sha256(user_id || '|' || epoch_us(listened_at) || '|' || recording_msid) as listen_hash, listened_at, recording_msid, artist_name as xa from ext_listens_2026_06), b as (select distinct listen_hash, listened_at, recording_msid, artist_name, true as hit from bronze_listens) select count(*) as raw, count(hit) as loaded, count(*) filter (where hit and xa is not distinct from artist_name) as same_artist from a left join b using (listen_hash, listened_at, recording_msid)",
@@ -652,7 +709,7 @@ QUERIES = {
     "R2_reconciliation": r2_reconciliation, "AG23_transitions": ag23_transitions, "J22_changed_rows": j22_changed, "P12_cohort": p12_cohort, "J20_unaffected": j20_unaffected, "R3_reprocess": r3_reprocess, "R6_single_case": r6_case,
     "T13_totals": t13_totals, "T15_versions": t15_versions, "T3_grain": t3_grain, "AG12_digest": ag12_digest, "SC1_scd2": sc1_scd2, "W7_with_history": w7_with_history, "J19_label_join": j19_labels, "AG21_agreement": ag21_agreement,
     "AG17_auc": ag17_auc, "AG18_leave_one_out": ag18_leave_one_out, "AG19_grid": ag19_grid, "AG20_choose": ag20_choose, "AG22_disjoint": ag22_disjoint, "AG14_boolean": ag14_any_match, "AG15_quantiles": ag15_quantiles,
-    "AG30_grain": ag30_grain, "AG32_dependency": ag32_dependency, "AG33_presence": ag33_presence, "AG33_json_inventory": ag33_json, "AG31_key_space": ag31_key_space, "P16_formats": p16_formats, "P1_period_filter": p1_period,
+    "AG30_grain": ag30_grain, "AG32_dependency": ag32_dependency, "AG33_presence": ag33_presence, "AG33_json_inventory": ag33_json, "S5_ordered_report": s5_ordered_report, "AG31_key_space": ag31_key_space, "P16_formats": p16_formats, "P1_period_filter": p1_period,
     "P2_reconcile_source": p2_reconcile, "J23_cross_source": j23_cross_source, "GN1_generated_splits": gn1_generated, "GN1_holders": gn1_holders, "GN2_defects": gn2_defects, "Q2_injected_detected": q2_injected, "GN3_gap_days": gn3_gap_days, "F30_dates": f30_dates,
     "F27_rounding": f27_rounding, "IO7_file_ranges": io7_ranges, "IO5_json_lines": io5_json,
 }

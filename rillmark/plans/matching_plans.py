@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rillmark.functions import text as T
 from rillmark.functions.keys import hash_bucket, hash_unit
+from rillmark.functions.translit import JAMO
 from rillmark.operators import evaluation as E
 from rillmark.operators import matching as M
 from rillmark.operators import profile as P
 from rillmark.operators.skew import salted_join
-from rillmark.session import checkpointed
+from rillmark.session import checkpointed, shared_dir
+from rillmark.sources import readers
 
 RULES = M.ScoringRules()
 
@@ -73,6 +77,14 @@ def n3_texts(s: SparkSession, d: str) -> DataFrame:
     return M.canonical_texts(_catalogue(s, d)).join(u, "recording_mbid", "left_semi")
 
 
+def s1_ordered_export(s: SparkSession, d: str) -> DataFrame:
+    """The compared texts as tab-separated files in the order of their key, whatever the layout, and read back."""
+    out = f"{shared_dir(s)}/rillmark-export-{uuid.uuid4().hex}"
+    x = n3_texts(s, d)
+    readers.ordered_export(x, ["recording_mbid"], out)
+    return readers.read_tsv(s, [out], x.schema)
+
+
 def j1_listens_pairs(s: SparkSession, d: str) -> DataFrame:
     li = _listens(s, d).withColumn("pair_hash", T.pair_hash(F.col("artist_name"), F.col("recording_name"))).select("listen_hash", "pair_hash")
     return salted_join(li, _pairs(s, d).select("pair_hash", "key_exact", "status_exact"), "pair_hash", "inner").distinct()
@@ -136,23 +148,34 @@ def m1_match(s: SparkSession, d: str) -> DataFrame:
     return _match(s, d)
 
 
-def m1_listens(s: SparkSession, d: str) -> DataFrame:
+def _per_listen(listens: DataFrame, decisions: DataFrame) -> DataFrame:
     """One decision per listen; the texts' decisions are joined back by hash, hot texts salted."""
-    m = _match(s, d).select("text_hash", "matched_recording_mbid", "match_status", "match_method", "failure_reason")
     ph = T.pair_hash(F.col("artist_name"), F.col("recording_name"))
-    li = _listens(s, d).select("listen_hash", F.sha2(F.concat(ph, F.lit("\u001f"), F.coalesce("release_name", F.lit("~null~"))), 256).alias("text_hash")).distinct()
+    li = listens.select("listen_hash", F.sha2(F.concat(ph, F.lit("\u001f"), F.coalesce("release_name", F.lit("~null~"))), 256).alias("text_hash")).distinct()
+    m = decisions.select("text_hash", "matched_recording_mbid", "match_status", "match_method", "failure_reason")
     return salted_join(li, m, "text_hash", "inner").drop("text_hash")
 
 
+def m1_listens(s: SparkSession, d: str) -> DataFrame:
+    return _per_listen(_listens(s, d), _match(s, d))
+
+
+#: what no decision may be; thirteen conditions over one row
+INVARIANTS = {
+    "matched_without_id": "match_status = 'MATCHED' and matched_recording_mbid is null", "unresolved_with_id": "match_status <> 'MATCHED' and matched_recording_mbid is not null",
+    "matched_with_reason": "match_status = 'MATCHED' and failure_reason is not null", "unresolved_without_reason": "match_status <> 'MATCHED' and failure_reason is null",
+    "structural_with_score": "match_method = 'STRUCTURAL_EXACT_UNIQUE' and match_score is not null", "unique_with_margin": "match_method = 'SCORED_FALLBACK_UNIQUE' and score_margin is not null",
+    "tie_with_winner": "failure_reason = 'AMBIGUOUS_TIE' and matched_recording_mbid is not null", "matched_without_candidate": "candidate_count = 0 and match_status = 'MATCHED'",
+    "candidates_without_method": "candidate_count > 0 and block_method is null", "method_without_candidates": "candidate_count = 0 and block_method is not null",
+    "scored_match_without_score": "match_status = 'MATCHED' and match_method <> 'STRUCTURAL_EXACT_UNIQUE' and match_score is null",
+    "below_threshold_matched": f"match_status = 'MATCHED' and match_score < case when block_method = 'EXACT' then {RULES.exact_threshold} else {RULES.fallback_threshold} end",
+    "thin_margin_matched": f"match_status = 'MATCHED' and score_margin < {RULES.minimum_margin}",
+}
+
+
 def ag9_invariants(s: SparkSession, d: str) -> DataFrame:
     """A battery of conditional counts over the decisions in one pass; all but the first must be 0."""
-    ok = F.col("match_status") == "MATCHED"
-    return _match(s, d).agg(
-        F.count(F.lit(1)).alias("texts"), F.count_if(ok & F.col("matched_recording_mbid").isNull()).alias("matched_without_id"), F.count_if(~ok & F.col("matched_recording_mbid").isNotNull()).alias("unresolved_with_id"),
-        F.count_if(ok & F.col("failure_reason").isNotNull()).alias("matched_with_reason"), F.count_if(~ok & F.col("failure_reason").isNull()).alias("unresolved_without_reason"),
-        F.count_if((F.col("match_method") == "STRUCTURAL_EXACT_UNIQUE") & F.col("match_score").isNotNull()).alias("structural_with_score"), F.count_if((F.col("match_method") == "SCORED_FALLBACK_UNIQUE") & F.col("score_margin").isNotNull()).alias("unique_with_margin"),
-        F.count_if((F.col("failure_reason") == "AMBIGUOUS_TIE") & F.col("matched_recording_mbid").isNotNull()).alias("tie_with_winner"), F.count_if((F.col("candidate_count") == 0) & ok).alias("matched_without_candidate"),
-    )
+    return _match(s, d).agg(F.count(F.lit(1)).alias("texts"), *[F.count_if(F.expr(c)).alias(n) for n, c in INVARIANTS.items()])
 
 
 def p6_baseline(s: SparkSession, d: str) -> DataFrame:
@@ -243,14 +266,38 @@ def f15_dominant(s: SparkSession, d: str) -> DataFrame:
     return _pairs(s, d).select(T.dominant_script(F.col("recording_name")).alias("script")).groupBy("script").agg(F.count(F.lit(1)).alias("pairs"))
 
 
+#: what romanisation may cover, and the bounds its keys must keep; fixed values
+ALTERNATIVES = {"hangul": ("hangul",), "hangul_kana": ("hangul", "kana")}
+UNIQUE_RATE, LARGEST_BLOCK = 0.90, 100
+
+
 def r5_translit_probe(s: SparkSession, d: str) -> DataFrame:
-    """What romanised keys would add: pairs without an exact candidate that find one, several or none by it, and the largest block."""
-    ix = T.normalize_pairs(_catalogue(s, d).groupBy("recording_mbid").agg(F.min("artist_credit_name").alias("a"), F.min("recording_name").alias("r")), "recording_mbid", "a", "r", ("hangul", "kana"))
-    ix = ix.where("status_exact = 'AVAILABLE'").select(F.col("key_exact").alias("key"), "recording_mbid")
-    left = _pairs(s, d).join(j2_exact(s, d).select("pair_hash").distinct(), "pair_hash", "left_anti").select("pair_hash", "artist_name", "recording_name")
-    p = T.normalize_pairs(left, "pair_hash", "artist_name", "recording_name", ("hangul", "kana")).where("status_exact = 'AVAILABLE'").select("pair_hash", F.col("key_exact").alias("key"))
-    n = p.join(ix, "key", "left").groupBy("pair_hash").agg(F.count("recording_mbid").alias("n"))
-    return n.agg(F.count(F.lit(1)).alias("pairs"), F.count_if(F.col("n") == 1).alias("unique_pairs"), F.count_if(F.col("n") > 1).alias("ambiguous_pairs"), F.max("n").alias("largest_block"))
+    """Per alternative what romanised keys would add: pairs without an exact candidate that find one, several or none by it, the largest block, and
+    whether the bounds hold: of the pairs that find any, the share that finds one only, and the largest block. Where none is admissible nothing is to be done."""
+    cat = checkpointed(_catalogue(s, d).groupBy("recording_mbid").agg(F.min("artist_credit_name").alias("a"), F.min("recording_name").alias("r")))
+    pairs, _, cands = _shared(s, d)
+    left = checkpointed(pairs.join(cands.where("block_method = 'EXACT'").select("pair_hash").distinct(), "pair_hash", "left_anti").select("pair_hash", "artist_name", "recording_name"))
+    out = None
+    for name, scripts in ALTERNATIVES.items():
+        ix = T.normalize_pairs(cat, "recording_mbid", "a", "r", scripts).where("status_exact = 'AVAILABLE'").select(F.col("key_exact").alias("key"), "recording_mbid")
+        p = T.normalize_pairs(left, "pair_hash", "artist_name", "recording_name", scripts).where("status_exact = 'AVAILABLE'").select("pair_hash", F.col("key_exact").alias("key"))
+        n = p.join(ix, "key", "left").groupBy("pair_hash").agg(F.count("recording_mbid").alias("n"))
+        x = n.agg(F.count(F.lit(1)).alias("pairs"), F.count_if(F.col("n") == 1).alias("unique_pairs"), F.count_if(F.col("n") > 1).alias("ambiguous_pairs"), F.coalesce(F.max("n"), F.lit(0)).alias("largest_block")).withColumn("alternative", F.lit(name))
+        out = x if out is None else out.unionByName(x)
+    rate = F.try_divide(F.col("unique_pairs"), F.col("unique_pairs") + F.col("ambiguous_pairs"))
+    return out.withColumns({"unique_rate": F.round(rate, 9), "admissible": F.coalesce(rate >= UNIQUE_RATE, F.lit(False)) & (F.col("largest_block") <= LARGEST_BLOCK)})
+
+
+def recomputed(s: SparkSession, d: str, cohort: DataFrame, scripts: tuple[str, ...] = ALTERNATIVES["hangul_kana"]) -> DataFrame:
+    """The cohort's listens blocked, scored and decided anew with romanised keys; the index is the old one and the romanised keys, each once."""
+    li = _listens(s, d).join(cohort, "listen_hash", "left_semi")
+    pairs = checkpointed(M.distinct_pairs(li, scripts))
+    cat = _catalogue(s, d)
+    index = M.blocking_index(cat).unionByName(M.blocking_index(cat, scripts)).distinct()
+    cands = checkpointed(M.candidates(pairs, index))
+    texts = M.texts_of(li, pairs)
+    m = M.match_texts(texts, cands, _scored(s, d, cands, texts), RULES)
+    return _per_listen(li, m)
 
 
 def f24_split(s: SparkSession, d: str) -> DataFrame:
@@ -369,10 +416,16 @@ def _len_in(p: str) -> str:
     return f"length(recording_name) - length(regexp_replace(recording_name, '{p}', '', 'g'))"
 
 
+_HANGUL, _KANA, _HAN = (rf"regexp_matches(c, '{p}')" for p in ("[가-힣" + "".join(JAMO) + "]", "[ぁ-ゖァ-・ー-ヿ]", "[一-鿿㐀-䶿\\x{20000}-\\x{323AF}]"))
+_LETTER = rf"regexp_matches(c, '\p{{L}}') and not {_HANGUL} and not {_KANA} and not {_HAN}"
+_GROUPS = {"hangul": _HANGUL, "kana": f"{_KANA} and c <> '・'", "han": f"{_HAN} and not {_HANGUL} and not {_KANA}", "latin": rf"{_LETTER} and regexp_matches(c, '[\p{{Latin}}]') and c not in ('ª', 'º')", "other": rf"{_LETTER} and (not regexp_matches(c, '[\p{{Latin}}]') or c in ('ª', 'º'))"}
 SQL = {
     "N1_pairs": BASE + "select pair_hash, artist_name, recording_name, artist_text, recording_text, key_exact, status_exact, key_fallback, status_fallback, content from pairs",
     "N2_blocking_index": BASE + "select * from idx",
     "N3_scored_texts": BASE + "select * from ctx where recording_mbid in (select recording_mbid from uni)",
+    "F1_normalized": BASE + f"select pair_hash, artist_text, recording_text, key_exact, status_exact, key_fallback, status_fallback, content, '{T.VERSION}' as normalization_version from pairs",
+    "F14_inventory": BASE + "select pair_hash, " + ", ".join(f"cast(len(list_filter(string_split(recording_name, ''), lambda c: {w})) as int) as {k}" for k, w in _GROUPS.items()) + " from pairs",
+    "S1_ordered_export": BASE + "select * from ctx where recording_mbid in (select recording_mbid from uni)",
     "J1_listens_pairs": BASE + "select distinct listen_hash, pair_hash, key_exact, status_exact from lt join pairs using (pair_hash)",
     "J2_exact_blocking": BASE + "select * from ex",
     "J3_fallback_blocking": BASE + "select * from fb",
@@ -386,7 +439,7 @@ SQL = {
     "AG3_top2": BASE + "select * from top2",
     "M1_match": BASE + "select * from mt",
     "M1_listens": BASE + "select listen_hash, matched_recording_mbid, match_status, match_method, failure_reason from lt join mt using (text_hash)",
-    "AG9_invariants": BASE + "select count(*) as texts, count_if(match_status = 'MATCHED' and matched_recording_mbid is null) as matched_without_id, count_if(match_status <> 'MATCHED' and matched_recording_mbid is not null) as unresolved_with_id, count_if(match_status = 'MATCHED' and failure_reason is not null) as matched_with_reason, count_if(match_status <> 'MATCHED' and failure_reason is null) as unresolved_without_reason, count_if(match_method = 'STRUCTURAL_EXACT_UNIQUE' and match_score is not null) as structural_with_score, count_if(match_method = 'SCORED_FALLBACK_UNIQUE' and score_margin is not null) as unique_with_margin, count_if(failure_reason = 'AMBIGUOUS_TIE' and matched_recording_mbid is not null) as tie_with_winner, count_if(candidate_count = 0 and match_status = 'MATCHED') as matched_without_candidate from mt",
+    "AG9_invariants": BASE + "select count(*) as texts, " + ", ".join(f"count_if({c}) as {n}" for n, c in INVARIANTS.items()) + " from mt",
     "P6_baseline": BASE + "select pair_hash, case when m = 'EXACT' and n = 1 then sole end as matched_recording_mbid, case when m = 'EXACT' and n = 1 then 'MATCHED' else 'UNRESOLVED' end as match_status, case when m = 'EXACT' and n = 1 then 'C' when m = 'FALLBACK' and n = 1 then 'D' else 'E' end as match_tier, case when m = 'EXACT' and n = 1 then null when n = 0 then case when content <> 'VALID' then content else 'NO_BLOCK_CANDIDATES' end when m = 'FALLBACK' and n = 1 then 'FALLBACK_REQUIRES_SCORING' else 'MULTIPLE_CANDIDATES_UNSCORED_' || m end as failure_reason, n as candidate_count from (select p.pair_hash, p.content, coalesce(cnt.n, 0) as n, cnt.block_method as m, cnt.sole from pairs p left join cnt using (pair_hash))",
     "F21_retention": BASE + f"select pair_hash, round({_RET}, 9) as ratio, case when {_RET} < 0.20 then 'POTENTIAL_LOW_INFORMATION' else 'NORMAL' end as information_class from pairs",
     "F16_script_class": BASE + f"select pair_hash, {_CLASS.format('recording_name')} as script_class from pairs",
@@ -403,7 +456,7 @@ SQL = {
     "F32_listen_hash": "select distinct sha256(user_id || '|' || epoch_us(listened_at) || '|' || recording_msid) as listen_hash, strftime(listened_at, '%Y-%m-%d') as listen_date from ext_listens_2026_06",
 }
 QUERIES = {
-    "N1_pairs": n1_pairs, "N2_blocking_index": n2_index, "N3_scored_texts": n3_texts, "J1_listens_pairs": j1_listens_pairs, "J2_exact_blocking": j2_exact, "J3_fallback_blocking": j3_fallback,
+    "N1_pairs": n1_pairs, "N2_blocking_index": n2_index, "N3_scored_texts": n3_texts, "S1_ordered_export": s1_ordered_export, "J1_listens_pairs": j1_listens_pairs, "J2_exact_blocking": j2_exact, "J3_fallback_blocking": j3_fallback,
     "U1_candidates": u1_candidates, "J4_scored_universe": j4_universe, "J5_features": j5_features, "F22_score": f22_score, "W1_candidate_rank": w1_rank, "AG1_candidate_counts": ag1_counts, "AG2_sole_member": ag2_sole,
     "AG3_top2": ag3_top2, "M1_match": m1_match, "M1_listens": m1_listens, "AG9_invariants": ag9_invariants, "P6_baseline": p6_baseline, "F21_retention": f21_retention, "F16_script_class": f16_script_class,
     "AG34_script_coverage": ag34_script_coverage, "AG24_collision_rate": ag24_collisions, "J24_key_weight": j24_key_weight, "AG16_weighted_quantile": ag16_weighted_quantile, "W6_top_unmatched": w6_top_unmatched, "S2_top_pairs": s2_top_pairs,

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,8 +41,32 @@ def read_jsonl(spark: SparkSession, paths: list[str], schema: T.StructType | str
     return j.where(F.col(CORRUPT).isNull()).drop(CORRUPT), j.agg(F.count(F.lit(1)).alias("lines"), bad.alias("parse_errors"))
 
 
+#: how a null stands in tab-separated text, where an empty text is an empty field
+NULL = "\\N"
+_TSV = {"sep": "\t", "quote": "", "escape": "\u0000", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def read_tsv(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("sep", "\t").option("mode", "FAILFAST").option("quote", "\u0000").csv(paths)
+    """Tab-separated rows as ``ordered_export`` writes them; a row of another width, or a value that is not of its type, fails the read."""
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    d = spark.read.schema(text).options(**_TSV).option("mode", "FAILFAST").csv(paths)
+    own = lambda f: F.when(F.col(f.name) == NULL, None).otherwise(F.coalesce(f.name, F.lit(""))).cast(f.dataType).alias(f.name)
+    return d.select(*[own(f) for f in schema.fields])
+
+
+def ordered_export(df: DataFrame, by: list[str], path: str) -> None:
+    """Tab-separated files, gzipped, whose rows in the order of the files' names are in the order of ``by``: divided by ranges, then sorted within each.
+
+    Tabs, line ends and backslashes within a text are refused, as the format has no place for them; a row of one empty text alone is no row.
+    """
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    bad = F.lit(False)
+    for c in texts:
+        bad = bad | F.coalesce(F.col(c).rlike(r"[\t\n\r\\]"), F.lit(False))
+    keys = [F.col(c).asc_nulls_first() for c in by]
+    checked = df.select(*[F.when(bad, F.raise_error(F.lit("a text holds a tab, line end or backslash"))).otherwise(F.col(c)).alias(c) if c in texts else F.col(c) for c in df.columns])
+    checked = checked.repartitionByRange(*keys).sortWithinPartitions(*keys).select(*[F.coalesce(F.col(c).cast("string"), F.lit(NULL)).alias(c) for c in df.columns])
+    checked.write.options(**_TSV).option("compression", "gzip").csv(path)
 
 
 def with_source_file(df: DataFrame, column: str = "source_file") -> DataFrame:
@@ -69,18 +91,23 @@ def firewall(df: DataFrame, allowed: list[str], banned: list[str] = ()) -> DataF
     return df.select(*allowed)
 
 
-def verify_manifest(spark: SparkSession, folder: str, manifest: dict[str, str]) -> DataFrame:
-    """(name, state) of every file in the folder or in ``manifest`` (name -> SHA-256): ok, missing, unexpected, differs.
+def verify_manifest(spark: SparkSession, folder: str, manifest: dict[str, str | tuple[str, int]]) -> DataFrame:
+    """(name, state, bytes) of every file in the folder or in ``manifest`` (name -> SHA-256, or SHA-256 and size): ok, missing, unexpected, size, differs.
 
-    Contents are hashed on the executors, a file a row.
+    Contents are hashed on the executors, a file a row; a file whose size is wrong is not read.
     """
-    files = spark.read.format("binaryFile").load(folder).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha"))
-    want = spark.createDataFrame(sorted(manifest.items()), "name string, want string")
-    j = files.join(want, "name", "full_outer")
-    state = F.when(F.col("sha").isNull(), "missing").when(F.col("want").isNull(), "unexpected").when(F.col("sha") != F.col("want"), "differs").otherwise("ok")
-    return j.select("name", state.alias("state"))
-
-
-def json_dump(value: object) -> str:
-    """Canonical JSON: sorted keys, no blanks."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), default=str)
+    want = [(k, *(v if isinstance(v, tuple) else (v, None))) for k, v in sorted(manifest.items())]
+    want = spark.createDataFrame(want, "name string, want string, want_bytes long")
+    sizes = spark.read.format("binaryFile").load(folder).select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes"))
+    j = sizes.join(want, "name", "full_outer")
+    right_size = F.coalesce(F.col("want_bytes") == F.col("bytes"), F.lit(True))
+    read = j.where(F.col("want").isNotNull() & F.col("path").isNotNull() & right_size).select("path")
+    sha = spark.read.format("binaryFile").load(folder).join(read, "path", "left_semi").select("path", F.sha2("content", 256).alias("sha"))
+    j = j.join(sha, "path", "left")
+    state = F.when(F.col("path").isNull(), "missing").when(F.col("want").isNull(), "unexpected").when(~right_size, "size").when(F.col("sha") != F.col("want"), "differs").otherwise("ok")
+    return j.select("name", state.alias("state"), "bytes")
+
+
+def manifest_totals(states: DataFrame) -> DataFrame:
+    """One row of a verified manifest: files there, files wanted, bytes there, and files not ok."""
+    return states.agg(F.count("bytes").alias("files"), F.count_if(F.col("state") != "unexpected").alias("wanted"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.count_if(F.col("state") != "ok").alias("not_ok"))
