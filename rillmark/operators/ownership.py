@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rillmark.operators import asof
 from rillmark.operators.skew import salted_join
 
 KEYS = ["recording_mbid", "split_version_id"]
@@ -40,15 +39,21 @@ def overlaps(sets: DataFrame) -> DataFrame:
     return j.select(*KEYS, (F.col("begun") - F.col("over") - 1).alias("overlapping_sets")).where("overlapping_sets > 0")
 
 
-def coverage(days: DataFrame, sets: DataFrame) -> DataFrame:
-    """``days`` (recording_mbid, listen_date, streams; one row a day) with the numbers of sets in force, all and valid: prefix sums of interval ends over each recording's days."""
+def coverage(days: DataFrame, sets: DataFrame, number: str | None = None) -> DataFrame:
+    """``days`` (recording_mbid, listen_date, streams; one row a day) with the numbers of sets in force, all and valid: prefix sums of interval ends over each recording's days.
+
+    ``number``: a column of ``sets`` that numbers the valid sets of a recording; its sum over the valid sets in force comes
+    out as ``which``, which is that set's number where there is just one.
+    """
     v = sets.where("valid_from < valid_to").withColumn("v", F.coalesce("is_valid_set", F.lit(False)).cast("int"))
-    mark = F.array(F.struct(F.col("valid_from").alias("day"), F.lit(1).alias("a"), F.col("v")), F.struct(F.col("valid_to").alias("day"), F.lit(-1).alias("a"), (-F.col("v")).alias("v")))
-    m = v.select("recording_mbid", F.explode(mark).alias("m")).select("recording_mbid", "m.day", "m.a", "m.v", F.lit(None).cast("bigint").alias("streams"), F.lit(0).alias("ev"))
-    e = days.select("recording_mbid", F.col("listen_date").alias("day"), F.lit(0).alias("a"), F.lit(0).alias("v"), F.col("streams").cast("bigint").alias("streams"), F.lit(1).alias("ev"))
-    g = m.unionByName(e).groupBy("recording_mbid", "day").agg(F.sum("a").alias("a"), F.sum("v").alias("v"), F.max("streams").alias("streams"), F.max("ev").alias("ev"))
+    v = v.withColumn("k", F.when(F.col("v") == 1, F.col(number)).otherwise(0).cast("bigint") if number else F.lit(0).cast("bigint"))
+    mark = F.array(F.struct(F.col("valid_from").alias("day"), F.lit(1).alias("a"), F.col("v"), F.col("k")), F.struct(F.col("valid_to").alias("day"), F.lit(-1).alias("a"), (-F.col("v")).alias("v"), (-F.col("k")).alias("k")))
+    m = v.select("recording_mbid", F.explode(mark).alias("m")).select("recording_mbid", "m.day", "m.a", "m.v", "m.k", F.lit(None).cast("bigint").alias("streams"), F.lit(0).alias("ev"))
+    e = days.select("recording_mbid", F.col("listen_date").alias("day"), F.lit(0).alias("a"), F.lit(0).alias("v"), F.lit(0).cast("bigint").alias("k"), F.col("streams").cast("bigint").alias("streams"), F.lit(1).alias("ev"))
+    g = m.unionByName(e).groupBy("recording_mbid", "day").agg(F.sum("a").alias("a"), F.sum("v").alias("v"), F.sum("k").alias("k"), F.max("streams").alias("streams"), F.max("ev").alias("ev"))
     w = W.partitionBy("recording_mbid").orderBy("day").rowsBetween(W.unboundedPreceding, 0)
-    return g.select("recording_mbid", F.col("day").alias("listen_date"), "streams", "ev", F.sum("a").over(w).alias("covering"), F.sum("v").over(w).alias("n")).where("ev = 1").drop("ev")
+    which = [F.sum("k").over(w).alias("which")] if number else []
+    return g.select("recording_mbid", F.col("day").alias("listen_date"), "streams", "ev", F.sum("a").over(w).alias("covering"), F.sum("v").over(w).alias("n"), *which).where("ev = 1").drop("ev")
 
 
 def gaps(sets: DataFrame) -> DataFrame:
@@ -93,10 +98,12 @@ def resolution(days: DataFrame, sets: DataFrame, ranges: DataFrame | None = None
     covered by an invalid set; otherwise defective or a gap. Covering rows are counted, never picked from.
     """
     per = sets.groupBy("recording_mbid").agg(F.count(F.lit(1)).alias("sets"), F.count_if(F.col("is_valid_set")).alias("valid_sets"))
-    g = coverage(days, sets).join(per, "recording_mbid", "left").withColumns({"sets": F.coalesce("sets", F.lit(0)), "valid_sets": F.coalesce("valid_sets", F.lit(0))})
-    # the one set is looked up only where there is exactly one, so the lookup gives a row a day at most
-    lone = asof.in_force(g.where("n = 1").select("recording_mbid", "listen_date"), sets.where("is_valid_set").select("recording_mbid", "valid_from", "valid_to", F.col("split_version_id").alias("one")), "recording_mbid", "listen_date", "valid_from", "valid_to")
-    g = g.join(lone.select("recording_mbid", "listen_date", "one"), ["recording_mbid", "listen_date"], "left")
+    no = F.row_number().over(W.partitionBy("recording_mbid").orderBy(F.col("is_valid_set").desc_nulls_last(), "valid_from", "split_version_id"))
+    sets = sets.withColumn("_no", no)
+    g = coverage(days, sets, "_no").join(per, "recording_mbid", "left").withColumns({"sets": F.coalesce("sets", F.lit(0)), "valid_sets": F.coalesce("valid_sets", F.lit(0))})
+    # where just one valid set is in force the sum of their numbers is its number: an equality, not a join over days
+    g = g.withColumn("_no", F.when(F.col("n") == 1, F.col("which")))
+    g = g.join(sets.where("is_valid_set").select("recording_mbid", F.col("_no").cast("bigint").alias("_no"), F.col("split_version_id").alias("one")), ["recording_mbid", "_no"], "left").drop("_no", "which")
     if ranges is not None:
         g = g.join(range_counts(days, "listen_date", ranges, "range_from", "range_to"), "listen_date", "left")
     else:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,9 +14,12 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.02, least: int = 100_000)
     There can be at most 1/share of them, so the list may go to the driver. Counting is one narrow
     scan with map-side combine.
     """
-    n = df.select(F.count(F.lit(1)).alias("n")).scalar()
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return [r[0] for r in counts.where((F.col("_rows") > n * share) & (F.col("_rows") > least)).select(key).collect()]
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > least)
+    top = counts.orderBy(F.col("_rows").desc(), key).limit(math.ceil(1 / share) if share > 0 else 1_000).collect()  # more cannot have the share
+    if not top:
+        return []
+    n = df.count()
+    return [r[0] for r in top if r["_rows"] > n * share]
 
 
 def salted_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "left", salts: int = 24, spread: Column | None = None, hot: list | None = None) -> DataFrame:
