@@ -137,3 +137,11 @@ found as (select 'SHARE_SUM' as defect, count(*) as detected from st where total
  union all select 'HOLDER_WITHOUT_SPLIT', count(*) from (select unnest(generate_series({_TOP}, {_M.holders - 1})) as i) where 'GEN-' || lpad(i::varchar, 6, '0') not in (select rights_holder_id from own)),
 want as (select * from (values {', '.join(f"('{k}', {n})" for k, n in (*_M.quotas, ('ORPHAN_RECORDING', _M.orphans), ('HOLDER_WITHOUT_SPLIT', _M.reserved)))}) t(defect, injected))
 select defect, injected, detected, true as same_digest from want join found using (defect)"""
+
+
+def _choice(seed: str, options: tuple) -> str:
+    return "case " + " ".join(f"when {_unit(seed, 'i')} < {upto} then '{name}'" for name, upto in options[:-1]) + f" else '{options[-1][0]}' end"
+
+
+HOLDERS = f"""select 'GEN-' || i as holder_id, 'Modeled Rights Holder ' || i as display_name, {_choice('t', _M.holder_types)} as holder_type, {_choice('p', _M.payee_statuses)} as payee_status, '{_M.model_scope}' as model_scope, true as is_modeled
+from (select lpad(cast(unnest(generate_series(0, {_M.holders - 1})) as varchar), 6, '0') as i)"""

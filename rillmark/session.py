@@ -19,6 +19,8 @@ def get_spark(app: str = "rillmark", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        # checkpoints go when nothing refers to them any more
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for k, v in {**base, **conf}.items():
         b = b.config(k, v)

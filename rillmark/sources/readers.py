@@ -18,11 +18,12 @@ def read_parquet(spark: SparkSession, paths: list[str], schema: T.StructType | N
 
 
 def read_csv(spark: SparkSession, paths: list[str], schema: T.StructType, strict: bool = True) -> DataFrame:
-    """CSV, plain or gzipped, one header row, quote ``"``. Strict reading fails at the first bad row; otherwise bad rows keep their text in ``_corrupt_record``."""
+    """CSV, plain or gzipped, one header row, quote ``"`` (doubled within a field, which may hold line ends). Strict reading fails at the first bad row; otherwise bad rows keep their text in ``_corrupt_record``."""
+    r = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True)
     if strict:
-        return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").option("enforceSchema", False).csv(paths)
+        return r.schema(schema).option("mode", "FAILFAST").option("enforceSchema", False).csv(paths)
     s = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return spark.read.schema(s).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(paths)
+    return r.schema(s).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(paths)
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
