@@ -19,8 +19,6 @@ EDITION = ("remaster", "remastered", "explicit", "clean", "deluxe", "edition", "
 GUEST = re.compile(r"\b(?:feat|ft|featuring|with)\b\.?\s")
 CUT_GUEST = re.compile(r"[\s(\[](?:feat\.?|ft\.?|featuring)\s.*$")
 CUT_COMPANY = re.compile(r"[\s(\[](?:feat\.?|ft\.?|featuring|with)\s.*$")
-#: the article and what one slip makes of it
-ARTICLE = re.compile(r"the|teh|hte|t?the|thh?e|thee|th[a-z]|t[a-z]e|[a-z]he|th|te|he|th[a-z]e|t[a-z]he|[a-z]the|the[a-z]")
 BRACKET = re.compile(r"[(\[{]([^)\]}]*)(?:[)\]}]|$)")
 TRACK = re.compile(r"^\s*\d{1,3}\s*(?:[.\-)]\s*|\s+)(?=\S)")
 PART = re.compile(r"^\W*(?:part|pt)\b\.?\s*(\d+|[ivx]+)\W*$")
@@ -159,7 +157,7 @@ def read_artist(s: str) -> tuple[list[str], bool]:
     if len(bits := [x for x in s.split(",") if x.strip()]) == 2:
         s = f"{bits[1]} {bits[0]}" if s.count(",") % 2 else f"{bits[0]} {bits[1]}"
     w = words(s.replace("&", " and ").replace("+", " and "))
-    return (w[1:] if len(w) > 1 and ARTICLE.fullmatch(w[0]) else w), cut
+    return (w[1:] if len(w) > 1 and w[0] == "the" else w), cut
 
 
 def placeholder(s: str) -> bool:
