@@ -659,6 +659,12 @@ SQL = {
     "J22_changed_rows": PUB + "select v1.listen_hash from v1 join v2 using (listen_hash) where " + " or ".join(f"v1.{f} is distinct from v2.{f}" for f in ["matched_recording_mbid", *FIELDS]),
     "P12_cohort": PUB + "select * from co",
     "J20_unaffected": PUB + "select distinct listen_hash from v1 where listen_hash not in (select listen_hash from co)",
+    "R3_reprocess": MP.base(True) + f""",
+v1 as (select distinct listen_hash, matched_recording_mbid, {', '.join(FIELDS)} from silver_listen_matches),
+co as (select distinct listen_hash from bronze_listens join v1 using (listen_hash) where failure_reason in ('NO_BLOCK_CANDIDATES', 'NO_LOOKUP_KEY_EMPTY', 'NO_LOOKUP_KEY_PARTIAL')
+  and (regexp_matches(coalesce(artist_name, ''), '[ᄀ-ᇿ㄰-㆏가-힣぀-ヿ]') or regexp_matches(coalesce(recording_name, ''), '[ᄀ-ᇿ㄰-㆏가-힣぀-ヿ]')))
+select listen_hash, matched_recording_mbid, {', '.join(FIELDS)}, true as recording_cohort from (select distinct listen_hash, text_hash from lt) join mt using (text_hash) where listen_hash in (select listen_hash from co)
+union all select *, false from v1 where listen_hash not in (select listen_hash from co)""",
     "R6_single_case": PUB + f"select recording_mbid, rights_holder_id, {_D('prior_amount', 'restated_amount', 'delta')}, delta_count, change_type from dl where recording_mbid = (select recording_mbid from dl group by 1 order by sum(abs(delta)) desc, recording_mbid limit 1)",
     "T13_totals": PUB + "select count(*) as rows, cast(sum(pa) as double) as total, true as untouched from pr",
     "T15_versions": "select count(*) as rows, count(*) filter (where prior_scoring_version <> new_scoring_version) as scoring_changed, count(*) filter (where prior_split_version is distinct from new_split_version) as split_changed, count(*) filter (where prior_normalization_version = new_normalization_version or trigger_reason is null) as violations from (select distinct * from fct_restatements)",

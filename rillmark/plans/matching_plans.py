@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rillmark.functions import text as T
 from rillmark.functions.keys import hash_bucket, hash_unit
-from rillmark.functions.translit import JAMO
+from rillmark.functions.translit import FINALS, INITIALS, JAMO, KATAKANA, MEDIALS, SMALL
 from rillmark.operators import evaluation as E
 from rillmark.operators import matching as M
 from rillmark.operators import profile as P
@@ -363,19 +363,62 @@ def _jac(a: str, b: str) -> str:
 _NUM = "0.0::double" + "".join(f" + case when {f} is null then 0.0::double else {f} * {w!r}::double end" for f, w in zip(M.FEATURES, _W))
 _DEN = "0.0::double" + "".join(f" + case when {f} is null then 0.0::double else {w!r}::double end" for f, w in zip(M.FEATURES, _W))
 
-BASE = f"""
+def _q(xs) -> str:
+    return "[" + ", ".join(f"'{x}'" for x in xs) + "]"
+
+
+def _map(d: dict) -> str:
+    return "map {" + ", ".join(f"'{k}': '{v}'" for k, v in d.items()) + "}"
+
+
+_SMALL_JOIN = "~"  # stands between a syllable and the small kana after it; kana texts that hold one are not told apart
+_SYLLABLE = f"{_q(INITIALS)}[(unicode(c) - 44032) // 588 + 1] || {_q(MEDIALS)}[(unicode(c) - 44032) % 588 // 28 + 1] || {_q(FINALS)}[(unicode(c) - 44032) % 28 + 1]"
+
+
+def _roman(x: str, kana: bool = True) -> str:
+    """Hangul, and kana if asked, in Latin letters: as the kernel's steps, each over the whole text."""
+    t = f"array_to_string(list_transform(string_split({x}, ''), lambda c: case when unicode(c) between 44032 and 55203 then {_SYLLABLE} else coalesce({_map(JAMO)}[c], c) end), '')"
+    if not kana:
+        return t
+    hira = "".join(chr(c) for c in range(0x3041, 0x3097))
+    t = f"replace(translate({t}, '{hira}', '{''.join(chr(ord(c) + 0x60) for c in hira)}'), 'ー', '')"
+    full, own = "".join(KATAKANA), _map(KATAKANA)
+    t = f"list_reduce({_q(KATAKANA)}, lambda acc, k: regexp_replace(acc, 'ッ([^{full}]*)' || k, '\\1' || substr({own}[k], 1, 1) || k, 'g'), {t})"
+    t = f"list_reduce({_q(KATAKANA)}, lambda acc, k: replace(acc, k, {own}[k]), replace(replace({t}, 'ッ', ''), '・', ' '))"
+    t = f"list_reduce({_q(SMALL)}, lambda acc, k: replace(acc, k, '{_SMALL_JOIN}' || {_map(SMALL)}[k]), {t})"
+    return f"list_reduce({_q(range(12))}, lambda acc, k: regexp_replace(acc, '(sh|ch|j)[aiueo]{_SMALL_JOIN}y?|[aiueo]{_SMALL_JOIN}|{_SMALL_JOIN}', '\\1'), {t})"
+
+
+def _keys(names: str, artist: str, recording: str, r) -> str:
+    """Exact and fallback halves of both names of a row and whether they are whole; ``r`` says how a name is romanised first."""
+    a, t, ga, gr = (r(f"coalesce({c}, '')") for c in (artist, recording, "ga", "gr"))
+    return f"select *, {_K.format(a)} as ka, {_K.format(t)} as kr, {_K.format(ga)} as fa, {_K.format(gr)} as fr, {_WHOLE.format(a)} and {_WHOLE.format(t)} as wk, {_WHOLE.format(ga)} and {_WHOLE.format(gr)} as wf from {names}"
+
+
+_INDEX = f"select recording_mbid, 'EXACT' as lookup_stage, {_BOTH.format('ka', 'kr', 'wk')} as lookup_key from {{0}} union all select recording_mbid, 'FALLBACK', {_BOTH.format('fa', 'fr', 'wf')} from {{0}}"
+
+
+def base(roman: bool = False) -> str:
+    """The matcher from names to decisions; ``roman``: keys romanised, and looked up among those of the old index and the romanised ones."""
+    r = _roman if roman else str
+    plain_index = f"c0 as ({_keys('cf', 'artist_credit_name', 'recording_name', str)}),\n" if roman else ""
+    more = f" union all {_INDEX.format('c0')}" if roman else ""
+    return f"""
 with pr as (select distinct coalesce(artist_name, '') as artist_name, coalesce(recording_name, '') as recording_name from bronze_listens),
 pf as (select *, {_fb('artist_name')} as ga, {_fb('recording_name')} as gr from pr),
-pk as (select *, {_K.format('artist_name')} as ka, {_K.format('recording_name')} as kr, {_K.format('ga')} as fa, {_K.format('gr')} as fr, {_WHOLE.format('artist_name')} and {_WHOLE.format('recording_name')} as wk, {_WHOLE.format('ga')} and {_WHOLE.format('gr')} as wf,
-  {_T.format('artist_name')} as ua, {_T.format('recording_name')} as ur from pf),
+p0 as ({_keys('pf', 'artist_name', 'recording_name', r)}),
+pk as (select *, {_T.format('artist_name')} as ua, {_T.format('recording_name')} as ur from p0),
 pairs as (select sha256(artist_name || chr(31) || recording_name) as pair_hash, artist_name, recording_name, ua as artist_text, ur as recording_text,
   {_BOTH.format('ka', 'kr', 'wk')} as key_exact, {_STATUS.format('ka', 'kr', 'wk')} as status_exact, {_BOTH.format('fa', 'fr', 'wf')} as key_fallback, {_STATUS.format('fa', 'fr', 'wf')} as status_fallback,
   case when regexp_full_match(artist_name, '\\s*') then 'MISSING_ARTIST' when regexp_full_match(recording_name, '\\s*') then 'MISSING_RECORDING'
   when ua = '' or ur = '' then 'NO_ALPHANUMERIC_CONTENT' else 'VALID' end as content from pk),
 cf as (select distinct recording_mbid, artist_credit_name, recording_name, {_fb('artist_credit_name')} as ga, {_fb('recording_name')} as gr from bronze_canonical_recordings),
-ck as (select *, {_K.format('artist_credit_name')} as ka, {_K.format('recording_name')} as kr, {_K.format('ga')} as fa, {_K.format('gr')} as fr, {_WHOLE.format('artist_credit_name')} and {_WHOLE.format('recording_name')} as wk, {_WHOLE.format('ga')} and {_WHOLE.format('gr')} as wf from cf),
-idx as (select distinct * from (select recording_mbid, 'EXACT' as lookup_stage, {_BOTH.format('ka', 'kr', 'wk')} as lookup_key from ck union all select recording_mbid, 'FALLBACK', {_BOTH.format('fa', 'fr', 'wf')} from ck) where lookup_key <> ''),
-ex as (select pair_hash, recording_mbid, 'EXACT' as block_method, key_exact as block_key from pairs join idx on lookup_stage = 'EXACT' and lookup_key = key_exact where status_exact = 'AVAILABLE'),
+ck as ({_keys('cf', 'artist_credit_name', 'recording_name', r)}),
+{plain_index}idx as (select distinct * from ({_INDEX.format('ck')}{more}) where lookup_key <> ''),
+""" + _FROM_CANDIDATES
+
+
+_FROM_CANDIDATES = f"""ex as (select pair_hash, recording_mbid, 'EXACT' as block_method, key_exact as block_key from pairs join idx on lookup_stage = 'EXACT' and lookup_key = key_exact where status_exact = 'AVAILABLE'),
 fb as (select pair_hash, recording_mbid, 'FALLBACK' as block_method, key_fallback as block_key from pairs join idx on lookup_stage = 'FALLBACK' and lookup_key = key_fallback where status_fallback = 'AVAILABLE' and pair_hash not in (select pair_hash from ex)),
 cands as (select * from ex union all select * from fb),
 uni as (select * exclude (n) from (select *, count(*) over (partition by pair_hash) as n from cands) where n > 1 or block_method = 'FALLBACK'),
@@ -407,6 +450,7 @@ mt as (select text_hash, pair_hash, case when outcome = 'ACCEPTED' then case whe
 lt as (select distinct listen_hash, sha256(sha256(coalesce(artist_name, '') || chr(31) || coalesce(recording_name, '')) || chr(31) || coalesce(release_name, '~null~')) as text_hash, sha256(coalesce(artist_name, '') || chr(31) || coalesce(recording_name, '')) as pair_hash from bronze_listens),
 wt as (select l.pair_hash, count(distinct listen_hash) as listens, coalesce(max(c.k), 0) as recordings from lt l left join (select pair_hash, count(distinct recording_mbid) as k from cands group by 1) c using (pair_hash) group by 1)
 """
+BASE = base()
 _CLASS = r"case when length(regexp_replace({0}, '[^\p{{L}}\p{{N}}]', '', 'g')) = 0 then 'NONE' when length(regexp_replace({0}, '[^\p{{Latin}}0-9]', '', 'g')) * 2 >= length(regexp_replace({0}, '[^\p{{L}}\p{{N}}]', '', 'g')) then 'LATIN' else 'NON_LATIN' end"
 _RET = r"length(key_exact) / nullif(length(regexp_replace(artist_name || recording_name, '[^\p{L}\p{N}]', '', 'g')), 0)"
 _BUCKET = "cast('0x' || substr(sha256({}), 1, 8) as bigint)"
@@ -419,12 +463,30 @@ def _len_in(p: str) -> str:
 _HANGUL, _KANA, _HAN = (rf"regexp_matches(c, '{p}')" for p in ("[가-힣" + "".join(JAMO) + "]", "[ぁ-ゖァ-・ー-ヿ]", "[一-鿿㐀-䶿\\x{20000}-\\x{323AF}]"))
 _LETTER = rf"regexp_matches(c, '\p{{L}}') and not {_HANGUL} and not {_KANA} and not {_HAN}"
 _GROUPS = {"hangul": _HANGUL, "kana": f"{_KANA} and c <> '・'", "han": f"{_HAN} and not {_HANGUL} and not {_KANA}", "latin": rf"{_LETTER} and regexp_matches(c, '[\p{{Latin}}]') and c not in ('ª', 'º')", "other": rf"{_LETTER} and (not regexp_matches(c, '[\p{{Latin}}]') or c in ('ª', 'º'))"}
+
+
+def _covered(x: str) -> str:
+    """Whether no letter but Latin ones is left."""
+    return f"len(list_filter(string_split({x}, ''), lambda c: {_HANGUL} or ({_KANA} and c <> '・') or {_HAN} or ({_GROUPS['other']}))) = 0"
+
+
+def _roman_key(key: str, names: str, kana: bool) -> str:
+    """(key column, romanised exact key) of the rows of ``names`` (a, r) that have one."""
+    a, r = _roman("a", kana), _roman("r", kana)
+    return f"select {key}, key from (select {key}, {_K.format(a)} || {_K.format(r)} as key, {_K.format(a)} <> '' and {_K.format(r)} <> '' and {_WHOLE.format(a)} and {_WHOLE.format(r)} as ok from {names}) where ok"
+
+
+#: the first word of a letter's Unicode name, for the scripts there are
+_FIRST_WORD = "case when c = 'ª' then 'FEMININE' when c = 'º' then 'MASCULINE' when c = 'µ' then 'MICRO' when c = 'ー' then 'KATAKANA-HIRAGANA' when regexp_matches(c, '[\\p{Latin}]') then 'LATIN' " + " ".join(f"when regexp_matches(c, '[\\p{{{p}}}]') then '{w}'" for p, w in {"Cyrillic": "CYRILLIC", "Greek": "GREEK", "Hangul": "HANGUL", "Hiragana": "HIRAGANA", "Katakana": "KATAKANA", "Han": "CJK", "Arabic": "ARABIC", "Hebrew": "HEBREW", "Thai": "THAI"}.items()) + " else 'UNKNOWN' end"
 SQL = {
     "N1_pairs": BASE + "select pair_hash, artist_name, recording_name, artist_text, recording_text, key_exact, status_exact, key_fallback, status_fallback, content from pairs",
     "N2_blocking_index": BASE + "select * from idx",
     "N3_scored_texts": BASE + "select * from ctx where recording_mbid in (select recording_mbid from uni)",
     "F1_normalized": BASE + f"select pair_hash, artist_text, recording_text, key_exact, status_exact, key_fallback, status_fallback, content, '{T.VERSION}' as normalization_version from pairs",
     "F14_inventory": BASE + "select pair_hash, " + ", ".join(f"cast(len(list_filter(string_split(recording_name, ''), lambda c: {w})) as int) as {k}" for k, w in _GROUPS.items()) + " from pairs",
+    "F11_romanised": BASE + f", ro as (select pair_hash, {_roman('artist_name')} as a, {_roman('recording_name')} as r from pairs) select pair_hash, a as artist_roman, {_covered('a')} as artist_covered, r as recording_roman, {_covered('r')} as recording_covered from ro",
+    "F15_dominant_script": BASE + f", ch as (select pair_hash, unnest(string_split(recording_name, '')) as c from pairs), cs as (select pair_hash, {_FIRST_WORD} as w, count(*) as n from ch where regexp_matches(c, '[\\p{{L}}]') group by 1, 2), best as (select pair_hash, coalesce(arg_min(w, (-n, w)), 'NONE') as script from cs group by 1) select coalesce(script, 'NONE') as script, count(*) as pairs from pairs left join best using (pair_hash) group by 1",
+    "R5_translit_probe": BASE + ", cn as (select recording_mbid, min(artist_credit_name) as a, min(recording_name) as r from bronze_canonical_recordings group by 1), lf as (select pair_hash, artist_name as a, recording_name as r from pairs where pair_hash not in (select pair_hash from ex)), " + ", ".join(f"c_{n} as ({_roman_key('recording_mbid', 'cn', k)}), l_{n} as ({_roman_key('pair_hash', 'lf', k)}), n_{n} as (select pair_hash, count(recording_mbid) as n from l_{n} left join c_{n} using (key) group by 1)" for n, k in (("hangul", False), ("hangul_kana", True))) + ", o as (" + " union all ".join(f"select '{n}' as alternative, count(*) as pairs, count_if(n = 1) as unique_pairs, count_if(n > 1) as ambiguous_pairs, coalesce(max(n), 0) as largest_block from n_{n}" for n in ALTERNATIVES) + f") select *, round(unique_pairs / nullif(unique_pairs + ambiguous_pairs, 0), 9) as unique_rate, coalesce(unique_pairs / nullif(unique_pairs + ambiguous_pairs, 0) >= {UNIQUE_RATE}, false) and largest_block <= {LARGEST_BLOCK} as admissible from o",
     "S1_ordered_export": BASE + "select * from ctx where recording_mbid in (select recording_mbid from uni)",
     "J1_listens_pairs": BASE + "select distinct listen_hash, pair_hash, key_exact, status_exact from lt join pairs using (pair_hash)",
     "J2_exact_blocking": BASE + "select * from ex",
