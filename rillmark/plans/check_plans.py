@@ -129,9 +129,9 @@ def j13_listen_resolution(s: SparkSession, d: str) -> DataFrame:
 
 
 def u2_union_distinct(s: SparkSession, d: str) -> DataFrame:
-    a = table(s, d, "bronze_canonical_recordings").select(lower_key("recording_mbid").alias("recording_mbid"))
-    b = table(s, d, "ext_listens_2026_06").select(lower_key("recording_mbid").alias("recording_mbid"))
-    return a.unionByName(b).distinct()
+    """The blocking index and the one of romanised keys, each entry once."""
+    cat = MP._catalogue(s, d)
+    return M.blocking_index(cat).unionByName(M.blocking_index(cat, MP.ALTERNATIVES["hangul_kana"])).distinct()
 
 
 def sc2_revision(s: SparkSession, d: str) -> DataFrame:
@@ -176,7 +176,7 @@ union all select 'relationship:listen_hash', count(*) from silver_listen_matches
     "AG29_conditional_distinct": "select count(distinct listen_hash) as listens, count(distinct case when match_status = 'MATCHED' then listen_hash end) as matched, count(distinct case when match_status = 'MATCHED' then matched_recording_mbid end) as recordings, count(distinct case when match_status = 'MATCHED' then matched_recording_mbid || '|' || strftime(listened_at, '%Y-%m-%d') end) as recording_days from silver_listen_matches",
     "AG26_rounding_loss": L.OWN + "select count(*) as groups, cast(sum(u) as bigint) as units, cast(sum(f) as bigint) as floored, cast(sum(u) - sum(f) as bigint) as lost, count(*) filter (where z > 0) as groups_with_zero from (select max(units) as u, sum(floor_units) as f, count(*) filter (where floor_units = 0) as z from al group by recording_mbid, split_version_id)",
     "J13_listen_resolution": L.OWN + f", m as (select distinct listen_hash, cast(listened_at as date) as listen_date, {LOW('matched_recording_mbid')} as recording_mbid from silver_listen_matches) select coalesce(resolution_status, 'NOT_APPLICABLE') as resolution_status, count(*) as listens from m left join re using (recording_mbid, listen_date) group by 1",
-    "U2_union_distinct": f"select {LOW('recording_mbid')} as recording_mbid from bronze_canonical_recordings union select {LOW('recording_mbid')} from ext_listens_2026_06",
+    "U2_union_distinct": MP.base(True) + "select * from idx",
     "SC2_revision": f"with h as (select {UP('holder_id')} as holder_id, upper(trim(min(payee_status))) as payee_status from rights_holders group by 1), f as (select holder_id from h where holder_id is not null order by holder_id limit 25) select holder_id, case when holder_id in (select holder_id from f) then case when payee_status = 'ACTIVE' then 'PENDING_VERIFICATION' else 'ACTIVE' end else payee_status end as payee_status, holder_id in (select holder_id from f) as revised from h where holder_id is not null",
     "R4_run_registry": "select restatement_run_id, normalization_version, count(distinct case when recording_cohort then listen_hash end) as cohort_listens, count(distinct case when not recording_cohort then listen_hash end) as kept_listens, strftime(max(matched_at), '%Y-%m-%d') as decided_on from silver_listen_matches_restated where restatement_run_id is not null group by 1, 2",
     "IO3_projection": "select distinct artist_name, recording_name, release_name from bronze_listens",
