@@ -293,7 +293,7 @@ def recomputed(s: SparkSession, d: str, cohort: DataFrame, scripts: tuple[str, .
     li = _listens(s, d).join(cohort, "listen_hash", "left_semi")
     pairs = checkpointed(M.distinct_pairs(li, scripts))
     cat = _catalogue(s, d)
-    index = M.blocking_index(cat).unionByName(M.blocking_index(cat, scripts)).distinct()
+    index = checkpointed(M.blocking_index(cat).unionByName(M.blocking_index(cat, scripts)).distinct())
     cands = checkpointed(M.candidates(pairs, index))
     texts = M.texts_of(li, pairs)
     m = M.match_texts(texts, cands, _scored(s, d, cands, texts), RULES)
